@@ -64,18 +64,28 @@ def with_draws(rows: DataFrame, key: Column, seed: int = 0) -> DataFrame:
     )
 
 
-def draw(label: str, index: object = 0) -> Column:
-    """A uniform 32-bit integer for this row, independent across labels and indexes."""
-    mixed = _mix(_xor(F.col(STATE[0]), constant(label, index)))
+def _draw(number: Column) -> Column:
+    mixed = _mix(F.col(STATE[0]).bitwiseXOR(number))
     return (mixed + F.col(STATE[1])).bitwiseAND(MASK)
 
 
-def below(size: int, label: str, index: object = 0) -> Column:
-    """A uniform bigint in ``[0, size)``."""
+def below_numbered(size: int, first: Column, second: Column) -> Column:
+    """A uniform bigint in ``[0, size)`` from a pair of label numbers."""
     if size < 1:
         raise ValueError("a draw needs a range of at least one value")
-    value = draw(label, index)
+    value = _draw(first)
     if size > NARROW_RANGE:
-        extra = draw(label, f"{index}+").bitwiseAND(NARROW_RANGE - 1)
+        extra = _draw(second).bitwiseAND(NARROW_RANGE - 1)
         value = value * F.lit(NARROW_RANGE).cast("long") + extra
     return value % F.lit(size).cast("long")
+
+
+def label_numbers(label: str, index: object = 0) -> tuple[int, int]:
+    """The two fixed numbers that keep the draws of a label and index apart from others."""
+    return constant(label, index), constant(label, f"{index}+")
+
+
+def below(size: int, label: str, index: object = 0) -> Column:
+    """A uniform bigint in ``[0, size)``, independent across labels and indexes."""
+    first, second = label_numbers(label, index)
+    return below_numbered(size, F.lit(first).cast("long"), F.lit(second).cast("long"))

@@ -51,7 +51,7 @@ def generate(
     if all_picks:
         if dictionary is None:
             raise ValueError("these specs need a word dictionary")
-        rows = dictionary.attach(rows, all_picks, broadcast_bytes)
+        rows = dictionary.attach(rows, all_picks, "row_id", broadcast_bytes)
 
     def value(position: int, spec: ColumnSpec, kind: str) -> Column:
         if kind == "integer":

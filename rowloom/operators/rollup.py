@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed value: the column where the padded size starts in a long tree listing.
 SIZE_START = 54
@@ -27,14 +28,16 @@ def distinct_sizes(files: DataFrame) -> DataFrame:
 
 
 def size_number(size: Column) -> Column:
-    """A size as a number: its leading integer, or 0 where it has none."""
-    text = size.cast("string")
-    leading = F.regexp_extract(text, r"^\s*([+-]?\d+)", 1)
-    return F.coalesce(text.try_cast("long"), leading.try_cast("long"), F.lit(0).cast("long"))
+    """A size text as a number: its leading integer, or 0 where it has none."""
+    leading = F.regexp_extract(size, r"^\s*([+-]?\d+)", 1)
+    return F.coalesce(size.try_cast("long"), leading.try_cast("long"), F.lit(0).cast("long"))
 
 
 def sum_by_path(sizes: DataFrame) -> DataFrame:
-    return sizes.groupBy("path").agg(F.sum(size_number(F.col("size"))).alias("total"))
+    """Total size per path; sizes may be text or whole numbers."""
+    is_text = isinstance(sizes.schema["size"].dataType, T.StringType)
+    number = size_number(F.col("size")) if is_text else F.col("size").cast("long")
+    return sizes.groupBy("path").agg(F.sum(number).alias("total"))
 
 
 def largest_first(totals: DataFrame) -> DataFrame:

@@ -71,3 +71,11 @@ def spark_type(data_type: str, profile: Profile) -> T.DataType:
         "datetime": T.TimestampType(),
     }
     return types.get(TYPE_RULES.get(data_type), T.StringType())
+
+
+def type_column(data_type: Column, profile: Profile) -> Column:
+    """The Spark type name of each row of a column-spec table."""
+    chosen = F.lit(T.StringType().simpleString())
+    for type_name in TYPE_RULES:
+        chosen = F.when(data_type == type_name, spark_type(type_name, profile).simpleString()).otherwise(chosen)
+    return chosen
