@@ -20,8 +20,6 @@ MULTIPLIER = 0x45D9F3B
 # Above this range one 32-bit draw would be visibly uneven, so two are combined.
 NARROW_RANGE = 1 << 20
 
-STATE = ("__draw_a", "__draw_b")
-
 
 def constant(*parts: object) -> int:
     """A fixed 32-bit number for a label, computed once while the plan is built."""
@@ -29,55 +27,44 @@ def constant(*parts: object) -> int:
     return int(hashlib.sha256(text.encode("utf-8")).hexdigest()[:8], 16)
 
 
-def _xor(left: Column, right: Column | int) -> Column:
-    return left.bitwiseXOR(right if isinstance(right, Column) else F.lit(right).cast("long"))
-
+def _mix(word: str) -> str:
+    """Scramble a 32-bit word held in a bigint: two xor-shift-multiply rounds and a final xor-shift.
 
-def _mix(word: Column) -> Column:
-    """Scramble a 32-bit word held in a bigint: two xor-shift-multiply rounds and a final xor-shift."""
+    The expression is text, which Spark parses at once; built from Column objects, a draw
+    takes some twenty calls into the JVM and a wide table seconds to plan.
+    """
     for _ in range(2):
-        word = (_xor(F.shiftright(word, 16), word) * F.lit(MULTIPLIER).cast("long")).bitwiseAND(MASK)
-    return _xor(F.shiftright(word, 16), word)
+        word = f"(((shiftright({word}, 16) ^ {word}) * {MULTIPLIER}L) & {MASK}L)"
+    return f"(shiftright({word}, 16) ^ {word})"
 
 
-def with_draws(rows: DataFrame, key: Column, seed: int = 0) -> DataFrame:
+def with_draws(rows: DataFrame, key: str = "row_id", seed: int = 0) -> DataFrame:
     """Add the two 32-bit state words of each row's 64-bit ``key``.
 
     The steps are separate projections so that each word is computed once per row,
     whatever the number of draws that read it.
     """
-    low, high = key.cast("long").bitwiseAND(MASK), F.shiftright(key.cast("long"), 32).bitwiseAND(MASK)
-    columns = rows.columns
+    halves = (f"`{key}` & {MASK}L AS __low", f"shiftright(`{key}`, 32) & {MASK}L AS __high")
+    mixed = [f"{_mix(f'(__low ^ {constant(seed, part)}L)')} AS __mixed_{part}" for part in "ab"]
+    state = [f"{_mix(f'(__mixed_{part} ^ __high)')} AS __draw_{part}" for part in "ab"]
     return (
-        rows.select("*", low.alias("__low"), high.alias("__high"))
-        .select(
-            *columns,
-            "__high",
-            _mix(_xor(F.col("__low"), constant(seed, "a"))).alias("__mixed_a"),
-            _mix(_xor(F.col("__low"), constant(seed, "b"))).alias("__mixed_b"),
-        )
-        .select(
-            *columns,
-            _mix(_xor(F.col("__mixed_a"), F.col("__high"))).alias(STATE[0]),
-            _mix(_xor(F.col("__mixed_b"), F.col("__high"))).alias(STATE[1]),
-        )
+        rows.selectExpr("*", *halves).selectExpr("*", *mixed).selectExpr("*", *state)
+        .drop("__low", "__high", "__mixed_a", "__mixed_b")
     )
 
 
-def _draw(number: Column) -> Column:
-    mixed = _mix(F.col(STATE[0]).bitwiseXOR(number))
-    return (mixed + F.col(STATE[1])).bitwiseAND(MASK)
-
-
-def below_numbered(size: int, first: Column, second: Column) -> Column:
-    """A uniform bigint in ``[0, size)`` from a pair of label numbers."""
+def below_numbered(size: int, first: str, second: str) -> Column:
+    """A uniform bigint in ``[0, size)`` from the SQL texts of a pair of label numbers."""
     if size < 1:
         raise ValueError("a draw needs a range of at least one value")
-    value = _draw(first)
+
+    def draw(number: str) -> str:
+        return f"(({_mix(f'(__draw_a ^ {number})')} + __draw_b) & {MASK}L)"
+
+    value = draw(first)
     if size > NARROW_RANGE:
-        extra = _draw(second).bitwiseAND(NARROW_RANGE - 1)
-        value = value * F.lit(NARROW_RANGE).cast("long") + extra
-    return value % F.lit(size).cast("long")
+        value = f"({value} * {NARROW_RANGE}L + ({draw(second)} & {NARROW_RANGE - 1}L))"
+    return F.expr(f"{value} % {size}L")
 
 
 def label_numbers(label: str, index: object = 0) -> tuple[int, int]:
@@ -88,4 +75,4 @@ def label_numbers(label: str, index: object = 0) -> tuple[int, int]:
 def below(size: int, label: str, index: object = 0) -> Column:
     """A uniform bigint in ``[0, size)``, independent across labels and indexes."""
     first, second = label_numbers(label, index)
-    return below_numbered(size, F.lit(first).cast("long"), F.lit(second).cast("long"))
+    return below_numbered(size, f"{first}L", f"{second}L")

@@ -7,6 +7,7 @@ from those of other columns.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import Column
@@ -34,6 +35,11 @@ def years_before(moment: datetime, years: int) -> datetime:
         return moment.replace(year=moment.year - years, day=28)
 
 
+def constant_array(items: Sequence[object], item_type: str = "string") -> Column:
+    """A constant array; the optimizer folds the split, and the plan holds one literal."""
+    return F.split(F.lit("\n".join(str(item) for item in items)), "\n").cast(f"array<{item_type}>")
+
+
 def uniform_int(label: str, low: int, high: int) -> Column:
     """A uniform bigint, both ends included."""
     return below(high - low + 1, label) + F.lit(low).cast("long")
@@ -81,7 +87,6 @@ def person(label: str, people: People = COMMON_PEOPLE) -> Column:
     """A given name and a family name, drawn independently."""
 
     def pick(names: tuple[str, ...], index: str) -> Column:
-        choices = F.array(*[F.lit(name) for name in names])
-        return F.get(choices, below(len(names), label, index).cast("int"))
+        return F.get(constant_array(names), below(len(names), label, index).cast("int"))
 
     return F.concat_ws(" ", pick(people.given, "given"), pick(people.family, "family"))

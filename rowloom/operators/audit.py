@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rowloom.functions.values import constant_array
 from rowloom.sources.specs import ColumnSpec
 
 # Longer texts are grouped by their SHA-256 instead of themselves.
@@ -29,7 +30,7 @@ def _repeats(df: DataFrame, positions: list[int], keys: list[Column]) -> DataFra
     present = reduce(lambda a, b: a & b, [F.col(f"key_{n}").isNotNull() for n in range(len(keys))])
     groups = df.select(*named).where(present).groupBy(*[f"key_{n}" for n in range(len(keys))]).count()
     surplus = groups.agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("duplicate_count"))
-    covered = F.explode(F.array(*[F.lit(position) for position in positions])).alias("pos")
+    covered = F.explode(constant_array(positions, "int")).alias("pos")
     return surplus.select(
         covered,
         F.lit(0).cast("long").alias("null_count"),
@@ -70,7 +71,7 @@ def audit(df: DataFrame, specs: Sequence[ColumnSpec]) -> DataFrame:
     for position, spec in numbered:
         if spec.unique:
             found = found.unionByName(_repeats(df, [position], [_key(df, spec)]))
-    names = F.array(*[F.lit(spec.name) for spec in specs])
+    names = constant_array([spec.name for spec in specs])
     return (
         found.groupBy("pos")
         .agg(*[F.sum(name).alias(name) for name in ("null_count", "overlength_count", "duplicate_count")])

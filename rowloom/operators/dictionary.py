@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rowloom.functions.draws import below, below_numbered, label_numbers
-from rowloom.functions.values import HASH_ID_LENGTH
+from rowloom.functions.values import HASH_ID_LENGTH, constant_array
 from rowloom.storage import scratch_path
 
 # Words are ordered by their SHA-256. The leading hex digits cut that order into
@@ -140,10 +140,13 @@ class Dictionary(NamedTuple):
         """
         numbers = [label_numbers(pick.label, pick.index) for pick in picks]
         first, second = (
-            F.get(F.array(*[F.lit(pair[n]).cast("long") for pair in numbers]), F.col("slot")) for n in (0, 1)
+            F.get(constant_array([pair[n] for pair in numbers], "bigint"), F.col("slot")) for n in (0, 1)
         )
         slots = F.explode(F.sequence(F.lit(0), F.lit(len(picks) - 1))).alias("slot")
-        unfolded = rows.select("*", slots).withColumn("idx", below_numbered(self.size, first, second))
+        unfolded = (
+            rows.select("*", slots).select("*", first.alias("first_number"), second.alias("second_number"))
+            .withColumn("idx", below_numbered(self.size, "first_number", "second_number"))
+        )
         hash_slots = [number for number, pick in enumerate(picks) if pick.field == "hash_id"]
         value = F.when(F.col("slot").isin(hash_slots), F.col("hash_id")).otherwise(F.col("word"))
         found = unfolded.join(self.entries.hint("shuffle_hash"), "idx")
@@ -151,5 +154,8 @@ class Dictionary(NamedTuple):
             *[F.first(name).alias(name) for name in rows.columns if name != key],
             F.sort_array(F.collect_list(F.struct("slot", value.alias("value"))))["value"].alias("values"),
         )
-        outputs = [F.get("values", number).alias(pick.output) for number, pick in enumerate(picks)]
+        complete = F.when(F.size("values") == len(picks), F.col("values")).otherwise(
+            F.raise_error(F.lit(f"the values of {key} are not unique"))
+        )
+        outputs = [F.get(complete, number).alias(pick.output) for number, pick in enumerate(picks)]
         return folded.select(*rows.columns, *outputs)

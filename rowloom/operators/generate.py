@@ -46,7 +46,7 @@ def generate(
         ]
         for position, (spec, kind) in enumerate(zip(specs, kinds))
     }
-    rows = with_draws(spine, F.col("row_id"), seed)
+    rows = with_draws(spine, seed=seed)
     all_picks = [pick for group in picks.values() for pick in group]
     if all_picks:
         if dictionary is None:

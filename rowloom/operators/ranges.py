@@ -18,12 +18,12 @@ def expand_ranges(
 ) -> DataFrame:
     """Replace each row by one row for each integer of ``start``..``end``.
 
-    A range is cut into blocks first, and the blocks, not the ranges, are spread over
-    the tasks: one range holding most of the integers still runs on every core, and no
-    array grows beyond a block or the number of blocks. The partition count is stated,
-    because the block rows are so small that adaptive execution would otherwise merge
-    them into one task before they are expanded. A range that ends before it starts is
-    empty.
+    A range is cut into blocks first, and the blocks, not the ranges, are dealt out to
+    the tasks in turn: one range holding most of the integers, or many copies of one
+    range, still run on every core, and no array grows beyond a block or the number of
+    blocks. The partition count is stated, because the block rows are so small that
+    adaptive execution would otherwise merge them into one task before they are
+    expanded. A range that ends before it starts is empty.
     """
     spark = ranges.sparkSession
     tasks = partitions or max(
@@ -38,5 +38,4 @@ def expand_ranges(
         .withColumn("__from", F.explode(F.sequence(first, last, F.col("__block"))))
         .withColumn("__to", F.least(F.col("__from") + F.col("__block") - 1, last))
     )
-    spread = blocks.repartition(tasks, *[F.col(name) for name in (start, end, "__from")])
-    return spread.select(*ranges.columns, F.explode(F.sequence("__from", "__to")).alias(output))
+    return blocks.repartition(tasks).select(*ranges.columns, F.explode(F.sequence("__from", "__to")).alias(output))

@@ -59,6 +59,12 @@ def slice_spine(
     return ids.select(*_numbered(F.col("id"), rows_per_slice, "slice_num", first))
 
 
+def group_size(df: DataFrame, key: str, groups: int) -> int:
+    """The run length that divides the keys ``0..max`` of a table into at most ``groups`` runs."""
+    highest = df.agg(F.max(key)).first()[0]
+    return 1 if highest is None else max(1, (highest + groups) // groups)
+
+
 def key_spine(df: DataFrame, key: str, records_per_group: int, group: str = "chunk") -> DataFrame:
     """Number existing rows by a unique integer key, grouped in runs of the key."""
     return df.select(*_numbered(F.col(key).cast("long"), records_per_group, group))

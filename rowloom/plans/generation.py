@@ -14,7 +14,7 @@ from rowloom.operators.bind import bind_positional, positional_schema
 from rowloom.operators.dictionary import Pick, index_words, read_words, words_of
 from rowloom.operators.generate import generate
 from rowloom.operators.rules import PROFILE_A, PROFILE_B
-from rowloom.operators.spines import key_spine
+from rowloom.operators.spines import group_size, key_spine
 from rowloom.plans import duck
 from rowloom.plans.inputs import AS_OF, SEED, document_words, table
 from rowloom.sources.files import read_parquet, write_parquet
@@ -22,6 +22,7 @@ from rowloom.sources.specs import EVENT_SPECS, ColumnSpec
 from rowloom.storage import scratch_path
 
 CHUNK_RECORDS = 1000
+CHUNKS = 100
 BATCH_RECORDS = 40
 TIMED_SPECS = (*EVENT_SPECS, ColumnSpec("updated_at", "DATETIME"))
 
@@ -34,12 +35,12 @@ def _event_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return key_spine(table(spark, sf_dir, "events"), "event_id", BATCH_RECORDS, "batch")
 
 
-def _value_query(value: Column) -> Callable[[SparkSession, str], DataFrame]:
+def _value_query(value: Callable[[], Column]) -> Callable[[SparkSession, str], DataFrame]:
     """One generated value for each order."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = with_draws(_order_spine(spark, sf_dir), F.col("row_id"), SEED)
-        return rows.select("row_id", value.alias("value"))
+        rows = with_draws(_order_spine(spark, sf_dir), seed=SEED)
+        return rows.select("row_id", value().alias("value"))
 
     return query
 
@@ -48,7 +49,7 @@ def _pick_query(field: str, count: int) -> Callable[[SparkSession, str], DataFra
     """``count`` dictionary entries for each order, as one text."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = with_draws(_order_spine(spark, sf_dir), F.col("row_id"), SEED)
+        rows = with_draws(_order_spine(spark, sf_dir), seed=SEED)
         picks = [Pick(f"word_{n}", "value", n, field) for n in range(count)]
         found = document_words(spark, sf_dir).attach(rows, picks)
         return found.select("row_id", F.concat_ws(" ", *[pick.output for pick in picks]).alias("value"))
@@ -82,9 +83,14 @@ def gen_profile_b(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def chunked_write_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Generate a record per order, write them by chunk, read them back and sum up each chunk."""
+    """Generate a record per order, write them by chunk, read them back and sum up each chunk.
+
+    The number of chunks, and so of folders, is fixed; their size grows with the table.
+    """
+    orders = table(spark, sf_dir, "orders")
+    spine = key_spine(orders, "o_orderkey", group_size(orders, "o_orderkey", CHUNKS))
     rows = generate(
-        _order_spine(spark, sf_dir), EVENT_SPECS, PROFILE_A, document_words(spark, sf_dir), SEED, AS_OF,
+        spine, EVENT_SPECS, PROFILE_A, document_words(spark, sf_dir), SEED, AS_OF,
         carry=["chunk"],
     )
     path = scratch_path(spark, "chunks")
@@ -116,14 +122,14 @@ def batch_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "gen_int": _value_query(values.uniform_int("value", 1, 100).cast("int")),
-    "gen_int_wide": _value_query(values.uniform_int("value", 100, 1000)),
-    "gen_bool": _value_query(values.fair_bool("value")),
-    "gen_date": _value_query(values.recent_date("value", AS_OF)),
-    "gen_datetime": _value_query(values.recent_datetime("value", AS_OF)),
-    "gen_since_year": _value_query(values.midnight_since("value", AS_OF)),
-    "gen_sequence": _value_query(values.sequence_text(F.col("record_num"))),
-    "gen_name": _value_query(values.person("value")),
+    "gen_int": _value_query(lambda: values.uniform_int("value", 1, 100).cast("int")),
+    "gen_int_wide": _value_query(lambda: values.uniform_int("value", 100, 1000)),
+    "gen_bool": _value_query(lambda: values.fair_bool("value")),
+    "gen_date": _value_query(lambda: values.recent_date("value", AS_OF)),
+    "gen_datetime": _value_query(lambda: values.recent_datetime("value", AS_OF)),
+    "gen_since_year": _value_query(lambda: values.midnight_since("value", AS_OF)),
+    "gen_sequence": _value_query(lambda: values.sequence_text(F.col("record_num"))),
+    "gen_name": _value_query(lambda: values.person("value")),
     "gen_hash_id": _pick_query("hash_id", 1),
     "gen_word": _pick_query("word", 1),
     "gen_sentence": _pick_query("word", values.SENTENCE_WORDS),
@@ -140,6 +146,11 @@ _ORDERS = duck.with_draws(
                o_orderkey % {CHUNK_RECORDS} AS record_num FROM orders""",
     "row_id", SEED,
 )
+_ORDERS_IN_CHUNKS = duck.with_draws(
+    f"""SELECT o_orderkey AS row_id, o_orderkey // size AS chunk, o_orderkey % size AS record_num
+        FROM orders, (SELECT (max(o_orderkey) + {CHUNKS}) // {CHUNKS} AS size FROM orders)""",
+    "row_id", SEED,
+)
 _EVENTS = duck.with_draws(
     f"""SELECT event_id AS row_id, event_id // {BATCH_RECORDS} AS batch,
                event_id % {BATCH_RECORDS} AS record_num FROM events""",
@@ -210,7 +221,7 @@ ORACLES = {
         SELECT chunk, count(*) AS records, CAST(sum(page_views) AS BIGINT) AS page_views,
                count(*) FILTER (is_logged_in) AS logged_in, min(utc_date) AS first_date,
                max(property_name) AS last_name, min(property_id) AS first_id
-        FROM ({_table_sql(_PROFILE_A, _ORDERS, "chunk, ")}) GROUP BY chunk
+        FROM ({_table_sql(_PROFILE_A, _ORDERS_IN_CHUNKS, "chunk, ")}) GROUP BY chunk
     """,
     "batch_append": f"""
         SELECT sob, count(*) AS records, count(DISTINCT batch) AS batches,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rowloom.functions.values import constant_array
 from rowloom.operators.audit import audit
 from rowloom.operators.rules import PROFILE_A, PROFILE_B, Profile, generator_column, type_column
 from rowloom.plans.inputs import table
@@ -28,8 +29,8 @@ DOCUMENT_SPECS = (
 def _part_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A column spec for each part."""
     key = F.col("p_partkey")
-    suffix = F.get(F.array(*[F.lit(text) for text in SUFFIXES]), (key % len(SUFFIXES)).cast("int"))
-    data_type = F.get(F.array(*[F.lit(text) for text in TYPES]), (F.col("p_size") % len(TYPES)).cast("int"))
+    suffix = F.get(constant_array(SUFFIXES), (key % len(SUFFIXES)).cast("int"))
+    data_type = F.get(constant_array(TYPES), (F.col("p_size") % len(TYPES)).cast("int"))
     length = F.when(data_type == "CHARACTER VARYING", F.col("p_size"))
     return table(spark, sf_dir, "part").select(
         key.cast("int").alias("pos"),

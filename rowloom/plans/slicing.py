@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from rowloom.functions import values
 from rowloom.functions.draws import with_draws
 from rowloom.operators.ranges import expand_ranges
-from rowloom.operators.spines import key_spine, slice_table_spine
+from rowloom.operators.spines import group_size, key_spine, slice_table_spine
 from rowloom.plans import duck
 from rowloom.plans.inputs import SEED, table
 from rowloom.sources.files import read_parquet, write_parquet
@@ -16,7 +16,7 @@ from rowloom.sources.slices import read_slices, slice_label, slice_name
 from rowloom.storage import scratch_path
 
 SLICE_ROWS = 301
-ORDERS_PER_SLICE = 1000
+SLICES = 16
 
 
 def slice_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,7 +42,7 @@ def slice_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
 def slice_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A slice of generated rows for each supplier."""
     spine = slice_table_spine(table(spark, sf_dir, "supplier"), "s_suppkey", SLICE_ROWS)
-    return with_draws(spine, F.col("row_id"), SEED).select(
+    return with_draws(spine, seed=SEED).select(
         "slice_num",
         values.sequence_text(F.col("record_num")).alias("sob"),
         values.uniform_int("page_views", 1, 100).alias("page_views"),
@@ -51,8 +51,9 @@ def slice_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def slice_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Generated rows for the orders, each slice in its folder, read back and summed up."""
-    spine = key_spine(table(spark, sf_dir, "orders"), "o_orderkey", ORDERS_PER_SLICE, "slice_num")
-    rows = with_draws(spine, F.col("row_id"), SEED).select(
+    orders = table(spark, sf_dir, "orders")
+    spine = key_spine(orders, "o_orderkey", group_size(orders, "o_orderkey", SLICES), "slice_num")
+    rows = with_draws(spine, seed=SEED).select(
         slice_name(F.col("slice_num")).alias("slice"),
         values.sequence_text(F.col("record_num")).alias("sob"),
         values.uniform_int("page_views", 1, 100).alias("page_views"),
@@ -80,7 +81,11 @@ _FANOUT = duck.with_draws(
         FROM supplier, range({SLICE_ROWS}) AS numbers(record_num)""",
     "row_id", SEED,
 )
-_ORDER_ROWS = duck.with_draws("SELECT o_orderkey AS row_id FROM orders", "row_id", SEED)
+_ORDER_ROWS = duck.with_draws(
+    f"""SELECT o_orderkey AS row_id, o_orderkey // size AS slice_num, o_orderkey % size AS record_num
+        FROM orders, (SELECT (max(o_orderkey) + {SLICES}) // {SLICES} AS size FROM orders)""",
+    "row_id", SEED,
+)
 ORACLES = {
     "slice_scan": _SLICES,
     "slice_label": f"""SELECT "start" || ' | ' || "end" AS label FROM ({_SLICES})""",
@@ -90,9 +95,9 @@ ORACLES = {
         FROM ({_FANOUT})
     """,
     "slice_output": f"""
-        SELECT printf('slice-%03d', row_id // {ORDERS_PER_SLICE}) AS slice, count(*) AS records,
+        SELECT printf('slice-%03d', slice_num) AS slice, count(*) AS records,
                CAST(sum(1 + {duck.below(100, "page_views")}) AS BIGINT) AS page_views,
-               max(CAST(row_id % {ORDERS_PER_SLICE} AS VARCHAR)) AS last_sob
+               max(CAST(record_num AS VARCHAR)) AS last_sob
         FROM ({_ORDER_ROWS}) GROUP BY 1
     """,
 }

@@ -94,6 +94,11 @@ def spec_documents(specs: DataFrame, *keys: str) -> DataFrame:
     return specs.groupBy(*keys).agg(F.concat(F.lit("data:\n"), F.concat_ws("\n", ordered)).alias("document"))
 
 
+def write_spec_document(specs: DataFrame, path: str) -> None:
+    """Write the specs of one table as a text document."""
+    spec_documents(specs).write.mode("overwrite").text(path)
+
+
 def parse_documents(documents: DataFrame, column: str = "value") -> DataFrame:
     """Column specs from text documents: a ``data`` list of field maps, one field per line.
 

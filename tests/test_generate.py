@@ -1,0 +1,180 @@
+"""Rules, spines, generated tables and their schemas."""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+import pytest
+from hypothesis import given
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from rowloom import jobs
+from rowloom.operators.bind import bind_positional, named_schema, positional_schema
+from rowloom.operators.generate import generate
+from rowloom.operators.rules import PROFILE_A, PROFILE_B, generator_column, generator_of
+from rowloom.operators.spines import batch_spine, chunk_spine, key_spine, slice_spine, slice_table_spine
+from rowloom.sources.files import read_parquet
+from rowloom.sources.specs import EVENT_SPECS, ColumnSpec
+from tests.conftest import plan_of
+
+AS_OF = datetime(2024, 1, 1)
+
+# The generators of the sample table's columns under both profiles.
+DISPATCH = [
+    ("property_id", "hash_id", "hash_id"),
+    ("property_name", "person", "person"),
+    ("sob", "sequence", "sequence"),
+    ("is_logged_in", "boolean", "boolean"),
+    ("mobile_device_locale", "word", "sentence"),
+    ("page_views", "integer", "integer"),
+    ("property_family", "person", "person"),
+    ("utc_date", "date", "date"),
+    ("core_action", "word", "sentence"),
+]
+
+
+@pytest.mark.parametrize("spec, expected", list(zip(EVENT_SPECS, DISPATCH)))
+def test_dispatch_of_the_sample_table(spec, expected):
+    kinds = [generator_of(spec.name, spec.data_type, profile) for profile in (PROFILE_A, PROFILE_B)]
+    assert (spec.name, *kinds) == expected
+
+
+@pytest.mark.parametrize(
+    "name, kind_a, kind_b",
+    [("Id", "hash_id", "sentence"), ("ID", "hash_id", "hash_id"), ("SOB", "sequence", "sentence"),
+     ("Family", "person", "sentence"), ("sob_id", "hash_id", "hash_id"), ("family_sob", "sequence", "sequence"),
+     ("other", "word", "sentence")],
+)
+def test_dispatch_by_case(name, kind_a, kind_b):
+    assert generator_of(name, "VARCHAR", PROFILE_A) == kind_a
+    assert generator_of(name, "VARCHAR", PROFILE_B) == kind_b
+
+
+def test_type_goes_before_name():
+    assert generator_of("id", "BIGINT", PROFILE_A) == "integer"
+    assert generator_of("id", "bigint", PROFILE_A) == "hash_id"
+
+
+def test_table_dispatch_equals_single_dispatch(spark):
+    pairs = []
+
+    @given(st.text(alphabet="idIDsobSOBnameFfly_x", max_size=10),
+           st.sampled_from(["BIGINT", "BOOLEAN", "DATE", "DATETIME", "bigint", "TEXT"]))
+    def gather(name, data_type):
+        pairs.append((name, data_type))
+
+    gather()
+    df = spark.createDataFrame(pairs, "name string, data_type string")
+    for profile in (PROFILE_A, PROFILE_B):
+        kind = generator_column(F.col("name"), F.col("data_type"), profile).alias("kind")
+        for row in df.select("name", "data_type", kind).collect():
+            assert row.kind == generator_of(row.name, row.data_type, profile)
+
+
+def test_chunks_restart_the_record_number(spark):
+    rows = [tuple(row) for row in chunk_spine(spark, 3, 4).orderBy("row_id").collect()]
+    assert rows == [(n, n // 4, n % 4) for n in range(12)]
+
+
+def test_batch_has_128_partitions(spark):
+    spine = batch_spine(spark, 1000)
+    assert spine.rdd.getNumPartitions() == 128 and spine.count() == 1000
+
+
+def test_slices_include_both_ends(spark):
+    rows = slice_spine(spark, 2, 4, 5).groupBy("slice_num").count().collect()
+    assert sorted(map(tuple, rows)) == [(2, 5), (3, 5), (4, 5)]
+    assert slice_spine(spark, 4, 2, 5).count() == 0
+
+
+def test_key_spine_beyond_double_precision(spark):
+    big = (1 << 62) + 7
+    row = key_spine(spark.createDataFrame([(big,)], "k long"), "k", 10).first()
+    assert (row.chunk, row.record_num) == (big // 10, big % 10)
+
+
+def test_slices_of_a_table(spark):
+    spine = slice_table_spine(spark.createDataFrame([(3,), (5,)], "n int"), "n", 4)
+    assert sorted(tuple(row) for row in spine.collect()) == [
+        (n * 4 + record, n, record) for n in (3, 5) for record in range(4)
+    ]
+
+
+@pytest.mark.parametrize("profile", [PROFILE_A, PROFILE_B])
+def test_generated_schema_and_determinism(spark, dictionary, profile):
+    specs = [*EVENT_SPECS, ColumnSpec("updated", "DATETIME")]
+    first, second = (
+        generate(chunk_spine(spark, 4, 50, partitions=n), specs, profile, dictionary, 3, AS_OF) for n in (1, 9)
+    )
+    expected = [(field.name, field.dataType) for field in named_schema(specs, profile)]
+    assert [(field.name, field.dataType) for field in first.schema] == expected
+    assert sorted(first.collect()) == sorted(second.collect())
+    other = generate(chunk_spine(spark, 4, 50), specs, profile, dictionary, 4, AS_OF)
+    assert sorted(first.collect()) != sorted(other.collect())
+    assert all(value is not None for row in first.collect() for value in row)
+
+
+def test_sentences_have_ten_words(spark, dictionary):
+    rows = generate(chunk_spine(spark, 1, 100), EVENT_SPECS, PROFILE_B, dictionary, as_of=AS_OF).collect()
+    assert all(len(row.core_action.split(" ")) == 10 for row in rows)
+    assert len({row.core_action for row in rows}) == 100
+
+
+def test_global_sequence_is_unique(spark, dictionary):
+    spine = chunk_spine(spark, 5, 20)
+    local = generate(spine, EVENT_SPECS, PROFILE_A, dictionary, as_of=AS_OF)
+    unique = generate(spine, EVENT_SPECS, PROFILE_A, dictionary, as_of=AS_OF, sequence="row_id")
+    assert local.select("sob").distinct().count() == 20
+    assert unique.select("sob").distinct().count() == 100
+
+
+def test_generation_runs_no_python_and_no_shuffle(spark, dictionary):
+    plan = plan_of(generate(chunk_spine(spark, 5, 20), EVENT_SPECS, PROFILE_B, dictionary, as_of=AS_OF))
+    assert "Python" not in plan and "Join" not in plan
+    # Exchanges occur only inside the subqueries that gather the dictionary.
+    assert "Exchange" not in plan.split("Subquery")[0]
+
+
+def test_missing_dictionary_is_reported(spark):
+    with pytest.raises(ValueError, match="dictionary"):
+        generate(chunk_spine(spark, 1, 1), EVENT_SPECS, PROFILE_A)
+
+
+def test_positional_schema():
+    schema = positional_schema(EVENT_SPECS, PROFILE_A)
+    assert [field.name for field in schema] == [f"Col{n}" for n in range(1, 10)]
+    assert [n for n, field in enumerate(schema, 1) if not field.nullable] == [7]
+    assert isinstance(schema["Col6"].dataType, T.IntegerType) and isinstance(schema["Col8"].dataType, T.DateType)
+
+
+def test_binding_enforces_width_and_nulls(spark):
+    schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType(), False)])
+    good = bind_positional(spark.createDataFrame([(1, "x")], "p long, q string"), schema)
+    assert good.schema == schema and good.collect() == [(1, "x")]
+    with pytest.raises(ValueError):
+        bind_positional(spark.createDataFrame([(1,)], "p long"), schema)
+    bad = bind_positional(spark.createDataFrame([(1, None)], "p long, q string"), schema)
+    with pytest.raises(Exception, match="required column b"):
+        bad.collect()
+
+
+def test_chunk_job(spark, dictionary, tmp_path):
+    path = str(tmp_path / "chunks")
+    for _ in range(2):
+        jobs.write_chunks(spark, EVENT_SPECS, path, dictionary, 3, 10, partition_by="Col4", as_of=AS_OF)
+    assert read_parquet(spark, path).count() == 60
+    assert {entry.name for entry in (tmp_path / "chunks").iterdir() if entry.is_dir()} == {"Col4=true", "Col4=false"}
+
+
+def test_batch_job(spark, dictionary, tmp_path):
+    jobs.write_batches(spark, EVENT_SPECS, str(tmp_path), dictionary, 3, 5, as_of=AS_OF)
+    counts = read_parquet(spark, str(tmp_path)).groupBy("sob").count().collect()
+    assert sorted(map(tuple, counts)) == [(n, 3) for n in range(5)]
+
+
+def test_slice_job(spark, dictionary, tmp_path):
+    jobs.write_slices(spark, EVENT_SPECS, str(tmp_path), 7, 9, dictionary, 20, as_of=AS_OF)
+    counts = read_parquet(spark, str(tmp_path)).groupBy("slice").count().collect()
+    assert sorted(map(tuple, counts)) == [(f"slice-{n:03d}", 20) for n in (7, 8, 9)]
