@@ -28,7 +28,13 @@ def words_of(texts: DataFrame, column: str, min_letters: int = 3) -> DataFrame:
     """The distinct lower-case words of a text column.
 
     The distinct is partial before the shuffle, so a frequent word leaves each task once.
+    Texts in fewer file splits than there are cores are dealt out first, as splitting
+    them is the costly part; larger inputs are not moved.
     """
+    cores = texts.sparkSession.sparkContext.defaultParallelism
+    texts = texts.select(column)
+    if texts.rdd.getNumPartitions() < cores:
+        texts = texts.repartition(cores)
     words = texts.select(F.explode(F.split(F.lower(column), r"\P{L}+")).alias("word"))
     return words.where(F.length("word") >= min_letters).distinct()
 

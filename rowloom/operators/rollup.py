@@ -28,9 +28,13 @@ def distinct_sizes(files: DataFrame) -> DataFrame:
 
 
 def size_number(size: Column) -> Column:
-    """A size text as a number: its leading integer, or 0 where it has none."""
+    """A size text as a number: its leading integer, or 0 where it has none.
+
+    A ``try_cast`` would raise and catch an exception for each text without a number,
+    which is slow where many files have no size.
+    """
     leading = F.regexp_extract(size, r"^\s*([+-]?\d+)", 1)
-    return F.coalesce(size.try_cast("long"), leading.try_cast("long"), F.lit(0).cast("long"))
+    return F.when(leading != "", leading.cast("long")).otherwise(F.lit(0).cast("long"))
 
 
 def sum_by_path(sizes: DataFrame) -> DataFrame:

@@ -108,12 +108,17 @@ def parse_documents(documents: DataFrame, column: str = "value") -> DataFrame:
     others = [name for name in documents.columns if name != column]
     items = F.split(F.regexp_replace(F.col(column), r"\A\s*data:\s*\n\s*- ", ""), r"\n\s*- ")
     pairs = F.str_to_map(F.regexp_replace(F.trim(F.col("item")), r"\n\s+", "\n"), F.lit("\n"), F.lit(": "))
-    fields = documents.select(*others, F.posexplode(items).alias("at", "item")).withColumn("pairs", pairs)
+    raw = {name: F.trim(F.element_at("pairs", F.lit(name))) for name in DOCUMENT_FIELDS}
+    fields = (
+        documents.select(*others, F.posexplode(items).alias("at", "item"))
+        .select(*others, "at", pairs.alias("pairs"))
+        .select(*others, "at", *[text.alias(f"raw_{name}") for name, text in raw.items()])
+    )
 
     def text(name: str) -> Column:
-        raw = F.trim(F.element_at("pairs", F.lit(name)))
-        unquoted = F.replace(F.regexp_extract(raw, r"(?s)^'(.*)'$", 1), F.lit("''"), F.lit("'"))
-        return F.when(raw == "null", None).when(raw.startswith("'"), unquoted).otherwise(raw)
+        value = F.col(f"raw_{name}")
+        unquoted = F.replace(value.substr(F.lit(2), F.length(value) - 2), F.lit("''"), F.lit("'"))
+        return F.when(value == "null", None).when(value.startswith("'"), unquoted).otherwise(value)
 
     def flag(name: str) -> Column:
         return F.coalesce(text(name).cast("boolean"), F.lit(False)).alias(name)
