@@ -24,15 +24,14 @@ def _key(df: DataFrame, spec: ColumnSpec) -> Column:
     return column
 
 
-def _repeats(df: DataFrame, positions: list[int], keys: list[Column]) -> DataFrame:
-    """Rows beyond the first of each key, reported for the positions the key covers."""
-    named = [key.alias(f"key_{n}") for n, key in enumerate(keys)]
-    present = reduce(lambda a, b: a & b, [F.col(f"key_{n}").isNotNull() for n in range(len(keys))])
-    groups = df.select(*named).where(present).groupBy(*[f"key_{n}" for n in range(len(keys))]).count()
+def _repeats(df: DataFrame, covered: list[tuple[int, ColumnSpec]]) -> DataFrame:
+    """Rows beyond the first of each key, reported for each column of the key."""
+    present = reduce(lambda a, b: a & b, [F.col(f"`{spec.name}`").isNotNull() for _, spec in covered])
+    keys = [_key(df, spec).alias(f"key_{position}") for position, spec in covered]
+    groups = df.where(present).groupBy(*keys).count()
     surplus = groups.agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("duplicate_count"))
-    covered = F.explode(constant_array(positions, "int")).alias("pos")
     return surplus.select(
-        covered,
+        F.explode(constant_array([position for position, _ in covered], "int")).alias("pos"),
         F.lit(0).cast("long").alias("null_count"),
         F.lit(0).cast("long").alias("overlength_count"),
         "duplicate_count",
@@ -66,11 +65,10 @@ def audit(df: DataFrame, specs: Sequence[ColumnSpec]) -> DataFrame:
     found = df.agg(F.array(*counts).alias("counts")).select(F.inline("counts"))
     primary = [(position, spec) for position, spec in numbered if spec.primary_key]
     if primary:
-        keys = [_key(df, spec) for _, spec in primary]
-        found = found.unionByName(_repeats(df, [position for position, _ in primary], keys))
+        found = found.unionByName(_repeats(df, primary))
     for position, spec in numbered:
         if spec.unique:
-            found = found.unionByName(_repeats(df, [position], [_key(df, spec)]))
+            found = found.unionByName(_repeats(df, [(position, spec)]))
     names = constant_array([spec.name for spec in specs])
     return (
         found.groupBy("pos")

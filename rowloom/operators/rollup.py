@@ -34,7 +34,7 @@ def size_number(size: Column) -> Column:
     which is slow where many files have no size.
     """
     leading = F.regexp_extract(size, r"^\s*([+-]?\d+)", 1)
-    return F.when(leading != "", leading.cast("long")).otherwise(F.lit(0).cast("long"))
+    return F.coalesce(F.nullif(leading, F.lit("")).cast("long"), F.lit(0).cast("long"))
 
 
 def sum_by_path(sizes: DataFrame) -> DataFrame:
