@@ -19,6 +19,8 @@ MASK = 0xFFFFFFFF
 MULTIPLIER = 0x45D9F3B
 # Above this range one 32-bit draw would be visibly uneven, so two are combined.
 NARROW_RANGE = 1 << 20
+# Largest range: two draws give 52 bits, ten more than it needs.
+WIDE_RANGE = 1 << 42
 
 
 def constant(*parts: object) -> int:
@@ -55,8 +57,8 @@ def with_draws(rows: DataFrame, key: str = "row_id", seed: int = 0) -> DataFrame
 
 def below_numbered(size: int, first: str, second: str) -> Column:
     """A uniform bigint in ``[0, size)`` from the SQL texts of a pair of label numbers."""
-    if size < 1:
-        raise ValueError("a draw needs a range of at least one value")
+    if not 1 <= size <= WIDE_RANGE:
+        raise ValueError(f"a draw has between 1 and {WIDE_RANGE} values, not {size}")
 
     def draw(number: str) -> str:
         return f"(({_mix(f'(__draw_a ^ {number})')} + __draw_b) & {MASK}L)"

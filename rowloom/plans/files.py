@@ -62,7 +62,10 @@ def tsv_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def catalog_clone_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clone the customers' columns into an empty table, load their text twice and read the table."""
+    """Clone the customers' columns into an empty table, load their text twice and read the table.
+
+    The table is external: dropping its name leaves the files, which the result reads.
+    """
     customers, path = table(spark, sf_dir, "customer"), scratch_path(spark, "load")
     customers.write.csv(path, sep=catalog.FIELD_SEPARATOR)
     source, name = (f"rowloom_{part}_{uuid4().hex}" for part in ("source", "clone"))
@@ -71,7 +74,9 @@ def catalog_clone_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     spark.catalog.dropTempView(source)
     catalog.load_data(spark, name, path)
     catalog.load_data(spark, name, path)
-    return catalog.query_table(spark, name)
+    rows = catalog.query_table(spark, name)
+    spark.sql(f"DROP TABLE {name}")
+    return rows
 
 
 def order_preview(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,8 +13,8 @@ from rowloom.functions.people import COMMON_PEOPLE
 from rowloom.operators.bind import bind_positional, positional_schema
 from rowloom.operators.dictionary import Pick, index_words, read_words, words_of
 from rowloom.operators.generate import generate
-from rowloom.operators.rules import PROFILE_A, PROFILE_B
-from rowloom.operators.spines import group_size, key_spine
+from rowloom.operators.rules import PROFILE_A, PROFILE_B, Profile
+from rowloom.operators.spines import batch_spine, chunk_spine, group_size, key_spine
 from rowloom.plans import duck
 from rowloom.plans.inputs import AS_OF, SEED, document_words, table
 from rowloom.sources.files import read_parquet, write_parquet
@@ -24,6 +24,8 @@ from rowloom.storage import scratch_path
 CHUNK_RECORDS = 1000
 CHUNKS = 100
 BATCH_RECORDS = 40
+PLAIN_NAMES = ("property_name", "sob", "is_logged_in", "page_views", "utc_date")
+PLAIN_SPECS = tuple(spec for spec in EVENT_SPECS if spec.name in PLAIN_NAMES)
 TIMED_SPECS = (*EVENT_SPECS, ColumnSpec("updated_at", "DATETIME"))
 
 
@@ -82,6 +84,22 @@ def gen_profile_b(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _plain_rows(spine: DataFrame, profile: Profile, carry: str) -> DataFrame:
+    """The sample columns that need no dictionary."""
+    return generate(spine, PLAIN_SPECS, profile, None, SEED, AS_OF, carry=["row_id", carry])
+
+
+def gen_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A hundred chunks of records, as many records in all as there are orders, rounded up."""
+    records = -(-table(spark, sf_dir, "orders").count() // CHUNKS)
+    return _plain_rows(chunk_spine(spark, CHUNKS, records), PROFILE_A, "chunk")
+
+
+def gen_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One batch of as many records as there are events."""
+    return _plain_rows(batch_spine(spark, table(spark, sf_dir, "events").count()), PROFILE_B, "batch")
+
+
 def chunked_write_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Generate a record per order, write them by chunk, read them back and sum up each chunk.
 
@@ -135,6 +153,8 @@ QUERIES = {
     "gen_sentence": _pick_query("word", values.SENTENCE_WORDS),
     "hash_id_documents": hash_id_documents,
     "dictionary_scan": dictionary_scan,
+    "gen_chunks": gen_chunks,
+    "gen_batch": gen_batch,
     "gen_profile_a": gen_profile_a,
     "gen_profile_b": gen_profile_b,
     "chunked_write_summary": chunked_write_summary,
@@ -156,6 +176,17 @@ _EVENTS = duck.with_draws(
                event_id % {BATCH_RECORDS} AS record_num FROM events""",
     "row_id", SEED,
 )
+_CHUNK_ROWS = duck.with_draws(
+    f"""SELECT row_id, row_id // size AS chunk, row_id % size AS record_num
+        FROM (SELECT unnest(range(size * {CHUNKS})) AS row_id, size
+              FROM (SELECT (count(*) + {CHUNKS - 1}) // {CHUNKS} AS size FROM orders))""",
+    "row_id", SEED,
+)
+_BATCH_ROWS = duck.with_draws(
+    """SELECT row_id, 0 AS batch, row_id AS record_num
+       FROM (SELECT unnest(range(n)) AS row_id FROM (SELECT count(*) AS n FROM events))""",
+    "row_id", SEED,
+)
 
 
 def _value_sql(expression: str) -> str:
@@ -194,6 +225,11 @@ def _table_sql(columns: dict[str, str], rows: str, carry: str = "") -> str:
     return f"SELECT {carry}{listed} FROM ({rows}), ({duck.WORDS})"
 
 
+def _plain_sql(columns: dict[str, str], carry: str, rows: str) -> str:
+    listed = ", ".join(f"{columns[name]} AS {name}" for name in PLAIN_NAMES)
+    return f"SELECT row_id, {carry}, {listed} FROM ({rows})"
+
+
 ORACLES = {
     "gen_int": _value_sql(f"CAST(1 + {duck.below(100, 'value')} AS INTEGER)"),
     "gen_int_wide": _value_sql(f"100 + {duck.below(901, 'value')}"),
@@ -213,6 +249,8 @@ ORACLES = {
         SELECT idx - 1 AS idx, words[idx] AS word, hash_ids[idx] AS hash_id
         FROM (SELECT unnest(range(1, n + 1)) AS idx, words, hash_ids FROM ({duck.WORDS}))
     """,
+    "gen_chunks": _plain_sql(_PROFILE_A, "chunk", _CHUNK_ROWS),
+    "gen_batch": _plain_sql(_PROFILE_B, "batch", _BATCH_ROWS),
     "gen_profile_a": _table_sql(
         {f"Col{n}": expression for n, expression in enumerate(_PROFILE_A.values(), start=1)}, _ORDERS
     ),

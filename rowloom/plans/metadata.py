@@ -176,7 +176,8 @@ ORACLES = {
     "ddl_extract": _DDL_COLUMNS,
     "ddl_documents": _DDL_COLUMNS,
     "constraint_audit": """
-        SELECT 1 AS pos, 'doc_id' AS name, count(*) - count(doc_id) AS null_count, CAST(0 AS BIGINT) AS overlength_count,
+        SELECT 1 AS pos, 'doc_id' AS name, count(*) - count(doc_id) AS null_count,
+               CAST(0 AS BIGINT) AS overlength_count,
                count(doc_id) - count(DISTINCT doc_id) AS duplicate_count FROM documents
         UNION ALL SELECT 2, 'text', count(*) - count(text), count(*) FILTER (length(text) > 2000),
                count(text) - count(DISTINCT text) FROM documents

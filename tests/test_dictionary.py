@@ -46,13 +46,19 @@ def test_empty_dictionary_is_refused(spark):
         Dictionary.build(spark.createDataFrame([], "word string"))
 
 
-def test_both_paths_agree(spark, dictionary):
-    rows = with_draws(spark.range(5000).withColumnRenamed("id", "row_id"))
-    small = dictionary.attach(rows, PICKS)
-    large = dictionary.attach(rows, PICKS, broadcast_bytes=0)
+@pytest.mark.parametrize("picks", [PICKS, PICKS[:1], PICKS[2:], []])
+def test_both_paths_agree(spark, dictionary, picks):
+    rows = with_draws(spark.range(2000).withColumnRenamed("id", "row_id"))
+    small = dictionary.attach(rows, picks)
+    large = dictionary.attach(rows, picks, broadcast_bytes=0)
     assert small.columns == large.columns
     assert sorted(small.collect()) == sorted(large.collect())
-    assert {row.a for row in small.collect()} == {f"word{n}" for n in range(500)}
+
+
+def test_every_word_is_picked(spark, dictionary):
+    rows = with_draws(spark.range(10_000).withColumnRenamed("id", "row_id"))
+    found = dictionary.attach(rows, PICKS).select("a").distinct().collect()
+    assert {row.a for row in found} == {f"word{n}" for n in range(500)}
 
 
 def test_size_decides_the_path(spark, dictionary):

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from rowloom.functions.draws import NARROW_RANGE, below, with_draws
+from rowloom.functions.draws import NARROW_RANGE, WIDE_RANGE, below, with_draws
 from tests.conftest import plan_of
 
 ROWS = 200_000
@@ -75,9 +75,10 @@ def test_wide_range_is_filled(spark):
     assert chi_square(counts, 100, ROWS) < 160
 
 
-def test_empty_range_is_refused():
+@pytest.mark.parametrize("size", [0, -1, WIDE_RANGE + 1])
+def test_other_ranges_are_refused(size):
     with pytest.raises(ValueError):
-        below(0, "x")
+        below(size, "x")
 
 
 def test_stays_in_generated_code(spark):

@@ -58,7 +58,8 @@ def test_frequent_partition_value_is_split(spark, tmp_path):
     before = spark.conf.get(key)
     spark.conf.set(key, "64KB")
     try:
-        df = spark.range(0, 400_000, 1, 8).select("id", F.when(F.col("id") % 10 == 0, "rare").otherwise("hot").alias("part"))
+        part = F.when(F.col("id") % 10 == 0, "rare").otherwise("hot").alias("part")
+        df = spark.range(0, 400_000, 1, 8).select("id", part)
         files.write_parquet(df, str(tmp_path / "out"), partition_by="part")
     finally:
         spark.conf.set(key, before)
