@@ -14,8 +14,8 @@ from rowloom.storage import scratch_path
 # Words are ordered by their SHA-256. The leading hex digits cut that order into
 # buckets of even size, whatever the words are.
 BUCKET_DIGITS = 3
-# Largest dictionary that is sent to every executor, as bytes of its rows in memory.
-BROADCAST_BYTES = 64 * 1024 * 1024
+# Largest dictionary that is sent to every task, as bytes of its rows in memory.
+BROADCAST_BYTES = 32 * 1024 * 1024
 ROW_OVERHEAD_BYTES = 64
 
 
@@ -28,13 +28,7 @@ def words_of(texts: DataFrame, column: str, min_letters: int = 3) -> DataFrame:
     """The distinct lower-case words of a text column.
 
     The distinct is partial before the shuffle, so a frequent word leaves each task once.
-    Texts in fewer file splits than there are cores are dealt out first, as splitting
-    them is the costly part; larger inputs are not moved.
     """
-    cores = texts.sparkSession.sparkContext.defaultParallelism
-    texts = texts.select(column)
-    if texts.rdd.getNumPartitions() < cores:
-        texts = texts.repartition(cores)
     words = texts.select(F.explode(F.split(F.lower(column), r"\P{L}+")).alias("word"))
     return words.where(F.length("word") >= min_letters).distinct()
 
@@ -119,12 +113,14 @@ class Dictionary(NamedTuple):
         return below(self.size, pick.label, pick.index)
 
     def _attach_array(self, rows: DataFrame, picks: list[Pick]) -> DataFrame:
-        """Look every pick up in an array of the words, which each executor gets once.
+        """Look every pick up in an array of the words.
 
         The array is a scalar subquery that all picks of a field share. Only a measured
-        dictionary below the limit comes here, so its one row is bounded. An array access
-        per pick stays in one generated loop; a chain of broadcast joins, which is the
-        other way to write this, measured five times slower for two sentences a row.
+        dictionary below the limit comes here, so its one row is bounded. The array
+        travels with the stage's broadcast code, once to an executor, and every running
+        task unpacks its own copy: a task's memory grows by at most the limit. An array
+        access per pick stays in one generated loop; a chain of broadcast joins, which is
+        the other way to write this, measured five times slower for two sentences a row.
         """
         arrays = {
             field: self.entries.agg(

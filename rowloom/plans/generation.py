@@ -11,12 +11,12 @@ from rowloom.functions import values
 from rowloom.functions.draws import with_draws
 from rowloom.functions.people import COMMON_PEOPLE
 from rowloom.operators.bind import bind_positional, positional_schema
-from rowloom.operators.dictionary import Pick, index_words, read_words, words_of
+from rowloom.operators.dictionary import Pick, index_words, read_words
 from rowloom.operators.generate import generate
 from rowloom.operators.rules import PROFILE_A, PROFILE_B, Profile
 from rowloom.operators.spines import batch_spine, chunk_spine, group_size, key_spine
 from rowloom.plans import duck
-from rowloom.plans.inputs import AS_OF, SEED, document_words, table
+from rowloom.plans.inputs import AS_OF, SEED, document_dictionary, document_words, table
 from rowloom.sources.files import read_parquet, write_parquet
 from rowloom.sources.specs import EVENT_SPECS, ColumnSpec
 from rowloom.storage import scratch_path
@@ -53,7 +53,7 @@ def _pick_query(field: str, count: int) -> Callable[[SparkSession, str], DataFra
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = with_draws(_order_spine(spark, sf_dir), seed=SEED)
         picks = [Pick(f"word_{n}", "value", n, field) for n in range(count)]
-        found = document_words(spark, sf_dir).attach(rows, picks)
+        found = document_dictionary(spark, sf_dir).attach(rows, picks)
         return found.select("row_id", F.concat_ws(" ", *[pick.output for pick in picks]).alias("value"))
 
     return query
@@ -67,20 +67,20 @@ def hash_id_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dictionary_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the words of the documents as a word list, read it back and index it."""
     path = scratch_path(spark, "words")
-    words_of(table(spark, sf_dir, "documents"), "text").write.text(path)
+    document_words(spark, sf_dir).write.text(path)
     return index_words(read_words(spark, path))
 
 
 def gen_profile_a(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = generate(
-        _order_spine(spark, sf_dir), EVENT_SPECS, PROFILE_A, document_words(spark, sf_dir), SEED, AS_OF
+        _order_spine(spark, sf_dir), EVENT_SPECS, PROFILE_A, document_dictionary(spark, sf_dir), SEED, AS_OF
     )
     return bind_positional(rows, positional_schema(EVENT_SPECS, PROFILE_A))
 
 
 def gen_profile_b(spark: SparkSession, sf_dir: str) -> DataFrame:
     return generate(
-        _event_spine(spark, sf_dir), TIMED_SPECS, PROFILE_B, document_words(spark, sf_dir), SEED, AS_OF
+        _event_spine(spark, sf_dir), TIMED_SPECS, PROFILE_B, document_dictionary(spark, sf_dir), SEED, AS_OF
     )
 
 
@@ -108,7 +108,7 @@ def chunked_write_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     spine = key_spine(orders, "o_orderkey", group_size(orders, "o_orderkey", CHUNKS))
     rows = generate(
-        spine, EVENT_SPECS, PROFILE_A, document_words(spark, sf_dir), SEED, AS_OF,
+        spine, EVENT_SPECS, PROFILE_A, document_dictionary(spark, sf_dir), SEED, AS_OF,
         carry=["chunk"],
     )
     path = scratch_path(spark, "chunks")
@@ -125,7 +125,7 @@ def chunked_write_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def batch_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Generate batches of records for the events, append them by record number and read them back."""
-    dictionary = document_words(spark, sf_dir)
+    dictionary = document_dictionary(spark, sf_dir)
     rows = generate(
         _event_spine(spark, sf_dir), EVENT_SPECS, PROFILE_B, dictionary, SEED, AS_OF, carry=["batch"]
     )

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from rowloom.operators.dictionary import Dictionary, words_of
+from rowloom.sources.files import spread_scan
 
 # Generated dates end here, so that results do not depend on the day of the run.
 AS_OF = datetime(2024, 1, 1)
@@ -17,6 +18,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def document_words(spark: SparkSession, sf_dir: str) -> Dictionary:
+def document_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All words of the documents."""
+    return words_of(spread_scan(table(spark, sf_dir, "documents").select("text")), "text")
+
+
+def document_dictionary(spark: SparkSession, sf_dir: str) -> Dictionary:
     """A dictionary of all words of the documents."""
-    return Dictionary.build(words_of(table(spark, sf_dir, "documents"), "text"))
+    return Dictionary.build(document_words(spark, sf_dir))

@@ -31,6 +31,16 @@ def read_parquet(spark: SparkSession, path: str, schema: StructType | str | None
     return reader.parquet(path)
 
 
+def spread_scan(scan: DataFrame) -> DataFrame:
+    """Deal the rows of a small file scan out to all cores, before costly work on each row.
+
+    A scan with at least a split per core is returned as it is, so large data is never
+    moved. ``scan`` must hold no shuffle: asking for its partitions would run it.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def write_parquet(
     df: DataFrame, path: str, mode: str = "append", partition_by: str | None = None, regroup: bool = True
 ) -> None:

@@ -67,6 +67,19 @@ def test_frequent_partition_value_is_split(spark, tmp_path):
     assert files.read_parquet(spark, str(tmp_path / "out")).count() == 400_000
 
 
+def test_only_small_scans_are_spread(spark, tmp_path):
+    for parts in (1, 64):
+        spark.range(0, 6400, 1, parts).write.parquet(str(tmp_path / str(parts)))
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(32 << 20))
+    try:
+        small, large = (spark.read.parquet(str(tmp_path / name)) for name in ("1", "64"))
+        assert "RoundRobin" in plan_of(files.spread_scan(small)) and files.spread_scan(small).count() == 6400
+        assert "Exchange" not in plan_of(files.spread_scan(large))
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before)
+
+
 def test_tsv_has_tabs_and_no_header(spark, tmp_path):
     df = spark.createDataFrame([(1, "a"), (2, None), (3, "x\ty")], "n int, t string")
     for _ in range(2):
