@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-# Fixed value: the default field separator of text loaded into catalog tables.
+# The separator and the null text of the customary table text format.
 FIELD_SEPARATOR = "\u0001"
+NULL_TEXT = r"\N"
 
 
 def no_rows(df: DataFrame) -> DataFrame:
@@ -32,9 +34,17 @@ def create_table(
 
 
 def load_data(spark: SparkSession, name: str, path: str, separator: str = FIELD_SEPARATOR) -> None:
-    """Append delimited text files to a table, field by field."""
-    schema = spark.table(name).schema
-    spark.read.schema(schema).csv(path, sep=separator).write.insertInto(name)
+    """Append delimited text files to a table, field by field.
+
+    A line is a row and quotes are plain characters. Missing fields, null texts and values
+    that do not fit a column's type are null; fields beyond the last column are dropped.
+    """
+    fields = F.split(F.col("value"), rf"\Q{separator}\E")
+    columns = []
+    for position, column in enumerate(spark.table(name).schema):
+        text = F.get(fields, position)
+        columns.append(F.when(text != NULL_TEXT, text).try_cast(column.dataType).alias(column.name))
+    spark.read.text(path).select(*columns).write.insertInto(name)
 
 
 def query_table(spark: SparkSession, name: str) -> DataFrame:

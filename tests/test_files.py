@@ -111,6 +111,18 @@ def test_catalog_table_life(spark, tmp_path):
         spark.sql("DROP TABLE kv_schema")
 
 
+def test_loaded_text_is_taken_literally(spark, tmp_path):
+    catalog.create_table(spark, "kv_text", schema=spark.range(0).selectExpr("1 AS k", "'' AS v", "1.5D AS d").schema)
+    (tmp_path / "kv.txt").write_text('1|"q|2.5|extra\n2||x\n\\N|\\N|\\N\nz|a\n')
+    try:
+        catalog.load_data(spark, "kv_text", str(tmp_path / "kv.txt"), "|")
+        found = [tuple(row) for row in catalog.query_table(spark, "kv_text").collect()]
+    finally:
+        spark.sql("DROP TABLE kv_text")
+    assert sorted(found, key=repr) == sorted(
+        [(1, '"q', 2.5), (2, "", None), (None, None, None), (None, "a", None)], key=repr)
+
+
 def test_table_needs_one_model(spark):
     with pytest.raises(ValueError):
         catalog.create_table(spark, "nothing")
