@@ -16,7 +16,7 @@ from rowloom.operators.generate import generate
 from rowloom.operators.rules import PROFILE_A, PROFILE_B, Profile
 from rowloom.operators.spines import batch_spine, chunk_spine, group_size, key_spine
 from rowloom.plans import duck
-from rowloom.plans.inputs import AS_OF, SEED, document_dictionary, document_words, table
+from rowloom.plans.inputs import AS_OF, SEED, document_dictionary, document_words, spread_table, table
 from rowloom.sources.files import read_parquet, write_parquet
 from rowloom.sources.specs import EVENT_SPECS, ColumnSpec
 from rowloom.storage import scratch_path
@@ -30,11 +30,11 @@ TIMED_SPECS = (*EVENT_SPECS, ColumnSpec("updated_at", "DATETIME"))
 
 
 def _order_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return key_spine(table(spark, sf_dir, "orders"), "o_orderkey", CHUNK_RECORDS)
+    return key_spine(spread_table(spark, sf_dir, "orders", "o_orderkey"), "o_orderkey", CHUNK_RECORDS)
 
 
 def _event_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return key_spine(table(spark, sf_dir, "events"), "event_id", BATCH_RECORDS, "batch")
+    return key_spine(spread_table(spark, sf_dir, "events", "event_id"), "event_id", BATCH_RECORDS, "batch")
 
 
 def _value_query(value: Callable[[], Column]) -> Callable[[SparkSession, str], DataFrame]:
@@ -105,8 +105,8 @@ def chunked_write_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The number of chunks, and so of folders, is fixed; their size grows with the table.
     """
-    orders = table(spark, sf_dir, "orders")
-    spine = key_spine(orders, "o_orderkey", group_size(orders, "o_orderkey", CHUNKS))
+    records = group_size(table(spark, sf_dir, "orders"), "o_orderkey", CHUNKS)
+    spine = key_spine(spread_table(spark, sf_dir, "orders", "o_orderkey"), "o_orderkey", records)
     rows = generate(
         spine, EVENT_SPECS, PROFILE_A, document_dictionary(spark, sf_dir), SEED, AS_OF,
         carry=["chunk"],

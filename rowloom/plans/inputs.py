@@ -18,9 +18,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a table, over all cores where it is small: for costly work on each row."""
+    return spread_scan(table(spark, sf_dir, name).select(*columns))
+
+
 def document_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All words of the documents."""
-    return words_of(spread_scan(table(spark, sf_dir, "documents").select("text")), "text")
+    return words_of(spread_table(spark, sf_dir, "documents", "text"), "text")
 
 
 def document_dictionary(spark: SparkSession, sf_dir: str) -> Dictionary:

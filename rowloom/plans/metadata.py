@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from rowloom.functions.values import constant_array
 from rowloom.operators.audit import audit
 from rowloom.operators.rules import PROFILE_A, PROFILE_B, Profile, generator_column, type_column
-from rowloom.plans.inputs import table
+from rowloom.plans.inputs import spread_table, table
 from rowloom.sources import ddl, specs
 from rowloom.sources.specs import ColumnSpec
 from rowloom.storage import scratch_path
@@ -85,7 +85,8 @@ def _ddl_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(size % 2 == 0, "unique").otherwise(""),
         F.lit(",\n)\nDISTSTYLE KEY\nDISTKEY(code_"), key, F.lit(")\nSORTKEY(stocked);"),
     )
-    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("ddl_id"), text.alias("ddl_text"))
+    parts = spread_table(spark, sf_dir, "part", "p_partkey", "p_size", "p_type")
+    return parts.select(F.col("p_partkey").alias("ddl_id"), text.alias("ddl_text"))
 
 
 def ddl_extract(spark: SparkSession, sf_dir: str) -> DataFrame:

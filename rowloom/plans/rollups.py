@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowloom.operators import rollup
-from rowloom.plans.inputs import table
+from rowloom.plans.inputs import spread_table, table
 
 
 def _files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,7 +20,8 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = F.concat(F.lit("parts/"), F.col("l_partkey").cast("string"))
     object_id = F.sha1(F.col("l_orderkey").cast("string"))
     line = F.concat(F.lit("100644 blob "), object_id, F.lit(" "), F.lpad(size, 7, " "), F.lit("\t"), path)
-    return table(spark, sf_dir, "lineitem").select(line.alias("value"))
+    items = spread_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_quantity", "l_returnflag")
+    return items.select(line.alias("value"))
 
 
 def flatten_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
