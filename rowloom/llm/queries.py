@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rowloom.llm import quality, toxicity
 from rowloom.llm.common import read_table
 from rowloom.llm.mixing import mix
 from rowloom.llm.packing import pack, piece_digest
@@ -17,6 +18,18 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.fit(docs, read_table(spark, sf_dir, "labels")))
+    rejected = (scored["severity"] >= toxicity.REJECT).alias("rejected")
+    return scored.select("doc_id", "severity", "grade", "p1", "p2", "p3", rejected)
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, read_table(spark, sf_dir, "labels")))
+
+
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(read_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -31,6 +44,8 @@ def op10_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_toxicity": op3_toxicity,
+    "op4_quality": op4_quality,
     "op5_source_mixing": op5_source_mixing,
     "op6_packing": op6_packing,
     "op10_wavelet_tokens": op10_wavelet_tokens,
