@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rowloom.llm import quality, toxicity
 from rowloom.llm.common import read_table
+from rowloom.llm.fingerprints import edited_pairs
 from rowloom.llm.mixing import mix
 from rowloom.llm.packing import pack, piece_digest
 from rowloom.llm.wavelet import document_digest, token_store
@@ -39,6 +40,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digest(pack(read_table(spark, sf_dir, "documents"), tokenizer_path()))
 
 
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_pairs(read_table(spark, sf_dir, "documents"))
+
+
 def op10_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_digest(token_store(read_table(spark, sf_dir, "documents"), tokenizer_path()))
 
@@ -48,6 +53,7 @@ QUERIES = {
     "op4_quality": op4_quality,
     "op5_source_mixing": op5_source_mixing,
     "op6_packing": op6_packing,
+    "op7_fingerprints": op7_fingerprints,
     "op10_wavelet_tokens": op10_wavelet_tokens,
 }
 
