@@ -9,6 +9,7 @@ from rowloom.llm.common import read_table
 from rowloom.llm.fingerprints import edited_pairs
 from rowloom.llm.mixing import mix
 from rowloom.llm.packing import pack, piece_digest
+from rowloom.llm.topk import integer_vectors, top_k
 from rowloom.llm.wavelet import document_digest, token_store
 
 
@@ -19,6 +20,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = integer_vectors(read_table(spark, sf_dir, "embeddings"))
+    return top_k(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     scored = toxicity.score(docs, toxicity.fit(docs, read_table(spark, sf_dir, "labels")))
@@ -49,6 +55,7 @@ def op10_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_exact_top_k": op1_exact_top_k,
     "op3_toxicity": op3_toxicity,
     "op4_quality": op4_quality,
     "op5_source_mixing": op5_source_mixing,
@@ -57,4 +64,21 @@ QUERIES = {
     "op10_wavelet_tokens": op10_wavelet_tokens,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_exact_top_k": """
+        WITH whole AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+            FROM whole q JOIN whole c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v)
+        ), ranked AS (
+            SELECT query_id, vec_id, score,
+                   CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+            FROM scored
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+    """,
+}
