@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from rowloom.llm import quality, toxicity
 from rowloom.llm.common import read_table
 from rowloom.llm.fingerprints import edited_pairs
+from rowloom.llm.linededup import deduplicate_lines
 from rowloom.llm.mixing import mix
 from rowloom.llm.packing import pack, piece_digest
 from rowloom.llm.topk import integer_vectors, top_k
@@ -25,6 +26,10 @@ def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors, vectors.where("vec_id % 100 = 0"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return deduplicate_lines(read_table(spark, sf_dir, "documents"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     scored = toxicity.score(docs, toxicity.fit(docs, read_table(spark, sf_dir, "labels")))
@@ -56,6 +61,7 @@ def op10_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_top_k": op1_exact_top_k,
+    "op2_line_dedup": op2_line_dedup,
     "op3_toxicity": op3_toxicity,
     "op4_quality": op4_quality,
     "op5_source_mixing": op5_source_mixing,
@@ -81,4 +87,37 @@ ORACLES: dict[str, str] = {
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
     """,
+    "op2_line_dedup": r"""
+        WITH lined AS (
+            SELECT *, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+        ), numbered AS (
+            SELECT doc_id, i, trim(lines[i], E' \t\r\v\f') AS line
+            FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM lined)
+            WHERE trim(lines[i], E' \t\r\v\f') <> ''
+        ), ordered AS (
+            SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k,
+                   lead(line, 1) OVER (PARTITION BY doc_id ORDER BY i) AS line2,
+                   lead(line, 2) OVER (PARTITION BY doc_id ORDER BY i) AS line3
+            FROM numbered
+        ), placed AS (
+            SELECT doc_id, k, row_number() OVER (PARTITION BY line, line2, line3 ORDER BY doc_id, k) AS nth
+            FROM ordered WHERE line3 IS NOT NULL
+        ), covered AS (
+            SELECT DISTINCT o.doc_id, o.i
+            FROM placed p JOIN ordered o ON p.nth > 1 AND o.doc_id = p.doc_id AND o.k BETWEEN p.k AND p.k + 2
+        ), rest AS (
+            SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.i) AS text
+            FROM (SELECT doc_id, i, lines[i] AS line
+                  FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM lined)) l
+            ANTI JOIN covered c ON c.doc_id = l.doc_id AND c.i = l.i
+            GROUP BY l.doc_id
+        ), touched AS (
+            SELECT DISTINCT doc_id FROM covered
+        )
+        SELECT d.doc_id,
+               CASE WHEN t.doc_id IS NULL THEN d.text ELSE coalesce(r.text, '') END AS text,
+               d.lang, d.source,
+               CASE WHEN t.doc_id IS NULL THEN d.n_chars ELSE length(coalesce(r.text, '')) END AS n_chars
+        FROM documents d LEFT JOIN touched t ON t.doc_id = d.doc_id LEFT JOIN rest r ON r.doc_id = d.doc_id
+    """,
 }
