@@ -10,6 +10,7 @@ from rowloom.llm.fingerprints import edited_pairs
 from rowloom.llm.linededup import deduplicate_lines
 from rowloom.llm.mixing import mix
 from rowloom.llm.packing import pack, piece_digest
+from rowloom.llm.pages import main_texts
 from rowloom.llm.topk import integer_vectors, top_k
 from rowloom.llm.wavelet import document_digest, token_store
 
@@ -55,6 +56,10 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_pairs(read_table(spark, sf_dir, "documents"))
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_texts(read_table(spark, sf_dir, "pages"))
+
+
 def op10_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_digest(token_store(read_table(spark, sf_dir, "documents"), tokenizer_path()))
 
@@ -67,6 +72,7 @@ QUERIES = {
     "op5_source_mixing": op5_source_mixing,
     "op6_packing": op6_packing,
     "op7_fingerprints": op7_fingerprints,
+    "op9_html_text": op9_html_text,
     "op10_wavelet_tokens": op10_wavelet_tokens,
 }
 
