@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from rowloom.llm import quality, toxicity
 from rowloom.llm.common import read_table
 from rowloom.llm.fingerprints import edited_pairs
+from rowloom.llm.jaccard import link_classes
 from rowloom.llm.linededup import deduplicate_lines
 from rowloom.llm.mixing import mix
 from rowloom.llm.packing import pack, piece_digest
@@ -56,6 +57,10 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_pairs(read_table(spark, sf_dir, "documents"))
 
 
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_classes(read_table(spark, sf_dir, "documents"))
+
+
 def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_texts(read_table(spark, sf_dir, "pages"))
 
@@ -72,6 +77,7 @@ QUERIES = {
     "op5_source_mixing": op5_source_mixing,
     "op6_packing": op6_packing,
     "op7_fingerprints": op7_fingerprints,
+    "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_html_text": op9_html_text,
     "op10_wavelet_tokens": op10_wavelet_tokens,
 }
