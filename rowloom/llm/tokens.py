@@ -8,48 +8,75 @@ tokenizers library once per word it has not met, and gathers the ids by word num
 from __future__ import annotations
 
 import os
+from array import array
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-# Words kept per Python worker; beyond, the cache starts anew, so that memory stays bounded.
-CACHED_WORDS = 400_000
+# Words of one generation per Python worker: beyond, a new one starts and takes over from the
+# one before what is met again, so that memory stays bounded.
+CACHED_WORDS = 300_000
 # Characters split at a time, to bound the memory of one step. Longer single texts form a step.
 STEP_CHARS = 4_000_000
 # Trailing marks that never join a run of letters in the tokenizer's pattern.
 MARKS = ".,!?;:"
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte: itself if printable, else the next one from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = (b for b in range(256) if b not in plain)
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 class WordTokenizer:
-    """Ids of whole texts; holds the ids of words met before."""
+    """Ids of whole texts; holds the ids of words met lately, in two generations."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
+        self._model = self._tokenizer.model
+        self._letters = _byte_letters()
         self._words: dict[str, bytes] = {"": b""}
+        self._older: dict[str, bytes] = {}
 
-    def _encode(self, words: list[str]) -> list[bytes]:
-        encoded = self._tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(one.ids, dtype="<u4").tobytes() for one in encoded]
+    def _merge(self, stem: str) -> bytes:
+        """Ids of a lower-case run of Latin letters, which needs no normalizing and no splitting."""
+        if not stem.isascii():
+            stem = stem.encode().decode("latin-1").translate(self._letters)
+        return array("I", [token.id for token in self._model.tokenize(stem)]).tobytes()
 
     def _learn(self, words: list[str]) -> None:
         """Look words up that are new: a Latin word and the marks after it are apart in the pattern."""
-        known = self._words
-        parts = []
+        known, older = self._words, self._older
+        others = []
         for word in words:
+            if word in older:
+                known[word] = older[word]
+                continue
             stem = word.rstrip(MARKS)
             if stem.isalpha() and max(stem) < "ɐ" and "İ" not in stem:
-                parts.append((word, stem.lower(), word[len(stem) :]))
+                marks, low = word[len(stem) :], stem.lower()
+                ids = known.get(low) or older.get(low)
+                if ids is None:
+                    ids = known[low] = self._merge(low)
+                if marks:
+                    after = known.get(marks)
+                    if after is None:
+                        after = known[marks] = self._plain([marks])[0]
+                    ids += after
+                known[word] = ids
             else:
-                parts.append((word, word, ""))
-        fresh = list(dict.fromkeys(p for _, a, b in parts for p in (a, b) if p not in known))
-        known.update(zip(fresh, self._encode(fresh), strict=True))
-        for word, stem, marks in parts:
-            known[word] = known[stem] + known[marks]
+                others.append(word)
+        known.update(zip(others, self._plain(others), strict=True))
+
+    def _plain(self, words: list[str]) -> list[bytes]:
+        encoded = self._tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        return [array("I", one.ids).tobytes() for one in encoded]
 
     def encode(self, texts: pa.Array, end_id: int | None = None):
         """Yield (first row, ids, offsets of rows in ids) for consecutive runs of rows."""
@@ -67,9 +94,9 @@ class WordTokenizer:
         split = pc.ascii_split_whitespace(texts)
         coded = split.flatten().dictionary_encode()
         words = coded.dictionary.to_pylist()
+        if len(self._words) > CACHED_WORDS:
+            self._words, self._older = {"": b""}, self._words
         known = self._words
-        if len(known) + len(words) > CACHED_WORDS:
-            known = self._words = {"": b""}
         fresh = [w for w in words if w not in known]
         if fresh:
             self._learn(fresh)
