@@ -5,7 +5,8 @@ tokens (minima of its set under as many hash functions), so that two texts share
 with the probability of their similarity. A run sends every text down a path: at the root by
 one sampled token, at each further node by two tokens that the node's path picks, so that
 texts meet in a bucket only if they share all tokens on the way. Buckets that are small are
-compared by brute force; larger ones split again. Runs with other root tokens repeat until
+compared by brute force; larger ones split again, but for those that a split leaves more
+than half whole: their texts are alike and form one group. Runs with other root tokens repeat until
 a pair at the threshold is missed with less than the target probability.
 
 What meets in buckets is grouped by estimated similarity, well below the threshold, and each
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +36,9 @@ THRESHOLD = (4, 5)
 TOKENS = 64
 # Texts that one brute-force comparison takes from a bucket side.
 BUCKET = 128
-DEPTH = 5
+DEPTH = 12
+# Texts that one exact comparison takes from each side.
+EXACT_BLOCK = 256
 RECALL = 0.99999
 # Estimated similarity from which texts of a bucket are compared exactly; the estimate's
 # deviation at the threshold is 0.05, so a link falls below with a chance of about 2e-4.
@@ -123,7 +127,7 @@ def keyed(docs: DataFrame) -> DataFrame:
     )
 
 
-def _blocks(rows: DataFrame, group: str, block: int) -> DataFrame:
+def _blocks(rows: DataFrame, block: int) -> DataFrame:
     """Deal the members of a group into blocks and every block to each pair it is in.
 
     ``rows`` has the group's size; groups up to ``block`` are one pair of one block.
@@ -142,22 +146,30 @@ def bucket_links(reps: DataFrame, recall: float = RECALL) -> DataFrame:
     roots = np.random.default_rng(13).permutation(TOKENS)[:runs]
     tokens = reps.where("n > 0").select("rid", "tokens")
     paths = F.array(*(F.xxhash64(F.lit(int(c)), F.get("tokens", F.lit(int(c)))) for c in roots))
-    nodes = staged(tokens.select("rid", F.explode(paths).alias("path")), "paths")
-    leaves = None
+    nodes = staged(tokens.select("rid", F.explode(paths).alias("path"), F.lit(None).cast("long").alias("above")), "paths")
+    leaves, stars = [], []
     for depth in range(1, DEPTH + 1):
-        sizes = staged(nodes.groupBy("path").agg(F.count("*").alias("size")).where("size > 1"), "sizes")
-        sized = nodes.join(sizes, "path")
+        sizes = staged(
+            nodes.groupBy("path")
+            .agg(F.count("*").alias("size"), F.min("above").alias("above"), F.min("rid").alias("head"))
+            .where("size > 1"),
+            "sizes",
+        )
+        members = nodes.select("rid", "path").join(sizes, "path")
+        # A bucket that its last split left whole holds texts alike: one group for the exact stage.
+        whole = (F.col("size") > BUCKET) & F.coalesce(F.col("size") * 2 > F.col("above"), F.lit(False))
+        stars.append(members.where(whole).select(F.col("rid").alias("a"), F.col("head").alias("b")))
         small = F.lit(True) if depth == DEPTH else F.col("size") <= BUCKET
-        found = sized.where(small)
-        leaves = found if leaves is None else leaves.unionByName(found)
-        large = sizes.where("size > %d" % BUCKET)
+        leaves.append(members.where(small & ~whole).select("rid", "path", "size"))
+        large = sizes.where((F.col("size") > BUCKET) & ~whole)
         if depth == DEPTH or not large.limit(1).count():
             break
         picks = [F.pmod(F.xxhash64("path", F.lit(j)), F.lit(TOKENS)).cast("int") for j in range(2)]
         children = F.array_distinct(F.array(*(F.xxhash64("path", p, F.get("tokens", p)) for p in picks)))
-        split = nodes.join(large, "path").select("rid", "path").join(tokens, "rid")
-        nodes = staged(split.select("rid", F.explode(children).alias("path")), "paths")
-    met = _blocks(leaves.join(tokens, "rid"), "path", BUCKET)
+        split = nodes.select("rid", "path").join(large, "path").select("rid", "path", "size").join(tokens, "rid")
+        nodes = staged(split.select("rid", F.explode(children).alias("path"), F.col("size").alias("above")), "paths")
+    leaves = reduce(DataFrame.unionByName, leaves)
+    met = _blocks(leaves.join(tokens, "rid"), BUCKET)
     buckets = met.groupBy("path", "one", "two").agg(
         F.collect_list(F.struct("rid", "tokens")).alias("members")  # two blocks at most
     )
@@ -176,7 +188,8 @@ def bucket_links(reps: DataFrame, recall: float = RECALL) -> DataFrame:
             edges = np.concatenate(ends) if ends else np.zeros((0, 2), np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(edges[:, 0]), pa.array(edges[:, 1])], names=["a", "b"])
 
-    return buckets.select("members").mapInArrow(compare, "a long, b long").distinct()
+    compared = buckets.select("members").mapInArrow(compare, "a long, b long")
+    return reduce(DataFrame.unionByName, stars, compared).where("a <> b").distinct()
 
 
 def _agreement(values: np.ndarray) -> np.ndarray:
@@ -241,7 +254,7 @@ def exact_links(docs: DataFrame, reps: DataFrame, groups: DataFrame) -> DataFram
 
     known = staged(texts.mapInArrow(sets, "rid long, component long, copies long, items binary"), "sets")
     sizes = staged(known.groupBy("component").agg(F.count_distinct("rid").alias("size")), "sizes")
-    pairs = _blocks(known.join(sizes, "component"), "component", BUCKET)
+    pairs = _blocks(known.join(sizes, "component"), EXACT_BLOCK)
     members = pairs.groupBy("component", "one", "two").agg(
         F.collect_list(F.struct("rid", "copies", "items", "own")).alias("members")  # two blocks at most
     )
