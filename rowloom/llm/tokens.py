@@ -17,9 +17,9 @@ import pyarrow.compute as pc
 
 # Words of one generation per Python worker: beyond, a new one starts and takes over from the
 # one before what is met again, so that memory stays bounded.
-CACHED_WORDS = 300_000
+CACHED_WORDS = 200_000
 # Characters split at a time, to bound the memory of one step. Longer single texts form a step.
-STEP_CHARS = 4_000_000
+STEP_CHARS = 2_000_000
 # Trailing marks that never join a run of letters in the tokenizer's pattern.
 MARKS = ".,!?;:"
 
