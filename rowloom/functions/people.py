@@ -12,7 +12,7 @@ class People(NamedTuple):
     family: tuple[str, ...]
 
 
-# Common given and family names in the United States.
+# Common given and family names in the United States.
 GIVEN = (
     "Aaron Adam Alan Albert Alice Amanda Amber Amy Andrea Andrew Angela Ann Anna Anthony Arthur "
     "Ashley Austin Barbara Benjamin Betty Brandon Brenda Brian Bruce Carl Carol Catherine Charles "
@@ -21,7 +21,11 @@ GIVEN = (
     "Hannah Harold Heather Helen Henry Jack Jacob James Janet Jason Jean Jeffrey Jennifer Jeremy "
     "Jessica Joan John Jonathan Joseph Joyce Juan Judith Julia Justin Karen Katherine Keith Kelly "
     "Kenneth Kevin Kimberly Larry Laura Lauren Lawrence Linda Lisa Madison Margaret Maria Mark Martha "
-    "Mary Matthew Megan Michael"
+    "Mary Matthew Megan Michael Michelle Mildred Nancy Natalie Nathan Nicholas Nicole Noah Nora Olivia "
+    "Oscar Pamela Patricia Patrick Paul Peter Philip Rachel Ralph Randy Raymond Rebecca Richard Robert "
+    "Roger Ronald Rose Roy Russell Ruth Ryan Samantha Samuel Sandra Sara Sarah Scott Sean Sharon Shirley "
+    "Sophia Stephanie Stephen Steven Susan Teresa Terry Theresa Thomas Timothy Tyler Victoria Vincent "
+    "Virginia Walter Wayne William Willie Zachary Zoe"
 ).split()
 FAMILY = (
     "Adams Allen Alvarez Anderson Bailey Baker Bennett Brooks Brown Campbell Carter Castillo Chavez "

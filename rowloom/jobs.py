@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from rowloom.operators.bind import bind_positional, positional_schema
-from rowloom.operators.dictionary import Dictionary
+from rowloom.operators.dictionary import BROADCAST_BYTES, Dictionary
 from rowloom.operators.generate import generate
 from rowloom.operators.rules import PROFILE_A, PROFILE_B
 from rowloom.operators.spines import chunk_spine, slice_spine
@@ -71,5 +71,7 @@ def write_slices(
     spine = slice_spine(spark, first, last, rows_per_slice)
     named = spine.withColumn("slice", slice_name(F.col("slice_num")))
     rows = generate(named, specs, PROFILE_A, dictionary, carry=["slice"], **options)
-    # Slices lie one after the other in the range, so a task already writes few folders.
-    write_parquet(rows, path, partition_by="slice", regroup=False)
+    # Slices lie one after the other in the range, so a task already writes few folders,
+    # unless a large dictionary had the rows shuffled.
+    shuffled = dictionary is not None and dictionary.in_memory_bytes > BROADCAST_BYTES
+    write_parquet(rows, path, partition_by="slice", regroup=shuffled)

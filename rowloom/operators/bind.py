@@ -58,4 +58,9 @@ def bind_positional(df: DataFrame, schema: T.StructType) -> DataFrame:
     for name, field in zip(df.columns, schema):
         column = F.col(f"`{name}`").cast(field.dataType)
         bound.append((column if field.nullable else _required(column, field)).alias(field.name))
+    # A filter stays in the plan whichever columns are read; a check in a projection may not.
+    for name, field in zip(df.columns, schema):
+        if not field.nullable:
+            message = F.lit(f"null in required column {field.name}")
+            df = df.where(F.when(F.col(f"`{name}`").isNotNull(), True).otherwise(F.raise_error(message).cast("boolean")))
     return df.select(*bound)

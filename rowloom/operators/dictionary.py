@@ -24,7 +24,7 @@ def read_words(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.col("value").alias("word"))
 
 
-def words_of(texts: DataFrame, column: str, min_letters: int = 3) -> DataFrame:
+def words_of(texts: DataFrame, column: str, min_letters: int = 1) -> DataFrame:
     """The distinct lower-case words of a text column.
 
     The distinct is partial before the shuffle, so a frequent word leaves each task once.
@@ -44,7 +44,7 @@ def index_words(words: DataFrame) -> DataFrame:
     keep the two uses of the distinct from sharing one shuffle.
     """
     digests = (
-        words.select("word").distinct()
+        words.select("word").where("word IS NOT NULL").distinct()
         .select("word", F.sha2("word", 256).alias("digest"))
         .withColumn("bucket", F.substring("digest", 1, BUCKET_DIGITS))
     )
@@ -99,15 +99,17 @@ class Dictionary(NamedTuple):
         self,
         rows: DataFrame,
         picks: list[Pick],
-        key: str = "row_id",
         broadcast_bytes: int = BROADCAST_BYTES,
     ) -> DataFrame:
-        """Add one column per pick to rows that carry draw state and a unique key."""
+        """Add one column per pick to rows that carry draw state.
+
+        Both ways return the same rows: a null key finds nulls, repeated rows stay repeated.
+        """
         if not picks:
             return rows
         if self.in_memory_bytes <= broadcast_bytes:
             return self._attach_array(rows, picks)
-        return self._attach_shuffled(rows, picks, key)
+        return self._attach_shuffled(rows, picks)
 
     def _position(self, pick: Pick) -> Column:
         return below(self.size, pick.label, pick.index)
@@ -131,11 +133,12 @@ class Dictionary(NamedTuple):
         found = [F.get(arrays[pick.field], self._position(pick).cast("int")).alias(pick.output) for pick in picks]
         return rows.select("*", *found)
 
-    def _attach_shuffled(self, rows: DataFrame, picks: list[Pick], key: str) -> DataFrame:
+    def _attach_shuffled(self, rows: DataFrame, picks: list[Pick]) -> DataFrame:
         """One shuffled join for all picks, for a dictionary of any size.
 
-        Each row is unfolded to one row per pick and folded back by its unique key, so a
-        group is the picks of one row. Positions are uniform, so no join key is hot, and
+        Each row is unfolded to one row per pick and folded back by all its columns, so a
+        group is the picks of one row or of equal rows, which come back as often as they
+        went in. A null key finds nulls, as in the array. Positions are uniform, so no join key is hot, and
         each task hashes its share of the dictionary instead of sorting the picks. The
         slot number is unfolded rather than the positions: a position is then computed in
         a projection, once, where the code generator shares its common parts.
@@ -151,13 +154,12 @@ class Dictionary(NamedTuple):
         )
         hash_slots = [number for number, pick in enumerate(picks) if pick.field == "hash_id"]
         value = F.when(F.col("slot").isin(hash_slots), F.col("hash_id")).otherwise(F.col("word"))
-        found = unfolded.join(self.entries.hint("shuffle_hash"), "idx")
-        folded = found.groupBy(key).agg(
-            *[F.first(name).alias(name) for name in rows.columns if name != key],
-            F.sort_array(F.collect_list(F.struct("slot", value.alias("value"))))["value"].alias("values"),
-        )
-        complete = F.when(F.size("values") == len(picks), F.col("values")).otherwise(
-            F.raise_error(F.lit(f"the values of {key} are not unique"))
+        found = unfolded.join(self.entries.hint("shuffle_hash"), "idx", "left")
+        # Picks depend on the row's draw state alone, so equal rows find equal values.
+        folded = found.groupBy(*rows.columns).agg(
+            F.count("*").alias("__found"),
+            F.sort_array(F.collect_set(F.struct("slot", value.alias("value"))))["value"].alias("values"),
         )
-        outputs = [F.get(complete, number).alias(pick.output) for number, pick in enumerate(picks)]
-        return folded.select(*rows.columns, *outputs)
+        copies = F.explode(F.array_repeat(F.lit(True), F.expr(f"int(__found div {len(picks)})"))).alias("__copy")
+        outputs = [F.get(F.col("values"), number).alias(pick.output) for number, pick in enumerate(picks)]
+        return folded.select("*", copies).select(*rows.columns, *outputs)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLOCK_ROWS = 100_000
+ROWS_PER_TASK = 20_000_000
 
 
 def expand_ranges(
@@ -21,15 +22,21 @@ def expand_ranges(
     A range is cut into blocks first, and the blocks, not the ranges, are dealt out to
     the tasks in turn: one range holding most of the integers, or many copies of one
     range, still run on every core, and no array grows beyond a block or the number of
-    blocks. The partition count is stated, because the block rows are so small that
+    blocks. The partition count follows the number of rows and is stated, because the block rows are so small that
     adaptive execution would otherwise merge them into one task before they are
     expanded. A range that ends before it starts is empty.
     """
     spark = ranges.sparkSession
-    tasks = partitions or max(
-        spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
-    )
     first, last = F.col(start).cast("long"), F.col(end).cast("long")
+    tasks = partitions
+    if tasks is None:
+        length = F.sum(F.greatest(last - first + 1, F.lit(0)).cast("decimal(38,0)"))
+        rows = int(ranges.agg(length).first()[0] or 0)
+        tasks = max(
+            spark.sparkContext.defaultParallelism,
+            int(spark.conf.get("spark.sql.shuffle.partitions")),
+            -(-rows // ROWS_PER_TASK),
+        )
     # At least block_rows, and never more blocks in a range than rows in a block.
     block = F.greatest(F.lit(block_rows).cast("long"), F.ceil(F.sqrt(last - first + 1)))
     blocks = (

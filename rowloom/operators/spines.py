@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from rowloom.operators.ranges import expand_ranges
 
 BATCH_PARTITIONS = 128
-ROWS_PER_TASK = 2_000_000
+ROWS_PER_TASK = 20_000_000
 
 
 def _tasks(spark: SparkSession, rows: int) -> int:
@@ -41,9 +41,10 @@ def chunk_spine(
     return ids.select(*_numbered(F.col("id"), records_per_chunk, group))
 
 
-def batch_spine(spark: SparkSession, batch_size: int, partitions: int = BATCH_PARTITIONS) -> DataFrame:
-    """One batch of rows over a given number of partitions."""
-    return chunk_spine(spark, 1, batch_size, "batch", partitions)
+def batch_spine(spark: SparkSession, batch_size: int, partitions: int | None = None) -> DataFrame:
+    """One batch of rows over 128 partitions, or more where a task's share would be large."""
+    tasks = partitions or max(BATCH_PARTITIONS, _tasks(spark, batch_size))
+    return chunk_spine(spark, 1, batch_size, "batch", tasks)
 
 
 def slice_spine(

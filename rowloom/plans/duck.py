@@ -39,7 +39,7 @@ WORDS = """
            count(*) AS n
     FROM (SELECT word, sha256(word) AS digest
           FROM (SELECT DISTINCT unnest(regexp_split_to_array(lower(text), '\\P{L}+')) AS word FROM documents)
-          WHERE length(word) >= 3)
+          WHERE length(word) >= 1)
 """
 
 

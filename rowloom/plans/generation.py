@@ -47,13 +47,13 @@ def _value_query(value: Callable[[], Column]) -> Callable[[SparkSession, str], D
     return query
 
 
-def _pick_query(field: str, count: int) -> Callable[[SparkSession, str], DataFrame]:
+def _pick_query(field: str, count: int, **options) -> Callable[[SparkSession, str], DataFrame]:
     """``count`` dictionary entries for each order, as one text."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = with_draws(_order_spine(spark, sf_dir), seed=SEED)
         picks = [Pick(f"word_{n}", "value", n, field) for n in range(count)]
-        found = document_dictionary(spark, sf_dir).attach(rows, picks)
+        found = document_dictionary(spark, sf_dir).attach(rows, picks, **options)
         return found.select("row_id", F.concat_ws(" ", *[pick.output for pick in picks]).alias("value"))
 
     return query
@@ -84,6 +84,14 @@ def gen_profile_b(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def gen_profile_b_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profile B with every word looked up by the shuffled join, as for a large dictionary."""
+    return generate(
+        _event_spine(spark, sf_dir), TIMED_SPECS, PROFILE_B, document_dictionary(spark, sf_dir), SEED, AS_OF,
+        broadcast_bytes=0,
+    )
+
+
 def _plain_rows(spine: DataFrame, profile: Profile, carry: str) -> DataFrame:
     """The sample columns that need no dictionary."""
     return generate(spine, PLAIN_SPECS, profile, None, SEED, AS_OF, carry=["row_id", carry])
@@ -151,12 +159,15 @@ QUERIES = {
     "gen_hash_id": _pick_query("hash_id", 1),
     "gen_word": _pick_query("word", 1),
     "gen_sentence": _pick_query("word", values.SENTENCE_WORDS),
+    "gen_word_shuffled": _pick_query("word", 1, broadcast_bytes=0),
+    "gen_sentence_shuffled": _pick_query("word", values.SENTENCE_WORDS, broadcast_bytes=0),
     "hash_id_documents": hash_id_documents,
     "dictionary_scan": dictionary_scan,
     "gen_chunks": gen_chunks,
     "gen_batch": gen_batch,
     "gen_profile_a": gen_profile_a,
     "gen_profile_b": gen_profile_b,
+    "gen_profile_b_shuffled": gen_profile_b_shuffled,
     "chunked_write_summary": chunked_write_summary,
     "batch_append": batch_append,
 }
@@ -244,6 +255,8 @@ ORACLES = {
     "gen_hash_id": _pick_sql(duck.entry("value", field="hash_ids")),
     "gen_word": _pick_sql(duck.entry("value")),
     "gen_sentence": _pick_sql(duck.sentence("value")),
+    "gen_word_shuffled": _pick_sql(duck.entry("value")),
+    "gen_sentence_shuffled": _pick_sql(duck.sentence("value")),
     "hash_id_documents": "SELECT doc_id, right(sha256(text), 14) AS hash_id FROM documents",
     "dictionary_scan": f"""
         SELECT idx - 1 AS idx, words[idx] AS word, hash_ids[idx] AS hash_id
@@ -255,6 +268,9 @@ ORACLES = {
         {f"Col{n}": expression for n, expression in enumerate(_PROFILE_A.values(), start=1)}, _ORDERS
     ),
     "gen_profile_b": _table_sql(_PROFILE_B | {"updated_at": duck.recent_datetime("updated_at")}, _EVENTS),
+    "gen_profile_b_shuffled": _table_sql(
+        _PROFILE_B | {"updated_at": duck.recent_datetime("updated_at")}, _EVENTS
+    ),
     "chunked_write_summary": f"""
         SELECT chunk, count(*) AS records, CAST(sum(page_views) AS BIGINT) AS page_views,
                count(*) FILTER (is_logged_in) AS logged_in, min(utc_date) AS first_date,
