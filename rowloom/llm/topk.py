@@ -2,7 +2,7 @@
 
 Vectors are cut into slices of dimensions; each slice is a list of local scores, shifted by
 the least one so that none is negative. Phase 1 gathers the best local scores of every list
-and sums them to lower bounds of totals; the k-th best bound is a safe cutoff. Phase 2 sends
+and the totals of what they name; the k-th best total is a safe cutoff. Phase 2 sends
 a uniform share of the cutoff (cutoff / lists) to every list, which returns all entries at
 or above it; a candidate in no list cannot reach the cutoff. Sums of what came back, with
 the share in place of what did not, leave few candidates. Phase 3 scores these exactly.
@@ -182,10 +182,16 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, lists: int = LIST
     )
     best = Window.partitionBy("query", "list").orderBy(F.desc("score"), "cand")
     gathered = every.withColumn("n", F.row_number().over(best)).where(F.col("n") <= keep)
+    # Exact totals of what was gathered are the tightest bounds that it can give.
+    total = F.aggregate(F.zip_with("qv", "v", lambda a, b: a * b), F.lit(0).cast("long"), lambda s, x: s + x)
+    floors = lows.groupBy("query").agg(F.sum("low").alias("floor"))
     partial = (
-        gathered.join(lows, ["query", "list"])
-        .groupBy("query", "cand")
-        .agg(F.sum(F.col("score") - F.col("low")).alias("bound"))
+        gathered.select("query", "cand")
+        .distinct()
+        .join(reps.select("cand", "v"), "cand")
+        .join(asked.select("query", F.col("v").alias("qv")), "query")
+        .join(floors, "query")
+        .select("query", "cand", (total - F.col("floor")).alias("bound"))
     )
     by_bound = Window.partitionBy("query").orderBy(F.desc("bound"), "cand")
     kth = partial.withColumn("n", F.row_number().over(by_bound)).where(F.col("n") <= keep)
@@ -216,7 +222,6 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, lists: int = LIST
     left = seen.join(rests, "query").where((F.col("found") < keep) | (may >= F.col("cutoff"))).select("query", "cand")
 
     # Phase 3: exact totals of the candidates left.
-    total = F.aggregate(F.zip_with("qv", "v", lambda a, b: a * b), F.lit(0).cast("long"), lambda s, x: s + x)
     scored = (
         left.join(reps, "cand")
         .join(asked.select("query", F.col("v").alias("qv")), "query")
