@@ -74,16 +74,20 @@ def spec_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _ddl_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A CREATE TABLE statement for each part."""
+    """Two CREATE TABLE statements for each part, with comments, quoted names, nested defaults and index clauses."""
     key, size = F.col("p_partkey").cast("string"), F.col("p_size")
     text = F.concat(
-        F.lit("CREATE TABLE item_"), key, F.lit("\n(\n code_"), key, F.lit(" character varying("), size,
+        F.lit("-- create table old (a int)\nCREATE TABLE item_"), key, F.lit("\n(\n code_"), key,
+        F.lit(" character varying("), size,
         F.lit(")  encode lzo  PRIMARY KEY ,\n Brand CHARACTER  VARYING("), size + 10,
-        F.lit(") encode bytedict not null,\n price numeric("), size + 20,
-        F.lit(", 2) encode lzo ,\n is_"), F.lower(F.translate("p_type", " ", "_")),
+        F.lit(") default 'x,)' encode bytedict not null,\n price numeric("), size + 20,
+        F.lit(", 2) default (coalesce(f(1), 0)) encode lzo , -- not null, unique\n is_"),
+        F.lower(F.translate("p_type", " ", "_")),
         F.lit(" boolean encode runlength ,\n stocked date "),
         F.when(size % 2 == 0, "unique").otherwise(""),
-        F.lit(",\n)\nDISTSTYLE KEY\nDISTKEY(code_"), key, F.lit(")\nSORTKEY(stocked);"),
+        F.lit(",\n)\nDISTSTYLE KEY\nDISTKEY(code_"), key, F.lit(")\nSORTKEY(stocked);\n"),
+        F.lit('create table if not exists "store"."kept in" ("part, no '), key, F.lit('" bigint, note varchar ('), size,
+        F.lit(') comment \'not null\', key idx (note), primary key ("part, no '), key, F.lit('"));'),
     )
     parts = spread_table(spark, sf_dir, "part", "p_partkey", "p_size", "p_type")
     return parts.select(F.col("p_partkey").alias("ddl_id"), text.alias("ddl_text"))
@@ -95,7 +99,7 @@ def ddl_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ddl_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The specs of each statement, written to a text document and read back from it."""
-    documents = specs.spec_documents(ddl_extract(spark, sf_dir), "ddl_id")
+    documents = specs.spec_documents(ddl_extract(spark, sf_dir), "ddl_id", "statement")
     return specs.parse_documents(documents, "document")
 
 
@@ -139,17 +143,21 @@ _TYPE_NAMES = """
                    WHEN 'DATETIME' THEN 'timestamp' ELSE 'string' END
 """
 _DDL_COLUMNS = """
-    SELECT p_partkey AS ddl_id, 1 AS pos, 'code_' || p_partkey AS name, 'CHARACTER VARYING' AS data_type,
+    SELECT p_partkey AS ddl_id, 1 AS statement, 1 AS pos, 'code_' || p_partkey AS name, 'CHARACTER VARYING' AS data_type,
            p_size AS length, p_size AS "precision", true AS not_null, true AS primary_key, false AS "unique",
            'randomize' AS generator FROM part
-    UNION ALL SELECT p_partkey, 2, 'Brand', 'CHARACTER VARYING', p_size + 10, p_size + 10,
+    UNION ALL SELECT p_partkey, 1, 2, 'Brand', 'CHARACTER VARYING', p_size + 10, p_size + 10,
            true, false, false, 'randomize' FROM part
-    UNION ALL SELECT p_partkey, 3, 'price', 'NUMERIC', p_size + 20, p_size + 20,
+    UNION ALL SELECT p_partkey, 1, 3, 'price', 'NUMERIC', p_size + 20, p_size + 20,
            false, false, false, 'randomize' FROM part
-    UNION ALL SELECT p_partkey, 4, 'is_' || lower(replace(p_type, ' ', '_')), 'BOOLEAN', NULL, NULL,
+    UNION ALL SELECT p_partkey, 1, 4, 'is_' || lower(replace(p_type, ' ', '_')), 'BOOLEAN', NULL, NULL,
            false, false, false, 'randomize' FROM part
-    UNION ALL SELECT p_partkey, 5, 'stocked', 'DATE', NULL, NULL,
+    UNION ALL SELECT p_partkey, 1, 5, 'stocked', 'DATE', NULL, NULL,
            false, false, p_size % 2 = 0, 'randomize' FROM part
+    UNION ALL SELECT p_partkey, 2, 1, 'part, no ' || p_partkey, 'BIGINT', NULL, NULL,
+           true, true, false, 'randomize' FROM part
+    UNION ALL SELECT p_partkey, 2, 2, 'note', 'VARCHAR', p_size, p_size,
+           false, false, false, 'randomize' FROM part
 """
 ORACLES = {
     "rule_dispatch_a": f"""

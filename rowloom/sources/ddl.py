@@ -7,61 +7,115 @@ from pyspark.sql import functions as F
 
 from rowloom.sources.specs import DEFAULT_GENERATOR
 
-# Patterns of the statement parts. The body may hold one level of parentheses, which is
-# what types and key lists need; possessive repeats keep long bodies from backtracking.
-_BODY = r"(?is)\bcreate\s+(?:\w+\s+)*?table\b[^(]*\(([^()]*+(?:\([^()]*+\)[^()]*+)*+)\)"
-_BETWEEN_ITEMS = r",(?![^()]*\))"
-_TABLE_RULE = r"(?i)^(?:constraint \S+ )?(?:primary key|unique|foreign key|check)\b ?(?:\w+ ?)?\("
-_KEY_RULE = r"(?i)^(?:constraint \S+ )?{} ?\("
-_NAME = r"^([\"`\[]?)([^\"`\]\s]+)"
+# How deep parentheses may lie within each other; a deeper body fails.
+DEPTH = 8
+# Stands around the number of a quoted name while its statement is taken apart.
+MARK = "\u0001"
+
+# Text up to a parenthesis that isn't its own; possessive repeats keep long bodies from backtracking.
+_NESTED = r"[^()]*+"
+for _ in range(DEPTH):
+    _NESTED = rf"[^()]*+(?:\({_NESTED}\)[^()]*+)*+"
+_QUOTED = r"\"(?:[^\"]|\"\")*+\"|`[^`]*+`|\[[A-Za-z_][^\]]*+\]"
+# Quoted names are kept; quoted texts and comments give way to a space.
+_OPAQUE = rf"({_QUOTED})|'(?:[^']|'')*+'|--[^\n]*+|/\*(?s:.*?)\*/|{MARK}"
+_HEAD = r"(?i)\bcreate (?:\w+ )*?table (?:if not exists )?[^ (]+(?: ?\. ?[^ (]+)* ?\("
+_BODY = rf"{_HEAD}({_NESTED})\)"
+_ITEM = rf"(?:[^(),]++|\({_NESTED}\))++"
+_CONSTRAINT = r"(?i)^(?:constraint \S+ )?"
+# A key clause lists columns, where a column of such a name has a length or values in its parentheses.
+_TABLE_RULE = (
+    rf"{_CONSTRAINT}(?:(?:primary key|unique|foreign key|check|exclude)\b[^(]*\(|like \S"
+    r"|(?:(?:fulltext|spatial) )?(?:key|index)\b ?(?:[^ (]+ ?)?(?:using \w+ ?)?\( ?+(?![\d,)]))"
+)
+_NAME = r"^([^ (]+)"
 _TYPE = (
-    r"(?i)^\S+ (character varying|double precision|bit varying"
+    r"(?i)^[^ (]+ (character varying|double precision|bit varying"
     r"|(?:timestamp|time) with(?:out)? time zone|\w+)"
 )
 _LENGTH = _TYPE + r" ?\( ?(\d+)"
 
 
-def _has(words: str) -> Column:
-    return F.col("item").rlike(rf"(?i)\b{words}\b")
+def _plain_name(name: Column, quoted: Column) -> Column:
+    """A name as it was written, out of the numbered quoted ones where it stands for one."""
+    text = F.get(quoted, F.nullif(F.regexp_extract(name, rf"{MARK}(\d+){MARK}", 1), F.lit("")).cast("int"))
+    inner = text.substr(F.lit(2), F.length(text) - 2)
+    return F.coalesce(F.when(text.startswith('"'), F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(inner), name)
 
 
 def _key_columns(words: str) -> Column:
     """The lower-case names of the columns that table-level keys of one kind list."""
-    rules = F.filter(F.col("items"), lambda item: item.rlike(_KEY_RULE.format(words)))
-    lists = F.transform(rules, lambda rule: F.split(F.regexp_extract(rule, r"\(([^)]*)\)", 1), ","))
+    rules = F.filter("items", lambda item: item.rlike(rf"{_CONSTRAINT}{words}\b[^(]*\("))
+    lists = F.transform(
+        rules, lambda rule: F.regexp_extract_all(F.regexp_extract(rule, rf"\(({_NESTED})\)", 1), F.lit(_ITEM), F.lit(0))
+    )
     return F.transform(
-        F.flatten(lists), lambda name: F.lower(F.regexp_replace(name, r"[\s\"`\[\]]", ""))
+        F.flatten(lists),
+        lambda name: F.lower(_plain_name(F.regexp_extract(F.trim(name), _NAME, 1), F.col("quoted"))),
     )
 
 
 def extract_specs(corpus: DataFrame, ddl: str = "ddl_text") -> DataFrame:
     """One row per column of each statement, after the corpus's other columns.
 
-    A statement is taken apart within its row, so a corpus needs no shuffle. A column of a
-    primary key is not null. Precision repeats the length.
+    ``statement`` numbers the CREATE TABLE statements of a text that list columns. A text is
+    taken apart within its row, so a corpus needs no shuffle. Comments and quoted texts play
+    no part. A column of a primary key is not null. Precision repeats the length. A text
+    without such a statement, or null, has no rows; one whose column list does not close or
+    lies deeper than ``DEPTH`` fails the job.
     """
     others = [name for name in corpus.columns if name != ddl]
-    pieces = F.split(F.regexp_extract(F.col(ddl), _BODY, 1), _BETWEEN_ITEMS)
-    items = F.transform(pieces, lambda piece: F.trim(F.regexp_replace(piece, r"\s+", " ")))
-    statements = corpus.select(*others, F.filter(items, lambda item: item != "").alias("items")).select(
+    plain = corpus.select(*others, F.regexp_replace(ddl, _OPAQUE, "$1 ").alias("plain"))
+    pieces = F.split("plain", _QUOTED)
+    numbered = F.transform(
+        pieces, lambda piece, at: F.when(at == 0, piece).otherwise(F.concat(F.lit(MARK), at - 1, F.lit(MARK), piece))
+    )
+    marked = plain.select(
         *others,
-        F.filter(F.col("items"), lambda item: ~item.rlike(_TABLE_RULE)).alias("columns"),
+        F.regexp_extract_all("plain", F.lit(_QUOTED), F.lit(0)).alias("quoted"),
+        F.regexp_replace(F.array_join(numbered, ""), r"\s+", " ").alias("marked"),
+    )
+    bodies = F.regexp_extract_all("marked", F.lit(_BODY), F.lit(1))
+    unread = F.regexp_count("marked", F.lit(_HEAD)) != F.size(bodies)
+    message = F.concat(F.lit("column list without an end: "), F.substring("marked", 1, 200))
+    statements = marked.select(
+        *others, "quoted", F.posexplode(F.when(unread, F.raise_error(message)).otherwise(bodies)).alias("nth", "body")
+    )
+    trimmed = F.transform(F.regexp_extract_all("body", F.lit(_ITEM), F.lit(0)), lambda item: F.trim(item))
+    items = statements.select(
+        *others, "quoted", "nth", F.filter(trimmed, lambda item: item != "").alias("items")
+    ).select(
+        *others,
+        "quoted",
+        "nth",
+        F.filter("items", lambda item: ~item.rlike(_TABLE_RULE)).alias("columns"),
         _key_columns("primary key").alias("primary_names"),
         _key_columns("unique").alias("unique_names"),
     )
-    found = statements.select(*others, "primary_names", "unique_names", F.posexplode("columns").alias("at", "item"))
-    name = F.regexp_extract("item", _NAME, 2)
+    found = items.select(
+        *others, "quoted", "nth", "primary_names", "unique_names", F.posexplode("columns").alias("at", "item")
+    )
+    # Keywords count after the type only, and outside of parentheses.
+    after = F.regexp_replace(F.regexp_replace("item", _TYPE, ""), rf"\({_NESTED}\)", " ")
+    named = found.withColumns(
+        {"name": _plain_name(F.regexp_extract("item", _NAME, 1), F.col("quoted")), "after": after}
+    )
+
+    def has(words: str) -> Column:
+        return F.col("after").rlike(rf"(?i)\b{words}\b")
+
     length = F.nullif(F.regexp_extract("item", _LENGTH, 2), F.lit("")).cast("int")
-    primary = _has("primary key") | F.array_contains("primary_names", F.lower(name))
-    return found.select(
+    primary = has("primary key") | F.array_contains("primary_names", F.lower("name"))
+    return named.select(
         *others,
+        (F.col("nth") + 1).cast("int").alias("statement"),
         (F.col("at") + 1).cast("int").alias("pos"),
-        name.alias("name"),
+        "name",
         F.upper(F.regexp_extract("item", _TYPE, 1)).alias("data_type"),
         length.alias("length"),
         length.alias("precision"),
-        (_has("not null") | primary).alias("not_null"),
+        (has("not null") | primary).alias("not_null"),
         primary.alias("primary_key"),
-        (_has("unique") | F.array_contains("unique_names", F.lower(name))).alias("unique"),
+        (has("unique") | F.array_contains("unique_names", F.lower("name"))).alias("unique"),
         F.lit(DEFAULT_GENERATOR).alias("generator"),
     )

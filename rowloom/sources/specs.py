@@ -16,6 +16,8 @@ DOCUMENT_FIELDS = (
     "data_type", "generator", "length", "name", "not_null", "precision", "primary_key", "unique",
 )
 DEFAULT_GENERATOR = "randomize"
+# The most columns that one table may have where its specs are held on the driver.
+MAX_COLUMNS = 100_000
 
 
 class ColumnSpec(NamedTuple):
@@ -51,9 +53,17 @@ def specs_table(spark: SparkSession, specs: tuple[ColumnSpec, ...] | list[Column
 
 
 def collect_specs(table: DataFrame) -> list[ColumnSpec]:
-    """The specs of one table in their order: metadata, one row per column."""
-    fields = [F.col(f"`{name}`") for name in ColumnSpec._fields]
-    return [ColumnSpec(*row) for row in table.orderBy("pos").select(*fields).collect()]
+    """The specs of one table in their order: metadata, one row per column.
+
+    Positions that repeat, as those of several tables do, or more than ``MAX_COLUMNS`` rows are refused.
+    """
+    fields = [F.col(f"`{name}`") for name in ("pos", *ColumnSpec._fields)]
+    rows = table.orderBy("pos").select(*fields).limit(MAX_COLUMNS + 1).collect()
+    if len(rows) > MAX_COLUMNS:
+        raise ValueError(f"more than {MAX_COLUMNS} column specs")
+    if len({row["pos"] for row in rows}) < len(rows):
+        raise ValueError("column specs of several tables: their positions repeat")
+    return [ColumnSpec(*row[1:]) for row in rows]
 
 
 def read_specs(spark: SparkSession, path: str) -> DataFrame:
@@ -71,12 +81,32 @@ def type_projection(specs: DataFrame) -> DataFrame:
     return specs.select("name", "data_type", "length")
 
 
+# What a double-quoted scalar writes for a character; the backslash comes first.
+ESCAPES = (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t"))
+
+
 def _scalar(text: Column) -> Column:
-    """A document scalar; a text that would read as something else is quoted."""
-    plain = text.rlike(r"^[A-Za-z_]([A-Za-z0-9_ $.-]*[A-Za-z0-9_$.-])?$")
+    """A document scalar: quoted if it would read as something else, escaped if it holds control characters."""
+    plain = text.rlike(r"^[A-Za-z_]([A-Za-z0-9_ $.-]*[A-Za-z0-9_$.-])?$") & ~text.rlike(r"[\r\n]")
     reserved = text.rlike(r"(?i)^(null|true|false|yes|no|on|off|y|n)$")
-    quoted = F.concat(F.lit("'"), F.replace(text, F.lit("'"), F.lit("''")), F.lit("'"))
-    return F.when(plain & ~reserved, text).otherwise(quoted)
+    single = F.concat(F.lit("'"), F.replace(text, F.lit("'"), F.lit("''")), F.lit("'"))
+    escaped = text
+    for character, written in ESCAPES:
+        escaped = F.replace(escaped, F.lit(character), F.lit(written))
+    double = F.concat(F.lit('"'), escaped, F.lit('"'))
+    return F.when(plain & ~reserved, text).when(text.rlike(r"[\r\n\t]"), double).otherwise(single)
+
+
+def _unquoted(value: Column) -> Column:
+    """The text of a scalar in single quotes, double quotes or none."""
+    inner = value.substr(F.lit(2), F.length(value) - 2)
+    # Escaped backslashes stand aside while the other escapes are undone.
+    double = F.replace(inner, F.lit("\\\\"), F.lit("\x01"))
+    for character, written in ESCAPES[1:]:
+        double = F.replace(double, F.lit(written), F.lit(character))
+    double = F.replace(double, F.lit("\x01"), F.lit("\\"))
+    single = F.replace(inner, F.lit("''"), F.lit("'"))
+    return F.when(value.startswith("'"), single).when(value.startswith('"'), double).otherwise(value)
 
 
 def spec_documents(specs: DataFrame, *keys: str) -> DataFrame:
@@ -90,35 +120,44 @@ def spec_documents(specs: DataFrame, *keys: str) -> DataFrame:
         text = _scalar(field) if name in ("data_type", "generator", "name") else field.cast("string")
         lines.append(F.concat(F.lit(f"{name}: "), F.coalesce(text, F.lit("null"))))
     item = F.concat(F.lit("- "), F.concat_ws("\n  ", *lines))
-    ordered = F.array_sort(F.collect_list(F.struct("pos", item.alias("item"))))["item"]
+    ordered = F.sort_array(F.collect_list(F.struct("pos", item.alias("item"))))["item"]
     return specs.groupBy(*keys).agg(F.concat(F.lit("data:\n"), F.concat_ws("\n", ordered)).alias("document"))
 
 
 def write_spec_document(specs: DataFrame, path: str) -> None:
-    """Write the specs of one table as a text document."""
-    spec_documents(specs).write.mode("overwrite").text(path)
+    """Write the specs of one table as a text document; those of several tables are refused."""
+    one = specs_table(specs.sparkSession, collect_specs(specs))
+    spec_documents(one).write.mode("overwrite").text(path)
 
 
 def parse_documents(documents: DataFrame, column: str = "value") -> DataFrame:
     """Column specs from text documents: a ``data`` list of field maps, one field per line.
 
-    Keeps the other columns of ``documents`` in front. This reads the layout of
-    ``spec_documents``; it is no general reader of the format.
+    Keeps the other columns of ``documents`` in front. Comment lines, a ``---`` line, both
+    kinds of quotes and an empty list are read; items without a name are left out and do not
+    count. A document of another form fails; it is no general reader of the format.
     """
     others = [name for name in documents.columns if name != column]
-    items = F.split(F.regexp_replace(F.col(column), r"\A\s*data:\s*\n\s*- ", ""), r"\n\s*- ")
+    lines = F.regexp_replace(F.col(column), r"(?m)^(?:[ \t]*#.*|---[ \t]*)(?:\r?\n|\z)|\r$", "")
+    listed = F.regexp_replace(lines, r"\A\s*data:\s*\n\s*- ", "")
+    unlike = F.raise_error(F.concat(F.lit("no list of column specs: "), F.substring(column, 1, 200)))
+    items = (
+        F.when(lines.rlike(r"\A\s*(?:data:\s*(?:\[\s*\]|null|~)?)?\s*\z"), F.array().cast("array<string>"))
+        .when(lines.rlike(r"\A\s*data:\s*\n\s*- "), F.split(listed, r"\n\s*- "))
+        .when(lines.isNotNull(), unlike)
+    )
+    named = F.filter(items, lambda item: item.rlike(r"(?m)^\s*name:"))
     pairs = F.str_to_map(F.regexp_replace(F.trim(F.col("item")), r"\n\s+", "\n"), F.lit("\n"), F.lit(": "))
     raw = {name: F.trim(F.element_at("pairs", F.lit(name))) for name in DOCUMENT_FIELDS}
     fields = (
-        documents.select(*others, F.posexplode(items).alias("at", "item"))
+        documents.select(*others, F.posexplode(named).alias("at", "item"))
         .select(*others, "at", pairs.alias("pairs"))
         .select(*others, "at", *[text.alias(f"raw_{name}") for name, text in raw.items()])
     )
 
     def text(name: str) -> Column:
         value = F.col(f"raw_{name}")
-        unquoted = F.replace(value.substr(F.lit(2), F.length(value) - 2), F.lit("''"), F.lit("'"))
-        return F.when(value == "null", None).when(value.startswith("'"), unquoted).otherwise(value)
+        return F.when(value != "null", _unquoted(value))
 
     def flag(name: str) -> Column:
         return F.coalesce(text(name).cast("boolean"), F.lit(False)).alias(name)

@@ -69,8 +69,57 @@ def test_other_statements(spark):
     ]
 
 
+def found(spark, text):
+    return [(r.statement, r.pos, r.name, r.data_type) for r in extract(spark, text).collect()]
+
+
 def test_text_without_a_table_has_no_columns(spark):
-    assert extract(spark, "DROP TABLE t").count() == 0
+    for text in ("DROP TABLE t", "", None, "create table t as select f(a) from x", "-- create table t (a int)"):
+        assert extract(spark, text).count() == 0
+
+
+def test_nested_defaults_and_quoted_marks(spark):
+    text = "create table t (a int default (nextval('s')), b varchar(3) default 'x,y', c text default ')', d int)"
+    assert found(spark, text) == [(1, 1, "a", "INT"), (1, 2, "b", "VARCHAR"), (1, 3, "c", "TEXT"), (1, 4, "d", "INT")]
+
+
+def test_several_statements(spark):
+    text = "create table t (a int);\nCREATE  TABLE\nx.u (b date, c int);"
+    assert found(spark, text) == [(1, 1, "a", "INT"), (2, 1, "b", "DATE"), (2, 2, "c", "INT")]
+
+
+def test_comments(spark):
+    text = "create table t (a int, -- first, not null\n b int /* unique, ( */, c int)"
+    rows = extract(spark, text).collect()
+    assert [(r.name, r.not_null, r.unique) for r in rows] == [(n, False, False) for n in "abc"]
+
+
+def test_keywords_count_outside_of_texts_and_parentheses(spark):
+    text = "create table t (a text default 'not null', b text comment 'unique value', c int check (c is not null))"
+    assert not [r for r in extract(spark, text).collect() if r.not_null or r.unique]
+
+
+def test_index_clauses_and_names_like_them(spark):
+    text = "create table t (a int, key idx (a), index i2 (a), unique key u (a), key varchar(5), fulltext key f (a))"
+    rows = extract(spark, text).collect()
+    assert [(r.name, r.data_type, r.length, r.unique) for r in rows] == [
+        ("a", "INT", None, True), ("key", "VARCHAR", 5, False)
+    ]
+
+
+def test_quoted_names(spark):
+    text = """create table "my t" ("my col" varchar(5), `a,b` int, [c d] int, "e""(f" int, primary key ("my col", [c d]))"""
+    rows = extract(spark, text).collect()
+    assert [(r.name, r.data_type, r.primary_key) for r in rows] == [
+        ("my col", "VARCHAR", True), ("a,b", "INT", False), ("c d", "INT", True), ('e"(f', "INT", False)
+    ]
+
+
+def test_an_unread_column_list_fails(spark):
+    deep = "(" * (ddl.DEPTH + 1) + "1" + ")" * (ddl.DEPTH + 1)
+    for text in ("create table t (a int", f"create table t (a int default {deep})"):
+        with pytest.raises(Exception, match="column list without an end"):
+            extract(spark, text).count()
 
 
 def test_wide_table(spark):
@@ -87,12 +136,34 @@ def test_document_text(spark):
 
 def test_documents_are_read_back(spark, tmp_path):
     awkward = [ColumnSpec("no", "TEXT"), ColumnSpec("it's: odd", "TEXT"), ColumnSpec("null", "TEXT", unique=True)]
+    awkward += [ColumnSpec(name, "TEXT") for name in ("two\nlines", 'a "b"', "back\\slash\n", "tab\t\\n", "- x", "# y")]
     for number, columns in enumerate((EVENT_SPECS, awkward)):
         path = str(tmp_path / str(number))
         specs.write_spec_document(specs.specs_table(spark, columns), path)
         assert specs.collect_specs(specs.read_spec_documents(spark, path)) == list(columns)
 
 
+def parsed(spark, text):
+    return specs.parse_documents(spark.createDataFrame([(text,)], "value string"))
+
+
+def test_hand_written_documents(spark):
+    assert parsed(spark, "data: []").count() == 0
+    assert parsed(spark, "# nothing yet\ndata:\n").count() == 0
+    text = '---\n# columns\ndata:\n- name: "a"\n  # kind\n  data_type: \'BIGINT\'\n- length: 3\n- name: b\n'
+    assert specs.collect_specs(parsed(spark, text)) == [ColumnSpec("a", "BIGINT"), ColumnSpec("b", None)]
+    with pytest.raises(Exception, match="no list of column specs"):
+        parsed(spark, "columns:\n- name: a").count()
+
+
+def test_specs_of_several_tables_are_refused(spark, tmp_path):
+    both = extract(spark, "create table t (a int); create table u (b int)")
+    with pytest.raises(ValueError, match="several tables"):
+        specs.collect_specs(both)
+    with pytest.raises(ValueError, match="several tables"):
+        specs.write_spec_document(both, str(tmp_path / "both"))
+
+
 def test_documents_are_valid_for_other_readers(spark):
     yaml = pytest.importorskip("yaml")
     columns = [*EVENT_SPECS, ColumnSpec("no", "TEXT"), ColumnSpec("it's: odd", "TEXT")]
