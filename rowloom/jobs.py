@@ -30,6 +30,7 @@ def write_chunks(
     chunks: int = CHUNKS,
     records_per_chunk: int = RECORDS_PER_CHUNK,
     partition_by: str | None = "Col1",
+    partitions: int | None = None,
     **options,
 ) -> None:
     """Append profile A rows under positional names, partitioned by one of them.
@@ -37,7 +38,7 @@ def write_chunks(
     The default partition column is nearly unique in the sample table, which makes a
     directory per value. Choose a column of few values for large amounts.
     """
-    spine = chunk_spine(spark, chunks, records_per_chunk)
+    spine = chunk_spine(spark, chunks, records_per_chunk, partitions=partitions)
     rows = generate(spine, specs, PROFILE_A, dictionary, **options)
     write_parquet(bind_positional(rows, positional_schema(specs, PROFILE_A)), path, partition_by=partition_by)
 
@@ -50,10 +51,11 @@ def write_batches(
     batches: int = BATCHES,
     batch_size: int = BATCH_SIZE,
     partition_by: str | None = "sob",
+    partitions: int | None = None,
     **options,
 ) -> None:
     """Append batches of profile B rows, whose record numbers restart in each batch."""
-    spine = chunk_spine(spark, batches, batch_size, "batch")
+    spine = chunk_spine(spark, batches, batch_size, "batch", partitions)
     write_parquet(generate(spine, specs, PROFILE_B, dictionary, **options), path, partition_by=partition_by)
 
 
@@ -65,13 +67,15 @@ def write_slices(
     last: int,
     dictionary: Dictionary | None = None,
     rows_per_slice: int = ROWS_PER_SLICE,
+    partitions: int | None = None,
     **options,
 ) -> None:
     """Append slices ``first`` to ``last`` of profile A rows, each in its own folder."""
-    spine = slice_spine(spark, first, last, rows_per_slice)
+    spine = slice_spine(spark, first, last, rows_per_slice, partitions)
     named = spine.withColumn("slice", slice_name(F.col("slice_num")))
     rows = generate(named, specs, PROFILE_A, dictionary, carry=["slice"], **options)
     # Slices lie one after the other in the range, so a task already writes few folders,
     # unless a large dictionary had the rows shuffled.
-    shuffled = dictionary is not None and dictionary.in_memory_bytes > BROADCAST_BYTES
+    limit = options.get("broadcast_bytes", BROADCAST_BYTES)
+    shuffled = dictionary is not None and dictionary.in_memory_bytes > limit
     write_parquet(rows, path, partition_by="slice", regroup=shuffled)

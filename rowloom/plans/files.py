@@ -61,6 +61,14 @@ def tsv_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_tsv(spark, path, customers.schema)
 
 
+def tsv_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents, line breaks and all, appended to text twice and read back."""
+    documents, path = table(spark, sf_dir, "documents"), scratch_path(spark, "tsv-documents")
+    files.write_tsv(documents, path, multi_line=True)
+    files.write_tsv(documents, path, multi_line=True)
+    return files.read_tsv(spark, path, documents.schema, multi_line=True)
+
+
 def catalog_clone_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clone the customers' columns into an empty table, load their text twice and read the table.
 
@@ -91,6 +99,7 @@ QUERIES = {
     "parquet_overwrite": parquet_overwrite,
     "partitioned_append": partitioned_append,
     "tsv_append": tsv_append,
+    "tsv_documents": tsv_documents,
     "catalog_clone_load": catalog_clone_load,
     "preview": order_preview,
 }
@@ -110,6 +119,7 @@ ORACLES = {
     "parquet_overwrite": "SELECT * FROM orders",
     "partitioned_append": "SELECT * FROM orders UNION ALL SELECT * FROM orders",
     "tsv_append": "SELECT * FROM customer UNION ALL SELECT * FROM customer",
+    "tsv_documents": "SELECT * FROM documents UNION ALL SELECT * FROM documents",
     "catalog_clone_load": "SELECT * FROM customer UNION ALL SELECT * FROM customer",
     "preview": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 20",
 }

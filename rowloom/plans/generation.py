@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rowloom import jobs
 from rowloom.functions import values
 from rowloom.functions.draws import with_draws
 from rowloom.functions.people import COMMON_PEOPLE
-from rowloom.operators.bind import bind_positional, positional_schema
+from rowloom.operators.bind import bind_positional, named_schema, positional_schema
 from rowloom.operators.dictionary import Pick, index_words, read_words
 from rowloom.operators.generate import generate
 from rowloom.operators.rules import PROFILE_A, PROFILE_B, Profile
@@ -23,6 +24,7 @@ from rowloom.storage import scratch_path
 
 CHUNK_RECORDS = 1000
 CHUNKS = 100
+SLICES = 16
 BATCH_RECORDS = 40
 PLAIN_NAMES = ("property_name", "sob", "is_logged_in", "page_views", "utc_date")
 PLAIN_SPECS = tuple(spec for spec in EVENT_SPECS if spec.name in PLAIN_NAMES)
@@ -97,9 +99,14 @@ def _plain_rows(spine: DataFrame, profile: Profile, carry: str) -> DataFrame:
     return generate(spine, PLAIN_SPECS, profile, None, SEED, AS_OF, carry=["row_id", carry])
 
 
+def _share(spark: SparkSession, sf_dir: str, name: str, groups: int) -> int:
+    """A table's number of rows over a number of groups, rounded up."""
+    return -(-table(spark, sf_dir, name).count() // groups)
+
+
 def gen_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A hundred chunks of records, as many records in all as there are orders, rounded up."""
-    records = -(-table(spark, sf_dir, "orders").count() // CHUNKS)
+    records = _share(spark, sf_dir, "orders", CHUNKS)
     return _plain_rows(chunk_spine(spark, CHUNKS, records), PROFILE_A, "chunk")
 
 
@@ -126,8 +133,8 @@ def chunked_write_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum("page_views").alias("page_views"),
         F.count_if("is_logged_in").alias("logged_in"),
         F.min("utc_date").alias("first_date"),
-        F.max("property_name").alias("last_name"),
-        F.min("property_id").alias("first_id"),
+        F.sum(F.length("property_name")).alias("name_letters"),
+        F.sum(F.ascii("property_id")).alias("id_codes"),
     )
 
 
@@ -143,10 +150,37 @@ def batch_append(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count("*").alias("records"),
         F.count_distinct("batch").alias("batches"),
         F.sum("page_views").alias("page_views"),
-        F.max("core_action").alias("last_action"),
+        F.sum(F.length("core_action")).alias("action_letters"),
     )
 
 
+def chunk_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chunk job, for as many records as there are orders, rounded up; its files read back."""
+    path, records = scratch_path(spark, "chunk-job"), _share(spark, sf_dir, "orders", CHUNKS)
+    words = document_dictionary(spark, sf_dir)
+    jobs.write_chunks(spark, EVENT_SPECS, path, words, CHUNKS, records, "Col4", seed=SEED, as_of=AS_OF)
+    return read_parquet(spark, path, positional_schema(EVENT_SPECS, PROFILE_A, required=()))
+
+
+def batch_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch job, in a folder per record number, for as many records as there are events, rounded up."""
+    path, batches = scratch_path(spark, "batch-job"), _share(spark, sf_dir, "events", BATCH_RECORDS)
+    words = document_dictionary(spark, sf_dir)
+    jobs.write_batches(spark, TIMED_SPECS, path, words, batches, BATCH_RECORDS, seed=SEED, as_of=AS_OF)
+    return read_parquet(spark, path, named_schema(TIMED_SPECS, PROFILE_B))
+
+
+def slice_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The slice job with every word looked up by the shuffled join, for as many rows as there are orders, rounded up."""
+    path, rows = scratch_path(spark, "slice-job"), _share(spark, sf_dir, "orders", SLICES)
+    words = document_dictionary(spark, sf_dir)
+    jobs.write_slices(
+        spark, EVENT_SPECS, path, 1, SLICES, words, rows, seed=SEED, as_of=AS_OF, broadcast_bytes=0
+    )
+    schema = named_schema(EVENT_SPECS, PROFILE_A).add("slice", "string")
+    return read_parquet(spark, path, schema)
+
+
 QUERIES = {
     "gen_int": _value_query(lambda: values.uniform_int("value", 1, 100).cast("int")),
     "gen_int_wide": _value_query(lambda: values.uniform_int("value", 100, 1000)),
@@ -170,6 +204,9 @@ QUERIES = {
     "gen_profile_b_shuffled": gen_profile_b_shuffled,
     "chunked_write_summary": chunked_write_summary,
     "batch_append": batch_append,
+    "chunk_job": chunk_job,
+    "batch_job": batch_job,
+    "slice_job": slice_job,
 }
 
 _ORDERS = duck.with_draws(
@@ -193,6 +230,18 @@ _CHUNK_ROWS = duck.with_draws(
               FROM (SELECT (count(*) + {CHUNKS - 1}) // {CHUNKS} AS size FROM orders))""",
     "row_id", SEED,
 )
+_JOB_BATCH_ROWS = duck.with_draws(
+    f"""SELECT row_id, row_id // {BATCH_RECORDS} AS batch, row_id % {BATCH_RECORDS} AS record_num
+        FROM (SELECT unnest(range((count(*) + {BATCH_RECORDS - 1}) // {BATCH_RECORDS} * {BATCH_RECORDS})) AS row_id
+              FROM events)""",
+    "row_id", SEED,
+)
+_JOB_SLICE_ROWS = duck.with_draws(
+    f"""SELECT row_id, row_id // size + 1 AS slice_num, row_id % size AS record_num
+        FROM (SELECT unnest(range(size * {SLICES})) AS row_id, size
+              FROM (SELECT (count(*) + {SLICES - 1}) // {SLICES} AS size FROM orders))""",
+    "row_id", SEED,
+)
 _BATCH_ROWS = duck.with_draws(
     """SELECT row_id, 0 AS batch, row_id AS record_num
        FROM (SELECT unnest(range(n)) AS row_id FROM (SELECT count(*) AS n FROM events))""",
@@ -229,6 +278,8 @@ _PROFILE_B = _PROFILE_A | {
     "page_views": f"100 + {duck.below(901, 'page_views')}",
     "core_action": duck.sentence("core_action"),
 }
+_POSITIONAL_A = {f"Col{n}": expression for n, expression in enumerate(_PROFILE_A.values(), start=1)}
+_TIMED_B = _PROFILE_B | {"updated_at": duck.recent_datetime("updated_at")}
 
 
 def _table_sql(columns: dict[str, str], rows: str, carry: str = "") -> str:
@@ -264,22 +315,23 @@ ORACLES = {
     """,
     "gen_chunks": _plain_sql(_PROFILE_A, "chunk", _CHUNK_ROWS),
     "gen_batch": _plain_sql(_PROFILE_B, "batch", _BATCH_ROWS),
-    "gen_profile_a": _table_sql(
-        {f"Col{n}": expression for n, expression in enumerate(_PROFILE_A.values(), start=1)}, _ORDERS
-    ),
-    "gen_profile_b": _table_sql(_PROFILE_B | {"updated_at": duck.recent_datetime("updated_at")}, _EVENTS),
-    "gen_profile_b_shuffled": _table_sql(
-        _PROFILE_B | {"updated_at": duck.recent_datetime("updated_at")}, _EVENTS
-    ),
+    "gen_profile_a": _table_sql(_POSITIONAL_A, _ORDERS),
+    "gen_profile_b": _table_sql(_TIMED_B, _EVENTS),
+    "gen_profile_b_shuffled": _table_sql(_TIMED_B, _EVENTS),
+    "chunk_job": _table_sql(_POSITIONAL_A, _CHUNK_ROWS),
+    "batch_job": _table_sql(_TIMED_B, _JOB_BATCH_ROWS),
+    "slice_job": _table_sql(_PROFILE_A, _JOB_SLICE_ROWS, "printf('slice-%03d', slice_num) AS slice, "),
     "chunked_write_summary": f"""
         SELECT chunk, count(*) AS records, CAST(sum(page_views) AS BIGINT) AS page_views,
                count(*) FILTER (is_logged_in) AS logged_in, min(utc_date) AS first_date,
-               max(property_name) AS last_name, min(property_id) AS first_id
+               CAST(sum(length(property_name)) AS BIGINT) AS name_letters,
+               CAST(sum(ascii(property_id)) AS BIGINT) AS id_codes
         FROM ({_table_sql(_PROFILE_A, _ORDERS_IN_CHUNKS, "chunk, ")}) GROUP BY chunk
     """,
     "batch_append": f"""
         SELECT sob, count(*) AS records, count(DISTINCT batch) AS batches,
-               CAST(sum(page_views) AS BIGINT) AS page_views, max(core_action) AS last_action
+               CAST(sum(page_views) AS BIGINT) AS page_views,
+               CAST(sum(length(core_action)) AS BIGINT) AS action_letters
         FROM ({_table_sql(_PROFILE_B, _EVENTS, "batch, ")}) GROUP BY sob
     """,
 }

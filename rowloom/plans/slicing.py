@@ -63,7 +63,7 @@ def slice_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_parquet(spark, path, rows.schema).groupBy("slice").agg(
         F.count("*").alias("records"),
         F.sum("page_views").alias("page_views"),
-        F.max("sob").alias("last_sob"),
+        F.max(F.col("sob").cast("long")).alias("last_sob"),
     )
 
 
@@ -97,7 +97,7 @@ ORACLES = {
     "slice_output": f"""
         SELECT printf('slice-%03d', slice_num) AS slice, count(*) AS records,
                CAST(sum(1 + {duck.below(100, "page_views")}) AS BIGINT) AS page_views,
-               max(CAST(record_num AS VARCHAR)) AS last_sob
+               max(record_num) AS last_sob
         FROM ({_ORDER_ROWS}) GROUP BY 1
     """,
 }

@@ -61,11 +61,28 @@ def write_parquet(
     rows.write.mode(mode).partitionBy(partition_by).parquet(path)
 
 
-def write_tsv(df: DataFrame, path: str) -> None:
-    """Append tab-separated text without a header."""
-    df.write.mode("append").csv(path, sep="\t")
+def _tsv_options(multi_line: bool) -> dict[str, object]:
+    options: dict[str, object] = {"sep": "\t"}
+    if multi_line:
+        options |= {"lineSep": "\n", "escape": '"', "emptyValue": '""', "nullValue": ""}
+        options |= {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    return options
 
 
-def read_tsv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """Read tab-separated text without a header."""
-    return spark.read.schema(schema).csv(path, sep="\t")
+def write_tsv(df: DataFrame, path: str, multi_line: bool = False) -> None:
+    """Append tab-separated text without a header.
+
+    ``multi_line`` writes texts so that ``read_tsv`` with it gives them back as they were:
+    with their outer white space, line breaks, quotes and backslashes, empty apart from null.
+    """
+    df.write.mode("append").options(**_tsv_options(multi_line)).csv(path)
+
+
+def read_tsv(spark: SparkSession, path: str, schema: StructType | str, multi_line: bool = False) -> DataFrame:
+    """Read tab-separated text without a header.
+
+    With ``multi_line`` a quoted text may hold line breaks; a file is then read by one task.
+    """
+    # A field without quotes is read as the null value, and what equals it is null: so no text may.
+    options = _tsv_options(multi_line) | ({"emptyValue": "", "nullValue": "\0"} if multi_line else {})
+    return spark.read.schema(schema).options(multiLine=multi_line, **options).csv(path)

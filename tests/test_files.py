@@ -170,3 +170,11 @@ def test_configured_folder_wins_and_clusters_must_have_one():
     assert storage.shared_dir(_Session("hdfs://shared/dir/", "yarn")) == "hdfs://shared/dir"
     with pytest.raises(RuntimeError):
         storage.shared_dir(_Session(None, "yarn"))
+
+
+def test_tab_separated_texts_come_back_as_written(spark, tmp_path):
+    texts = ["a\nb", " lead", "trail ", 'say "x"', "back\\slash", '\\"', "tab\there", "", None, "cr\r\nlf", "\n", '"', "'"]
+    df = spark.createDataFrame(list(enumerate(texts)), "n int, text string")
+    files.write_tsv(df, str(tmp_path / "out"), multi_line=True)
+    back = files.read_tsv(spark, str(tmp_path / "out"), df.schema, multi_line=True)
+    assert dict(back.collect()) == dict(enumerate(texts))

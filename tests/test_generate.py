@@ -15,9 +15,10 @@ from rowloom.operators.bind import bind_positional, named_schema, positional_sch
 from rowloom.operators.generate import generate
 from rowloom.operators.rules import PROFILE_A, PROFILE_B, generator_column, generator_of
 from rowloom.operators.spines import batch_spine, chunk_spine, key_spine, slice_spine, slice_table_spine
+from rowloom.plans import generation, slicing
 from rowloom.sources.files import read_parquet
 from rowloom.sources.specs import EVENT_SPECS, ColumnSpec
-from tests.conftest import plan_of
+from tests.conftest import SF_DIR, plan_of
 
 AS_OF = datetime(2024, 1, 1)
 
@@ -178,3 +179,17 @@ def test_slice_job(spark, dictionary, tmp_path):
     jobs.write_slices(spark, EVENT_SPECS, str(tmp_path), 7, 9, dictionary, 20, as_of=AS_OF)
     counts = read_parquet(spark, str(tmp_path)).groupBy("slice").count().collect()
     assert sorted(map(tuple, counts)) == [(f"slice-{n:03d}", 20) for n in (7, 8, 9)]
+
+
+def test_slice_job_writes_few_files_on_both_lookup_paths(spark, dictionary, tmp_path):
+    for limit in (0, 1 << 40):
+        path = tmp_path / str(limit)
+        jobs.write_slices(
+            spark, EVENT_SPECS, str(path), 1, 20, dictionary, 50, as_of=AS_OF, broadcast_bytes=limit, partitions=4
+        )
+        assert len(list(path.glob("slice=*/*.parquet"))) <= 24
+
+
+@pytest.mark.parametrize("query", [generation.chunked_write_summary, generation.batch_append, slicing.slice_output])
+def test_summaries_do_not_sort(spark, query):
+    assert "SortAggregate" not in plan_of(query(spark, SF_DIR))
