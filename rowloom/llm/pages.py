@@ -1,8 +1,9 @@
 """HTML extraction: the main text of web pages, with boilerplate found by host suffix arrays.
 
 A page is read as blocks of text. Elements that mark boilerplate (menus, footers, forms,
-adverts, comments and so on) are set apart; blocks inside an article or main element are the
-main text. The rest, on pages that mark no article, is judged by repetition: the streams of
+adverts, comments and so on) are set apart, by tag or by a whole class name; an article or
+main element is never set apart by its names, nor by those of elements around it. Blocks
+inside such an element are the main text. The rest, on pages that mark no article, is judged by repetition: the streams of
 words outside articles are concatenated, sorted as a suffix array to a depth of eight words,
 and runs shared by distinct pages of one host are boilerplate. What no such run covers stays.
 
@@ -36,15 +37,27 @@ BLOCKS = (
     "search section summary table tbody td tfoot th thead title tr ul"
 )
 VOID = "area base br col embed hr img input link meta param source track wbr"
-# Words in class, id and role that name boilerplate.
+# Marked elements that wrap whole pages at times: an article inside one shows that it marks no boilerplate.
+WRAPPING = "head header form dialog"
+# Whole names in class, id and role that name boilerplate, without what parts their words.
 NAMES = (
-    "ad ads adbox advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies "
-    "consent gdpr notice alert popup modal overlay newsletter subscribe subscription signup login share sharing social "
-    "related recommended recommendations trending sidebar comments comment respond replies disqus breadcrumb breadcrumbs "
-    "menu nav navbar navigation navigations footer masthead topbar toolbar pagination pager search skip contentinfo "
-    "complementary"
+    "ad ads adbox adbanner adcontainer adslot adunit adwrapper adsbygoogle advert adverts advertisement advertisements "
+    "advertising sponsor sponsored sponsoredcontent promo promotion banner cookie cookies cookiebanner cookiebar "
+    "cookieconsent cookienotice consent gdpr notice alert popup modal overlay newsletter newslettersignup subscribe "
+    "subscription signup login loginform share sharebar sharebuttons sharelinks sharing socialshare socialshares social "
+    "socialicons sociallinks socialmedia socialbuttons related relatedarticles relatedcontent relatedlinks relatedposts "
+    "relatedstories recommended recommendations trending sidebar sidebarleft sidebarright leftsidebar rightsidebar "
+    "primarysidebar secondarysidebar sidebarwidget widgetarea comments comment commentlist commentform commentsarea "
+    "commentssection commentsection respond replies disqus disqusthread breadcrumb breadcrumbs menu mainmenu mobilemenu "
+    "topmenu sidemenu dropdownmenu nav navbar navmenu navlinks topnav mainnav sitenav sidenav primarynav navigation "
+    "mainnavigation sitenavigation postnavigation navigations footer sitefooter pagefooter mainfooter footernav "
+    "footerlinks masthead siteheader topbar toolbar pagination pager search searchbar searchbox searchform skip skiplink "
+    "skiptocontent skiplinks contentinfo complementary"
 )
-_RAW, _MARKED, _BLOCKS, _VOID, _NAMES = (frozenset(x.split()) for x in (RAW, MARKED, BLOCKS, VOID, NAMES))
+_RAW, _MARKED, _BLOCKS, _VOID, _WRAPPING, _NAMES = (
+    frozenset(x.split()) for x in (RAW, MARKED, BLOCKS, VOID, WRAPPING, NAMES)
+)
+_APART = re.compile(r"[\W\d_]+")
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][\w:-]*)(?P<attributes>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)"
@@ -58,32 +71,72 @@ _HOST = re.compile(r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)")
 MAIN, LOOSE, SET_APART = 0, 1, 2
 
 
-def _is_marked(tag: str, attributes: str, in_main: bool) -> bool:
+# Marks of boilerplate; a firm one is lifted by a main element inside it only, a loose one by an article too.
+FIRM, SOFT = 2, 1
+
+
+def _mark(tag: str, attributes: str, in_main: bool) -> int:
+    """FIRM, SOFT or 0: how an element marks boilerplate. Articles and main elements never do."""
+    if tag in ("html", "body", "article", "main"):
+        return 0
     if tag in _MARKED or tag == "header" and not in_main:
-        return True
-    if not attributes or tag in ("html", "body"):
-        return False
-    for name, *values in _ATTRIBUTE.findall(attributes):
+        return SOFT if tag in _WRAPPING else FIRM
+    for name, *values in _ATTRIBUTE.findall(attributes) if attributes else ():
         value = next((v for v in values if v), "").lower()
         if name.lower() == "hidden" or name.lower() == "aria-hidden" and value == "true":
-            return True
-        if any(_NAMES & set(re.split(r"[^a-z]+", word)) for word in value.split()):
-            return True
-    return False
+            return SOFT
+        if any(_APART.sub("", word) in _NAMES for word in value.split()):
+            return SOFT
+    return 0
+
+
+class _Part:
+    """An element that marks boilerplate or main text, within another one."""
+
+    __slots__ = ("above", "tag", "mark", "lifted", "in_main", "in_article", "zone")
+
+    def __init__(self, above: _Part | None, tag: str, mark: int):
+        self.above, self.tag, self.mark, self.lifted = above, tag, mark, 0
+        self.in_main = not mark or above is not None and above.in_main
+        self.in_article = tag == "article" or above is not None and above.in_article
+        self.zone = LOOSE
+
+    def lift(self, by: int) -> None:
+        """Take back the marks around an article or main element.
+
+        Marks within an article stay: articles in an article are comments on it or teasers
+        of others. So do those around a menu, footer or aside that has the article.
+        """
+        part = None if self.in_article else self
+        while part is not None and part.lifted < by and part.mark <= by:
+            part.lifted = by
+            part = part.above
+
+    def settle(self) -> None:
+        """The zone, after that of the part above."""
+        zone = self.above.zone if self.above is not None else LOOSE
+        if zone != SET_APART and self.mark > self.lifted:
+            self.zone = SET_APART
+        elif zone == LOOSE and not self.mark:
+            self.zone = MAIN
+        else:
+            self.zone = zone
 
 
 def blocks(html: str | None) -> list[tuple[int, str]]:
     """Blocks of a page in order, each with its part: MAIN, LOOSE or SET_APART."""
     html = html or ""
-    out: list[tuple[int, str]] = []
+    out: list[tuple[_Part | None, str]] = []
     held: list[str] = []
-    stack: list[tuple[str, int]] = []
-    zone, at, end = LOOSE, 0, len(html)
+    stack: list[tuple[str, _Part | None]] = []
+    parts: list[_Part] = []
+    part: _Part | None = None
+    at, end = 0, len(html)
 
     def close() -> None:
         text = " ".join(unescape("".join(held)).split())
         if text:
-            out.append((zone, text))
+            out.append((part, text))
         held.clear()
 
     while at < end:
@@ -111,24 +164,28 @@ def blocks(html: str | None) -> list[tuple[int, str]]:
             depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
             if depth is not None:
                 before = stack[depth][1]
-                if before != zone:
+                if before is not part:
                     close()
-                zone = before
+                part = before
                 del stack[depth:]
         else:
             if tag == "body" and stack:
-                zone = stack[0][1]
+                part = stack[0][1]
                 stack.clear()
             if tag in _BLOCKS or token["attributes"]:
-                stack.append((tag, zone))
-                if zone != SET_APART and _is_marked(tag, token["attributes"], zone == MAIN):
+                stack.append((tag, part))
+                mark = _mark(tag, token["attributes"], part is not None and part.in_main)
+                if mark or tag in ("article", "main"):
                     if tag not in _BLOCKS:
                         close()
-                    zone = SET_APART
-                elif zone == LOOSE and tag in ("article", "main"):
-                    zone = MAIN
+                    if not mark and part is not None:
+                        part.lift(FIRM if tag == "main" else SOFT)
+                    part = _Part(part, tag, mark)
+                    parts.append(part)
     close()
-    return out
+    for one in parts:
+        one.settle()
+    return [(one.zone if one is not None else LOOSE, text) for one, text in out]
 
 
 def host(url: str | None) -> str:

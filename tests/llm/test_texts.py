@@ -62,6 +62,29 @@ def test_blocks_of_a_page():
     assert blocks(None) == [] and blocks("") == []
 
 
+def test_names_of_wrappers_and_parts_of_names_hide_no_text():
+    def main(html):
+        return [text for zone, text in blocks(html) if zone == 0]
+
+    body = "<p class='share-price'>Shares fell</p><p>to <b class='no-ads'>nine</b></p>"
+    for start, end in [
+        ("<div class='layout has-sidebar'><article>", "</article></div>"),
+        ("<article class='post no-comments'>", "</article>"),
+        ("<div class='sidebar'><div id=search><article>", "</article></div></div>"),
+        ("<main class='search'>", "</main>"),
+        ("<form id=f><div hidden><article role=banner>", "</article></div></form>"),
+        ("<aside><main>", "</main></aside>"),
+        ("<head><title>t</title><article>", "</article>"),
+    ]:
+        assert main(f"{start}{body}{end}") == ["Shares fell", "to nine"], start
+    around = f"<div class=sidebar><nav>menu</nav><article>{body}<div class=cookie_banner>ok</div></article></div>"
+    assert main(around) == ["Shares fell", "to nine"]
+    # Articles in an article and those of an aside are not the page's text.
+    nested = "<article>one<div id=comments><article>reply</article></div></article>"
+    teaser = "<aside class=related><article>teaser</article></aside>"
+    assert main(nested + teaser) == ["one"]
+
+
 def test_repeated_runs_go_where_no_article_is_marked(spark):
     menu = "home news sport weather travel culture food music"
     rows = [(k, "http://h.example/a", f"<div>{menu}</div><p>{k}th story is told by number {k} alone here</p>") for k in range(3)]
