@@ -10,6 +10,10 @@ and runs shared by distinct pages of one host are boilerplate. What no such run
 Each task sorts the suffixes of its own pages, host by host, and passes on one row for each
 distinct prefix; equal prefixes of other tasks meet in one aggregation, so a host that fills
 the table needs no task of its own.
+
+Inside articles whole blocks are the units: a block of eight words or more that recurs on ten
+distinct pages of its host, and on a hundredth of them, is boilerplate too. Runs of words are
+not cut there, since pages quote each other.
 """
 
 from __future__ import annotations
@@ -27,6 +31,9 @@ from pyspark.sql import functions as F
 from rowloom.llm.common import staged
 
 DEPTH = 8
+# From how many distinct pages of a host, and from which share of them, a block of an article is boilerplate.
+BLOCK_PAGES = 10
+BLOCK_SHARE = 0.01
 
 # Elements of HTML by their part in a page.
 RAW = "script style noscript template iframe object svg math canvas select textarea button audio video datalist"
@@ -205,7 +212,8 @@ def _parsed(batches: Iterator[pa.RecordBatch]):
             ("url", pa.string()),
             ("host", pa.int64()),
             ("page", pa.int64()),
-            ("text", pa.string()),
+            ("main", pa.list_(pa.string())),
+            ("units", pa.list_(pa.int64())),
             ("loose", pa.list_(pa.string())),
             ("apart", pa.list_(pa.string())),
         ]
@@ -223,7 +231,9 @@ def _parsed(batches: Iterator[pa.RecordBatch]):
                     "host": _hash(host(url)),
                     # Pages that say the same are one page, under whatever address.
                     "page": _hash("\n".join(parts[MAIN] + parts[LOOSE])),
-                    "text": "\n".join(parts[MAIN]) if parts[MAIN] else None,
+                    "main": parts[MAIN],
+                    # Blocks of the article as numbers; shorter ones than a run are not judged.
+                    "units": [_hash(t) if len(t.split(None, DEPTH - 1)) == DEPTH else None for t in parts[MAIN]],
                     "loose": parts[LOOSE],
                     "apart": parts[SET_APART],
                 }
@@ -299,6 +309,33 @@ def _prefixes(batches: Iterator[pa.RecordBatch]):
         )
 
 
+def _units(batches: Iterator[pa.RecordBatch]):
+    """One row for each distinct block and page of a task's hosts, by the suffix array of blocks."""
+    for batch in batches:
+        rows = zip(*(batch.column(c).to_pylist() for c in ("host", "page", "units")), strict=True)
+        found = [(name, page, unit) for name, page, units in rows for unit in units if unit is not None]
+        if not found:
+            continue
+        name, page, unit = np.array(found, np.int64).T
+        number: dict[tuple[int, int], int] = {}
+        order, rank = suffix_groups(np.array([number.setdefault((n, u), len(number)) for n, _, u in found]), 1)
+        # Within a group of equal blocks, each page once.
+        order = order[np.lexsort((page[order], rank[order]))]
+        first = np.append(True, (rank[order][1:] != rank[order][:-1]) | (page[order][1:] != page[order][:-1]))
+        heads = order[first]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(name[heads]), pa.array(unit[heads]), pa.array(page[heads])], names=["host", "unit", "page"]
+        )
+
+
+def repeated_units(parsed: DataFrame, least: int = BLOCK_PAGES, share: float = BLOCK_SHARE) -> DataFrame:
+    """host and unit of the blocks of articles on many distinct pages of their host."""
+    units = parsed.select("host", "page", "units").mapInArrow(_units, "host long, unit long, page long")
+    many = units.distinct().groupBy("host", "unit").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    sizes = parsed.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("total"))
+    return many.join(sizes, "host").where(F.col("n") >= F.col("total") * share).select("host", "unit")
+
+
 def _places(batches: Iterator[pa.RecordBatch]):
     for batch in batches:
         for row, name, loose in zip(*(batch.column(c).to_pylist() for c in ("row", "host", "loose")), strict=True):
@@ -330,7 +367,8 @@ def unique_runs(loose: list[str], covered: list[int], depth: int = DEPTH) -> str
 def main_texts(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars (code points) of every page.
 
-    Blocks inside article or main elements, less marked boilerplate, are the text. Pages
+    Blocks inside article or main elements, less marked boilerplate and less whole blocks
+    that many distinct pages of their host share, are the text. Pages
     without such an element give the blocks outside marked boilerplate, less runs of eight
     words or more that distinct pages of their host share. A null html counts as empty and
     gives an empty text; null urls share one host; null and repeated page_ids are rows of
@@ -338,7 +376,8 @@ def main_texts(pages: DataFrame) -> DataFrame:
     """
     read = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html").mapInArrow(
         _parsed,
-        "page_id long, url string, host long, page long, text string, loose array<string>, apart array<string>",
+        "page_id long, url string, host long, page long, main array<string>, units array<long>, loose array<string>, "
+        "apart array<string>",
     )
     parsed = staged(read.withColumn("row", F.monotonically_increasing_id()), "pages")
     prefixes = parsed.select("host", "page", "loose", "apart").mapInArrow(
@@ -351,7 +390,7 @@ def main_texts(pages: DataFrame) -> DataFrame:
         .select("host", "gram")
     )
     shared = staged(shared, "page-runs")
-    open_pages = parsed.where("text IS NULL AND size(loose) > 0")
+    open_pages = parsed.where("size(main) = 0 AND size(loose) > 0")
     found = open_pages.select("row", "host", "loose").mapInArrow(_places, "row long, host long, gram long, at long")
     covered = (
         found.join(shared, ["host", "gram"])
@@ -374,7 +413,22 @@ def main_texts(pages: DataFrame) -> DataFrame:
         .select("page_id", "url", "loose", "covered")
         .mapInArrow(cut, "page_id long, url string, text string")
     )
-    marked = parsed.where("NOT (text IS NULL AND size(loose) > 0)").select(
-        "page_id", "url", F.coalesce("text", F.lit("")).alias("text")
+    repeated = staged(repeated_units(parsed), "page-units")
+    gone = (
+        parsed.select("row", "host", F.posexplode("units").alias("at", "unit"))
+        .join(repeated, ["host", "unit"])
+        .groupBy("row")
+        .agg(F.collect_set("at").alias("gone"))  # at most one entry per block of the page
+    )
+    kept = F.filter("main", lambda _, i: ~F.array_contains("gone", i))
+    marked = (
+        parsed.where("NOT (size(main) = 0 AND size(loose) > 0)")
+        .select("row", "page_id", "url", "main")
+        .join(gone, "row", "left")
+        .select(
+            "page_id",
+            "url",
+            F.array_join(F.when(F.col("gone").isNull(), F.col("main")).otherwise(kept), "\n").alias("text"),
+        )
     )
     return marked.unionByName(judged).withColumn("n_chars", F.length("text").cast("long"))

@@ -96,6 +96,26 @@ def test_repeated_runs_go_where_no_article_is_marked(spark):
     assert unique_runs(["a b", "c"], [0], 2) == "c"
 
 
+def test_blocks_of_articles_that_many_pages_share_go(spark):
+    notice = "All rights are with the makers of these pages, ask first"
+    quoted = "to be or not to be that is the question"
+    rows = []
+    for k in range(12):
+        text = f"<p>Story {k} is told here in some words of its own</p><p>Read on</p><p>{notice}</p>"
+        rows.append((k, "http://a.org/" + str(k), f"<article>{text}{f'<p>{quoted}</p>' * (k < 9)}</article>"))
+    # The same notice on too few pages of another host, and many copies of one page, stay.
+    rows += [(20 + k, "http://b.org/", f"<article><p>{notice}</p><p>{k}</p></article>") for k in range(9)]
+    rows += [(40, "http://c.org/", f"<article><p>{notice}</p></article>")] * 15
+    found = main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        if r.page_id < 12:
+            want = [f"Story {r.page_id} is told here in some words of its own", "Read on"] + [quoted] * (r.page_id < 9)
+        else:
+            want = [notice] + [str(r.page_id - 20)] * (r.page_id < 40)
+        assert r.text == "\n".join(want) and r.n_chars == len(r.text)
+
+
 def test_toxicity_learns_words(spark):
     rows = [(i, f"some plain words {i} about things") for i in range(60)]
     rows += [(100 + i, f"you {'vile ' * (1 + i % 8)}words") for i in range(60)] + [(None, None), (500, "")]
