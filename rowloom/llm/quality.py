@@ -94,7 +94,7 @@ def fit(
     Held-out rows are never read. Without labels of both kinds every text scores alike.
     """
     sample = labelled_sample(docs, labels, "quality", max_rows, ~held_out())
-    sized = sample.select("doc_id", F.octet_length("text").alias("size")).collect()
+    sized = sample.select("doc_id", F.octet_length("text").alias("size")).orderBy("doc_id").collect()
     order = np.random.default_rng(seed).permutation(len(sized))
     total, chosen = 0, []
     for i in order:

@@ -10,8 +10,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: in
     """Up to ``max_rows`` labelled documents, at most half of them of one label while both last.
 
     Rows are drawn in hash order of doc_id, so the sample does not depend on storage. Labels
-    other than 0 and 1, null ids and conflicting labels of one id are left out; of repeated
-    documents one is taken. Returns doc_id, text and the label as int.
+    other than 0 and 1, null ids and conflicting labels of one id are left out; of documents
+    that repeat an id the one of least text hash is taken, so ids are unique in the sample.
+    Returns doc_id, label as int and text.
     """
     known = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("__label"))
@@ -34,5 +35,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: in
     spark = docs.sparkSession
     chosen = spark.createDataFrame([tuple(r) for r in zeros + ones], "doc_id long, label int")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    # The chosen ids are at most max_rows numbers.
-    return texts.join(F.broadcast(chosen), "doc_id")
+    # The chosen ids are at most max_rows numbers. Tasks cut the rows of an id down to its least
+    # hash and then to one text before they are shuffled, so a repeated id fills no task.
+    held = texts.join(F.broadcast(chosen), "doc_id").withColumn("__hash", F.xxhash64("text"))
+    least = held.groupBy("doc_id").agg(F.min("__hash").alias("__hash"))
+    one = held.join(F.broadcast(least), ["doc_id", "__hash"])
+    return one.groupBy("doc_id", "label").agg(F.min("text").alias("text"))

@@ -9,6 +9,7 @@ from rowloom.llm.components import components
 from rowloom.llm.jaccard import link_classes, one_of_each
 from rowloom.llm.linededup import deduplicate_lines
 from rowloom.llm.pages import blocks, main_texts, unique_runs
+from rowloom.llm.samples import labelled_sample
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, key string"
 
@@ -142,3 +143,20 @@ def test_quality_scores_whole_texts(spark):
     net = quality.train([b"a"], np.array([1.0]), 1, 3)
     long = b"ab" * 100_000 + b"!!!!!!"
     assert net.pooled(long).max() == net.pooled(long[:65_536] + long[65_536:]).max()
+
+
+def test_samples_hold_one_text_of_a_repeated_id(spark, monkeypatch):
+    rows = [(7, f"copy {k % 40}") for k in range(300)] + [(k, f"text {k}") for k in range(10, 30)] + [(None, "x"), (8, None), (8, "y")]
+    docs = docs_of(spark, rows)
+    labels = spark.createDataFrame([(k, k % 2, k % 2) for k in [7, 7, 8, *range(10, 30)]], "doc_id long, quality int, toxic int")
+    for order in (docs, docs.repartition(5, "text")):
+        found = labelled_sample(order, labels, "quality", 100).collect()
+        assert sorted(r.doc_id for r in found) == [7, 8, *range(10, 30)]
+        assert all((r.doc_id, r.text) in rows or (r.doc_id, r.text) == (8, "") for r in found)
+        assert all(r.label == r.doc_id % 2 for r in found)
+        kept = {r.doc_id: r.text for r in found}
+        assert kept == {r.doc_id: r.text for r in labelled_sample(docs.distinct(), labels, "quality", 100).collect()}
+    seen = []
+    monkeypatch.setattr(quality, "train", lambda texts, label, epochs, seed: seen.extend(zip(texts, label, strict=True)))
+    quality.fit(docs, labels, max_bytes=100)
+    assert sum(len(t) for t, _ in seen) <= 100 and sum(t.startswith(b"copy") for t, _ in seen) <= 1
