@@ -52,7 +52,8 @@ STAGES = [
     ("packing", pack_sequences),
 ]
 
-# Fitted models and token ids are beyond SQL; tests hold each stage against brute force.
+# Fitted models and token ids are beyond SQL; tests/llm/test_pipeline.py holds the stages and their
+# chain against plain Python on a small table: the mix by its spans, sums and plan, since it is drawn.
 ORACLE_SQL = None
 
 
