@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rowloom.llm import quality, toxicity
+from rowloom.llm import bytepairs, quality, toxicity
 from rowloom.llm.common import read_table
 from rowloom.llm.fingerprints import edited_pairs
 from rowloom.llm.jaccard import link_classes
 from rowloom.llm.linededup import deduplicate_lines
 from rowloom.llm.mixing import mix
+from rowloom.llm.negatives import hard_negatives, integer_rows
 from rowloom.llm.packing import pack, piece_digest
 from rowloom.llm.pages import main_texts
+from rowloom.llm.periods import looped, periodic_runs, run_digest
 from rowloom.llm.topk import integer_vectors, top_k
 from rowloom.llm.wavelet import document_digest, token_store
 
@@ -69,6 +72,25 @@ def op10_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_digest(token_store(read_table(spark, sf_dir, "documents"), tokenizer_path()))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    rows = integer_rows(read_table(spark, sf_dir, "embeddings"), moved)
+    return hard_negatives(rows, rows.where("vec_id % 100 = 0"))
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = bytepairs.encode(read_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return bytepairs.token_digest(bytepairs.decode(encoded, ranks))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digest(periodic_runs(looped(read_table(spark, sf_dir, "documents"))))
+
+
 QUERIES = {
     "op1_exact_top_k": op1_exact_top_k,
     "op2_line_dedup": op2_line_dedup,
@@ -80,6 +102,9 @@ QUERIES = {
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_html_text": op9_html_text,
     "op10_wavelet_tokens": op10_wavelet_tokens,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_byte_bpe": op12_byte_bpe,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLES: dict[str, str] = {
@@ -99,6 +124,30 @@ ORACLES: dict[str, str] = {
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
     """,
+    "op11_hard_negatives": """
+        WITH whole AS (
+            SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+                   list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+                   CAST(list_dot_product(a.v, c.v) AS BIGINT) AS score
+            FROM whole a JOIN whole c ON a.vec_id % 100 = 0 AND c.vec_id <> a.vec_id AND len(a.v) = len(c.v)
+        ), positives AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score,
+                   row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place
+            FROM scored WHERE same
+        ), ranked AS (
+            SELECT p.anchor_id, p.positive_id, n.vec_id AS negative_id, p.positive_score, n.score AS negative_score,
+                   CAST(row_number() OVER (PARTITION BY p.anchor_id, p.place ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank
+            FROM positives p JOIN scored n
+              ON p.place <= 5 AND n.anchor_id = p.anchor_id AND NOT n.same
+             AND 80 * p.positive_score <= 100 * n.score AND 100 * n.score <= 100 * p.positive_score
+        )
+        SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 5
+    """,
     "op2_line_dedup": r"""
         WITH lined AS (
             SELECT *, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
