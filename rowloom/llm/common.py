@@ -24,6 +24,19 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def quoted(name: str) -> str:
+    """A column's name as an expression, dots and all."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """The name, with as many underscores before it as keep it apart from the columns of a table."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

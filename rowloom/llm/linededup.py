@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowloom.llm.common import order_key, staged
+from rowloom.llm.common import order_key, quoted, staged
 
 LINES = 3
 
@@ -54,16 +54,54 @@ def removed_windows(docs: DataFrame, size: int = LINES) -> DataFrame:
     return later.unionByName(inside)
 
 
+def _firsts_and_copies(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Rows but for those that repeat an id and its text, or a text without an id; and these."""
+    text = F.coalesce("text", F.lit(""))
+    keyed = docs.withColumns({"__key": order_key(F.col("doc_id"), F.col("text")), "__body": F.xxhash64(text)})
+    pair = ["__key", "__body"]
+    again = staged(keyed.groupBy(pair).count().where("count > 1").select(pair), "line-copies")
+    if again.isEmpty():
+        return docs, None
+    # Numbers of rows are written with them, so they stay what they are.
+    many = staged(
+        keyed.join(again, pair, "left_semi").withColumn("__row", F.monotonically_increasing_id()), "line-rows"
+    )
+    told = many.join(many.groupBy(pair).agg(F.min("__row").alias("__head")), pair)
+    names = [quoted(c) for c in docs.columns]
+    single = keyed.join(again, pair, "left_anti").select(names)
+    return single.unionByName(told.where("__row = __head").select(names)), told.where("__row > __head").select(names)
+
+
+def _blank_lines(docs: DataFrame, size: int) -> DataFrame:
+    """Copies: every line of a window goes."""
+    lines = F.split("text", "\n")
+    blank = F.filter(lines, lambda line: F.btrim(line, F.lit(" \t\r\x0b\x0c")) == "")
+    cut = F.size(lines) - F.size(blank) >= size
+    text = F.when(cut, F.array_join(blank, "\n")).otherwise(F.col("text"))
+    if "n_chars" in docs.columns:
+        kind = dict(docs.dtypes)["n_chars"]
+        docs = docs.withColumn("n_chars", F.when(cut, F.length(text).cast(kind)).otherwise(F.col("n_chars")))
+    return docs.withColumn("text", text)
+
+
 def deduplicate_lines(docs: DataFrame, size: int = LINES) -> DataFrame:
     """Documents without the lines that later occurrences of repeated windows cover.
 
     Every row is kept, with all its columns; ``text`` loses the covered lines, other lines
     and blank ones stay; ``n_chars``, if present, is counted anew where lines went. Texts
-    of fewer than ``size`` lines that are not blank have no window. Rows with one doc_id
-    count as one document, so that they share their first occurrences; rows with a null id
-    are ordered after all others by a hash of their text. Null and empty texts stay. Extra
-    columns may have any name but those beginning with two underscores.
+    of fewer than ``size`` lines that are not blank have no window. Rows with a null id are
+    ordered after all others by a hash of their text. Of rows that repeat an id with its text,
+    or a text without an id, one stays whole and the others lose all lines of their windows.
+    Rows with one doc_id and different texts count as one document, so that they share their
+    first occurrences. Null and empty texts stay. Extra columns may have any name but those
+    beginning with two underscores.
     """
+    firsts, copies = _firsts_and_copies(docs)
+    out = _without_later_windows(firsts, size)
+    return out if copies is None else out.unionByName(_blank_lines(copies, size))
+
+
+def _without_later_windows(docs: DataFrame, size: int) -> DataFrame:
     covered = (
         removed_windows(docs, size)
         .groupBy("key", "body")
@@ -90,4 +128,4 @@ def deduplicate_lines(docs: DataFrame, size: int = LINES) -> DataFrame:
         out = out.withColumn(
             "n_chars", F.when(F.col("__ats").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(kind))
         )
-    return out.select(*docs.columns)
+    return out.select(*map(quoted, docs.columns))

@@ -59,12 +59,14 @@ def plain_lines(rows):
         full = [(i, t) for i, t in enumerate((row[1] or "").split("\n")) if t.strip()]
         for at in range(len(full) - 2):
             windows[tuple(t for _, t in full[at : at + 3])].append((order(row), at))
-    out = []
+    out, met = [], set()
     for row in rows:
         split = (row[1] or "").split("\n")
         full, gone = [(i, t) for i, t in enumerate(split) if t.strip()], set()
+        copy = (order(row), row[1]) in met
+        met.add((order(row), row[1]))
         for at in range(len(full) - 2):
-            if min(windows[tuple(t for _, t in full[at : at + 3])]) != (order(row), at):
+            if copy or min(windows[tuple(t for _, t in full[at : at + 3])]) != (order(row), at):
                 gone |= {i for i, _ in full[at : at + 3]}
         text = "\n".join(t for i, t in enumerate(split) if i not in gone) if gone else row[1]
         out.append((row[0], text, *row[2:4], len(text) if gone else row[4], row[5]))
@@ -139,7 +141,8 @@ def test_stages_and_their_chain_against_plain_python(spark, folder):
     clean, cut, single, mixed = outs
     assert Counter(clean) == Counter(r for r in rows if sum(model.above(r[1])) < 0.5)
     assert not any(re.search("vile", r[1] or "") for r in clean) and {r[0] for r in clean} >= set(range(60)) | {None, 210, 211}
-    assert Counter(cut) == Counter(plain_lines(clean)) and Counter(cut) != Counter(clean)
+    # Which of two equal rows is cut is open: they differ in their last column only.
+    assert Counter(r[:5] for r in cut) == Counter(r[:5] for r in plain_lines(clean)) and Counter(cut) != Counter(clean)
     assert Counter(r[:2] for r in single) == Counter(plain_near(cut)) and set(single) <= set(cut) and len(single) < len(cut)
     single = [(*r[:1], r[1] or "", *r[2:]) for r in single]
     check_mix(spark, single, mixed)

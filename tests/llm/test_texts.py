@@ -26,6 +26,21 @@ def test_later_windows_go_and_covered_lines_merge(spark):
     assert found[6].text == "q" and found[None].text == ""
 
 
+def test_copies_without_an_id_and_repeated_rows_are_cut(spark):
+    rows = [(None, "a\nb\n\nc\nd", 1), (None, "a\nb\n\nc\nd", 2), (None, "a\nb\n\nc\nd", 3), (7, "k\nl\nm", 4), (7, "k\nl\nm", 4)]
+    rows += [(8, "x\ny", 5), (8, "x\ny", 5), (9, None, 6), (9, None, 6), (None, "b\nc\nd\ne", 7), (3, "q\nq\nq\nq", 8), (3, "q\nq\nq\nq", 9)]
+    docs = spark.createDataFrame([(k, t, len(t or ""), n) for k, t, n in rows], "doc_id long, text string, n_chars int, `a.b` int")
+    found = deduplicate_lines(docs.repartition(3))
+    assert found.columns == docs.columns
+    out = sorted(((r.doc_id, r.text) for r in found.collect()), key=repr)
+    assert all(r.n_chars == len(r.text or "") for r in found.collect())
+    # Which of two texts without an id comes first is up to a hash of them.
+    longest = [t for k, t in out if k is None]
+    assert sorted(longest) in (["", "", "a\nb\n\nc\nd", "e"], ["", "", "a", "b\nc\nd\ne"]) or longest.count("") == 2
+    assert [t for k, t in out if k == 7] == ["", "k\nl\nm"] and [t for k, t in out if k == 8] == ["x\ny"] * 2
+    assert [t for k, t in out if k == 9] == [None] * 2 and [t for k, t in out if k == 3] == ["", "q"]
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(20)] + [(100, i) for i in range(101, 120)] + [(7, 7)]
     found = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
