@@ -1,8 +1,9 @@
 """Token ids of whole texts by a public tokenizer file, fast enough for a corpus.
 
 The tokenizer drops white space before it merges, so a text's ids are those of its
-space-separated words in a row. Each task splits texts into distinct words, asks the
-tokenizers library once per word it has not met, and gathers the ids by word number.
+space-separated words in a row. Each task splits texts into distinct words and these into
+stems and marks, asks the tokenizers library once per piece it has not met, and gathers the
+ids by word number.
 """
 
 from __future__ import annotations
@@ -15,13 +16,15 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-# Words of one generation per Python worker: beyond, a new one starts and takes over from the
-# one before what is met again, so that memory stays bounded.
+from rowloom.llm.batches import Recent, strings
+
+# Stems and other words of one generation per Python worker: beyond, a new one starts and takes over
+# from the one before what is met again, so that memory stays bounded.
 CACHED_WORDS = 200_000
 # Characters split at a time, to bound the memory of one step. Longer single texts form a step.
 STEP_CHARS = 2_000_000
-# Trailing marks that never join a run of letters in the tokenizer's pattern.
-MARKS = ".,!?;:"
+# A run of letters that needs no normalizing, and marks that never join one in the tokenizer's pattern.
+_STEM_AND_MARKS = r"^(?P<stem>[A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{24F}]+)(?P<marks>[.,!?;:]*)$"
 
 
 def _byte_letters() -> dict[int, str]:
@@ -32,7 +35,7 @@ def _byte_letters() -> dict[int, str]:
 
 
 class WordTokenizer:
-    """Ids of whole texts; holds the ids of words met lately, in two generations."""
+    """Ids of whole texts; holds the ids of stems and other words met lately, in two generations."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -41,8 +44,7 @@ class WordTokenizer:
         self._tokenizer = Tokenizer.from_file(path)
         self._model = self._tokenizer.model
         self._letters = _byte_letters()
-        self._words: dict[str, bytes] = {"": b""}
-        self._older: dict[str, bytes] = {}
+        self._known = Recent(CACHED_WORDS)
 
     def _merge(self, stem: str) -> bytes:
         """Ids of a lower-case run of Latin letters, which needs no normalizing and no splitting."""
@@ -50,29 +52,30 @@ class WordTokenizer:
             stem = stem.encode().decode("latin-1").translate(self._letters)
         return array("I", [token.id for token in self._model.tokenize(stem)]).tobytes()
 
-    def _learn(self, words: list[str]) -> None:
-        """Look words up that are new: a Latin word and the marks after it are apart in the pattern."""
-        known, older = self._words, self._older
-        others = []
-        for word in words:
-            if word in older:
-                known[word] = older[word]
-                continue
-            stem = word.rstrip(MARKS)
-            if stem.isalpha() and max(stem) < "ɐ" and "İ" not in stem:
-                marks, low = word[len(stem) :], stem.lower()
-                ids = known.get(low) or older.get(low)
-                if ids is None:
-                    ids = known[low] = self._merge(low)
-                if marks:
-                    after = known.get(marks)
-                    if after is None:
-                        after = known[marks] = self._plain([marks])[0]
-                    ids += after
-                known[word] = ids
-            else:
-                others.append(word)
-        known.update(zip(others, self._plain(others), strict=True))
+    def _word_ids(self, words: pa.Array) -> tuple[list[bytes], np.ndarray]:
+        """Ids of stems, marks and other words, and which two of them are the ids of each word.
+
+        A run of Latin letters and the marks after it are apart in the tokenizer's pattern.
+        """
+        parts = pc.extract_regex(words, _STEM_AND_MARKS)
+        plain = parts.is_valid().to_numpy(zero_copy_only=False)
+        at, other = np.flatnonzero(plain), np.flatnonzero(~plain)
+        taken = parts.take(pa.array(at))
+        stems, marks = (taken.field(side).dictionary_encode() for side in range(2))
+        low = [stem.lower() for stem in strings(stems.dictionary)]
+        rest = strings(marks.dictionary) + strings(words.take(pa.array(other)))
+        fresh = self._known.missing(low)
+        self._known.values.update((stem, self._merge(stem)) for stem in fresh)
+        pieces = list(map(self._known.values.__getitem__, low))
+        fresh = self._known.missing(rest)
+        self._known.values.update(zip(fresh, self._plain(fresh), strict=True))
+        pieces += map(self._known.values.__getitem__, rest)
+        pieces.append(b"")
+        pair = np.full((len(words), 2), len(pieces) - 1)
+        pair[at, 0] = stems.indices.to_numpy(zero_copy_only=False)
+        pair[at, 1] = marks.indices.to_numpy(zero_copy_only=False) + len(low)
+        pair[other, 0] = np.arange(len(rest) - len(other), len(rest)) + len(low)
+        return pieces, pair
 
     def _plain(self, words: list[str]) -> list[bytes]:
         encoded = self._tokenizer.encode_batch_fast(words, add_special_tokens=False)
@@ -93,28 +96,22 @@ class WordTokenizer:
     def _step(self, texts: pa.Array, end_id: int | None):
         split = pc.ascii_split_whitespace(texts)
         coded = split.flatten().dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        if len(self._words) > CACHED_WORDS:
-            self._words, self._older = {"": b""}, self._words
-        known = self._words
-        fresh = [w for w in words if w not in known]
-        if fresh:
-            self._learn(fresh)
-        pieces = [known[w] for w in words]
-        table = np.frombuffer(b"".join(pieces), dtype="<u4")
-        lengths = np.fromiter((len(p) // 4 for p in pieces), np.int64, len(pieces))
-        starts = np.cumsum(lengths) - lengths
+        pieces, pair = self._word_ids(coded.dictionary)
         index = coded.indices.to_numpy(zero_copy_only=False)
         counts = np.append(0, np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False)))
         if end_id is not None:  # a word of its own at each end of a text
-            table = np.append(table, np.uint32(end_id))
-            index = np.insert(index, counts[1:], len(lengths))
-            lengths, starts = np.append(lengths, 1), np.append(starts, len(table) - 1)
+            pieces.append(np.array([end_id], "<u4").tobytes())
+            index = np.insert(index, counts[1:], len(pair))
+            pair = np.append(pair, [[len(pieces) - 1, len(pieces) - 2]], axis=0)
             counts = counts + np.arange(len(counts))
-        take = lengths[index]
+        table = np.frombuffer(b"".join(pieces), dtype="<u4")
+        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
+        starts = np.cumsum(lengths) - lengths
+        used = pair[index].ravel()
+        take = lengths[used]
         before = np.append(0, np.cumsum(take))
-        ids = table[np.repeat(starts[index] - before[:-1], take) + np.arange(before[-1])]
-        return ids, before[counts]
+        ids = table[np.repeat(starts[used] - before[:-1], take) + np.arange(before[-1])]
+        return ids, before[2 * counts]
 
 
 @lru_cache(maxsize=2)

@@ -43,19 +43,21 @@ class WaveletMatrix:
         if len(ids) and int(ids.max()) >> levels:
             raise ValueError(f"ids need more than {levels} bits")
         now = ids.astype(np.uint16 if levels <= 16 else np.uint32)
+        other = np.empty_like(now)
         n, step = len(now), RANK_BITS // 8
         planes = np.zeros((levels, -(-n // 8)), np.uint8)
         ranks = np.zeros((levels, n // RANK_BITS + 1), np.uint32)
         zeros = []
         for k in range(levels):
-            ones = (now >> (levels - 1 - k)) & 1 == 1
+            ones = (now >> now.dtype.type(levels - 1 - k) & now.dtype.type(1)).astype(bool)
             planes[k] = np.packbits(ones)
             each = np.bitwise_count(planes[k])
             full = each[: n // RANK_BITS * step].reshape(-1, step).sum(axis=1, dtype=np.uint32)
             ranks[k, 1:] = np.cumsum(full)
-            low = now[~ones]
-            zeros.append(len(low))
-            now = np.concatenate([low, now[ones]])
+            zeros.append(n - int(np.count_nonzero(ones)))
+            np.compress(ones, now, out=other[zeros[-1] :])
+            np.compress(~ones, now, out=other[: zeros[-1]])
+            now, other = other, now
         return cls(n, levels, zeros, planes, ranks)
 
     @classmethod
