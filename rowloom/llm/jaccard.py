@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowloom.llm.common import order_key, staged
+from rowloom.llm.common import order_key, quoted, staged
 from rowloom.llm.components import components
 
 WORDS = 5
@@ -359,7 +359,9 @@ def one_of_each(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     Columns are unchanged. Texts without words are no duplicates of each other and stay;
     of rows repeated with id and text, one stays.
     """
-    similar = similar_texts(docs, recall).select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), "class_id")
+    similar = similar_texts(docs, recall).select(
+        F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), F.col("class_id").alias("__class")
+    )
     text = F.coalesce("text", F.lit(""))
     rows = docs.withColumns(
         {
@@ -370,5 +372,6 @@ def one_of_each(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     )
     joined = rows.join(similar, (F.col("__h1") == F.col("__k1")) & (F.col("__h2") == F.col("__k2")), "left")
     wordless = joined.where("__k1 IS NULL")
-    kept = joined.where("__k1 IS NOT NULL AND __key = class_id").dropDuplicates(["__key", "__h1", "__h2"])
-    return wordless.select(*docs.columns).unionByName(kept.select(*docs.columns))
+    kept = joined.where("__k1 IS NOT NULL AND __key = __class").dropDuplicates(["__key", "__h1", "__h2"])
+    names = [quoted(c) for c in docs.columns]
+    return wordless.select(*names).unionByName(kept.select(*names))

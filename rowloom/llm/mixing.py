@@ -11,18 +11,16 @@ target needs one, uses another permutation. Within a shard, pieces are in random
 
 from __future__ import annotations
 
-import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from itertools import islice
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowloom.llm.common import shuffle_partitions, word_count
+from rowloom.llm.batches import map_batches
+from rowloom.llm.common import quoted, shuffle_partitions, word_count
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -34,7 +32,8 @@ BLOCK_WORDS = 16384
 TREE_BLOCKS = 500_000_000
 SHARD_WORDS = 1 << 22
 
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+# Characters of pieces sent back from a Python worker at a time; the pieces of one text go together.
+CUT_CHARS = 1 << 20
 _PIECE = "array<struct<shard:long,position:long,pass:int,start:long,length:long>>"
 
 
@@ -156,8 +155,9 @@ def permuted(number: np.ndarray, n: int, key: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def mix(
+def _located(
     docs: DataFrame,
+    columns: list[str],
     weights: Sequence[float] = WEIGHTS,
     share: float = SHARE,
     cap: float = CAP,
@@ -165,19 +165,10 @@ def mix(
     blocks_per_source: int = BLOCKS_PER_SOURCE,
     block_words: int = BLOCK_WORDS,
     shard_words: int = SHARD_WORDS,
-    carry: Sequence[str] = (),
-) -> DataFrame:
-    """Which words of each document the mix takes, and where they go.
-
-    Returns every document once: doc_id, source, the ``carry`` columns, size, source_size,
-    target, taken and pieces (shard, position in it, pass, first word, words). Null texts
-    have no words; null is a source of its own; null and repeated ids are rows like others;
-    an empty table gives no rows. Two sizes of the state are worth knowing: the driver reads
-    one number per source, and a window holds one source's share of one bucket of documents.
-    """
+):
+    """Documents with their places in the lines of their sources, and the function that takes pieces of a batch of them."""
     spark = docs.sparkSession
     buckets = 2 * shuffle_partitions(spark)
-    columns = list(dict.fromkeys(["doc_id", "source", *carry]))
     text_hash = F.xxhash64(F.lit(seed), "doc_id", "text")
     sized = docs.select(
         *columns, word_count(F.col("text")).alias("__size"), text_hash.alias("__order")
@@ -210,15 +201,31 @@ def mix(
         .select(*columns, "__size", (F.col("__base") + F.col("__before")).alias("__start"), "__order")
     )
 
-    def take(batches):
+    def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree = SplitTree(drawn, shards, seed)
         for batch in batches:
             yield _pieces(batch, plan, tree, seed)
 
+    return placed, take
+
+
+def mix(docs: DataFrame, carry: Sequence[str] = (), **options) -> DataFrame:
+    """Which words of each document the mix takes, and where they go.
+
+    Returns every document once: doc_id, source, the ``carry`` columns, size, source_size,
+    target, taken and pieces (shard, position in it, pass, first word, words). Options are
+    weights, share and cap of the targets, seed, blocks_per_source, block_words and
+    shard_words. Null texts have no words; null is a source of its own; null and repeated
+    ids are rows like others; an empty table gives no rows. Two sizes of the state are worth
+    knowing: the driver reads one number per source, and a window holds one source's share
+    of one bucket of documents.
+    """
+    columns = list(dict.fromkeys(["doc_id", "source", *carry]))
+    placed, take = _located(docs, columns, **options)
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in columns)
     schema += f", size long, source_size long, target double, taken long, pieces {_PIECE}"
-    return placed.mapInArrow(take, schema)
+    return map_batches(placed, take, schema)
 
 
 def _pieces(batch: pa.RecordBatch, plan: dict[str | None, Quota], tree: SplitTree, seed: int) -> pa.RecordBatch:
@@ -278,33 +285,72 @@ def _pieces(batch: pa.RecordBatch, plan: dict[str | None, Quota], tree: SplitTre
     )
 
 
-def _word_span(text: pd.Series, start: pd.Series, length: pd.Series, words: pd.Series) -> pd.Series:
-    """Words ``start`` to ``start + length`` of each text; whole texts stay as they are."""
-    out = []
-    for whole, first, count, total in zip(text, start, length, words, strict=True):
-        if count == total:
-            out.append(whole)
-        else:
-            spans = list(islice((m.span() for m in _WORD.finditer(whole)), first, first + count))
-            out.append(whole[spans[0][0] : spans[-1][1]])
-    return pd.Series(out, dtype=object)
+def piece_texts(text: str, pieces: list[tuple[int, int]], words: int) -> list[str]:
+    """The words of each (first word, words) of a text, with the white space between them.
+
+    A piece of all words is the text as it is. Words are found once for all pieces.
+    """
+    if all(count == words for _, count in pieces):
+        return [text] * len(pieces)
+    raw = text.encode()
+    letters = np.frombuffer(raw, np.uint8)
+    inside = np.concatenate([[False], (letters != 32) & ((letters < 9) | (letters > 13)), [False]])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    whole = [(0, len(raw)) if n == words else (starts[a], ends[a + n - 1]) for a, n in pieces]
+    return [raw[a:b].decode() for a, b in whole]
+
+
+def _cut_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per piece, with its words in place of the whole text; some texts at a time."""
+    for batch in batches:
+        ends = batch.column("pieces").offsets.to_numpy()
+        shard, position, first, count = (
+            batch.column("pieces").values.field(f).to_numpy() for f in ("shard", "position", "start", "length")
+        )
+        low, cut, sizes, held = 0, [], [], 0
+        for row, text in enumerate(batch.column("text")):
+            a, b = ends[row], ends[row + 1]
+            if b > a:
+                spans = list(zip(first[a:b].tolist(), count[a:b].tolist(), strict=True))
+                cut += piece_texts(text.as_py(), spans, batch.column("size")[row].as_py())
+                held += sum(map(len, cut[len(cut) - len(spans) :]))
+            sizes.append(b - a)
+            if row == batch.num_rows - 1 or held > CUT_CHARS:
+                rows = np.repeat(np.arange(low, row + 1), sizes)
+                these = slice(ends[low], ends[row + 1])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("carried").take(pa.array(rows)),
+                        pa.array(shard[these]),
+                        pa.array(position[these]),
+                        pa.array(cut, pa.string()),
+                    ],
+                    names=["row", "shard", "position", "text"],
+                )
+                low, cut, sizes, held = row + 1, [], [], 0
 
 
 def mixed_texts(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: one row per piece, with its words, by shard and in random order within.
 
-    Columns are those of ``docs``; ``text`` holds the words of the piece as they stand in
-    the document, white space between them included, and n_chars, if present, its length.
-    A document that the mix takes twice gives two rows, one that it doesn't take none.
+    Columns are those of ``docs``, whatever their names; ``text`` holds the words of the
+    piece as they stand in the document, white space between them included, and n_chars, if
+    present, its length. A document that the mix takes twice gives two rows, one that it
+    doesn't take none, such as one with a null text or one without words.
     """
-    plan = mix(docs, carry=docs.columns, **options)
-    piece = plan.select(*docs.columns, F.explode("pieces").alias("__piece"), F.col("size").alias("__words"))
-    word_span = F.pandas_udf(_word_span, "string")
-    cut = piece.withColumn(
-        "text", word_span(F.coalesce("text", F.lit("")), "__piece.start", "__piece.length", "__words")
+    others = [c for c in docs.columns if c != "text"]
+    # The other columns travel as one, so that no name of theirs meets one of the mix's own.
+    held = F.struct(*(F.col(quoted(c)).alias(f"c{i}") for i, c in enumerate(others)))
+    rows = docs.select("doc_id", "source", F.col("text").cast("string").alias("text"), held.alias("carried"))
+    placed, take = _located(rows, ["doc_id", "source", "text", "carried"], **options)
+    kind = rows.schema["carried"].dataType.simpleString()
+    pieces = map_batches(
+        placed, lambda batches: _cut_pieces(take(batches)), f"row {kind}, shard long, position long, text string"
     )
-    if "n_chars" in docs.columns:
-        kind = dict(docs.dtypes)["n_chars"]
-        cut = cut.withColumn("n_chars", F.length("text").cast(kind))
-    ordered = cut.repartition(F.col("__piece.shard")).sortWithinPartitions("__piece.shard", "__piece.position")
-    return ordered.select(*docs.columns)
+    kinds = dict(docs.dtypes)
+    columns = {c: F.col(f"row.c{i}") for i, c in enumerate(others)} | {"text": F.col("text")}
+    if "n_chars" in columns:
+        columns["n_chars"] = F.length("text").cast(kinds["n_chars"])
+    ordered = pieces.repartition("shard").sortWithinPartitions("shard", "position")
+    return ordered.select(*(columns[c].alias(c) for c in docs.columns))

@@ -8,15 +8,18 @@ severity is its expected grade, the sum of these probabilities.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import regex
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rowloom.llm.batches import bound_batches
+from rowloom.llm.common import quoted, unused
 from rowloom.llm.samples import labelled_sample
 
 GRADES = 3
@@ -26,13 +29,15 @@ MAX_ROWS = 12_000
 MAX_WORDS = 4096
 MIN_DOCS = 3
 REJECT = 0.5
-WORD = re.compile(r"[^\W\d_]+")
-WORD_SQL = r"[\p{L}\p{M}]+"
-_SCORES = "severity double, grade int, p1 double, p2 double, p3 double"
+# Letters and the marks that combine with them.
+WORD = regex.compile(r"[\p{L}\p{M}]+")
+_SCORES = "struct<severity: double, grade: int, p1: double, p2: double, p3: double>"
+# Texts whose words are counted at a time, so that a batch isn't held as Python strings.
+SLICE_ROWS = 64
 
 
 def text_words(text: str | None) -> Counter:
-    """Counts of lower-case letter runs; null has none."""
+    """Counts of lower-case words; null has none."""
     return Counter(WORD.findall((text or "").lower()))
 
 
@@ -67,9 +72,8 @@ def select_words(sample: DataFrame, max_words: int = MAX_WORDS, min_docs: int =
     n0, n1 = n.get(0, 0), n.get(1, 0)
     if not n0 or not n1:
         return {}
-    word = F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(f"({WORD_SQL})"))))
     counts = (
-        sample.select("label", word.alias("word"))
+        sample.mapInArrow(_distinct_words, "label int, word string")
         .groupBy("word")
         .agg(F.sum("label").alias("d1"), F.count("*").alias("d"))
         .where(F.col("d") >= min_docs)
@@ -82,6 +86,15 @@ def select_words(sample: DataFrame, max_words: int = MAX_WORDS, min_docs: int =
     return {r["word"]: (r["odds"], r["z"]) for r in best}
 
 
+def _distinct_words(batches):
+    for batch in batches:
+        for label, text in zip(batch.column("label").to_pylist(), batch.column("text"), strict=True):
+            words = list(text_words(text.as_py()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([label] * len(words), pa.int32()), pa.array(words, pa.string())], names=["label", "word"]
+            )
+
+
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, epochs: int = 300, seed: int = 5) -> Severity:
     """Fit on at most ``max_rows`` labelled texts; only their known words reach the driver.
 
@@ -144,30 +157,43 @@ def _descend(grade, row, at, x, words: int, epochs: int, penalty: float = 2e-4,
     return theta[:words], theta[words] + np.append(0.0, np.cumsum(np.exp(theta[words + 1 :])))
 
 
-def score(docs: DataFrame, model: Severity) -> DataFrame:
-    """Documents with severity (0 to 3), the likeliest grade and P(grade >= 1, 2, 3).
-
-    Whole texts are read. Null and empty texts hold no words and score as such. All columns
-    are kept but those whose names the scores take.
-    """
-    names = [s.split()[0] for s in _SCORES.split(", ")]
-    kept = docs.drop(*names)
+def _scores(docs: DataFrame, model: Severity) -> Column:
+    """A struct of scores of the column ``text``, which alone is sent to Python."""
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # at most MAX_WORDS words
 
-    def run(batches):
-        for batch in batches:
-            above = np.array([shared.value.above(t) for t in batch.column("text").to_pylist()]).reshape(-1, GRADES)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            above = np.zeros((len(texts), GRADES))
+            for low in range(0, len(texts), SLICE_ROWS):
+                for row, text in enumerate(texts.slice(low, SLICE_ROWS)):
+                    above[low + row] = shared.value.above(text.as_py())
             mass = np.hstack([np.ones((len(above), 1)), above]) - np.hstack([above, np.zeros((len(above), 1))])
             values = [above.sum(axis=1), mass.argmax(axis=1).astype(np.int32), *above.T]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, *(pa.array(np.ascontiguousarray(v)) for v in values)], names=[*batch.schema.names, *names]
+            yield pa.StructArray.from_arrays(
+                [pa.array(np.ascontiguousarray(v)) for v in values], names=["severity", "grade", "p1", "p2", "p3"]
             )
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
-    return kept.mapInArrow(run, f"{schema}, {_SCORES}")
+    return F.arrow_udf(run, _SCORES)(F.col("text").cast("string"))
+
+
+def score(docs: DataFrame, model: Severity) -> DataFrame:
+    """Documents with severity (0 to 3), the likeliest grade and P(grade >= 1, 2, 3).
+
+    Whole texts are read. Null and empty texts hold no words and score as such. All columns
+    are kept but those whose names the scores take: severity, grade, p1, p2 and p3.
+    """
+    kept = docs.drop("severity", "grade", "p1", "p2", "p3")
+    found = unused(kept, "scores")
+    return kept.withColumn(found, _scores(kept, model)).select(*map(quoted, kept.columns), f"`{found}`.*")
 
 
 def reject(docs: DataFrame, labels: DataFrame, above: float = REJECT, **options) -> DataFrame:
-    """Documents whose expected severity stays below ``above``; their columns are unchanged."""
-    scored = score(docs, fit(docs, labels, **options))
-    return scored.where(F.col("severity") < above).select(*docs.columns)
+    """Documents whose expected severity stays below ``above``.
+
+    Their columns are unchanged, those named like scores too; null and empty texts, null ids
+    and repeated rows are judged by their words like others; an empty table gives no rows.
+    """
+    found = unused(docs, "scores")
+    scored = docs.withColumn(found, _scores(docs, fit(docs, labels, **options)))
+    return scored.where(F.col(quoted(found))["severity"] < above).select(*map(quoted, docs.columns))
