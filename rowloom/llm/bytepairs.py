@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import base64
 from array import array
-from collections.abc import Iterable
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
@@ -24,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowloom.llm.batches import map_batches, steps
+from rowloom.llm.batches import Recent, map_batches, steps, strings
 
 # Bytes that are merged at once at the bottom of the tree.
 LEAF_BYTES = 16
@@ -32,7 +31,7 @@ LEAF_BYTES = 16
 LEAF_TOKENS = 2048
 # Merges of longer byte strings use a heap.
 SCAN_BYTES = 32
-# Words, matches and pairs kept by a worker, of each kind and in each of two generations.
+# Matches kept by a worker in each of two generations.
 CACHED = 150_000
 # Characters encoded in one step.
 STEP_CHARS = 2_000_000
@@ -46,26 +45,6 @@ _LETTERS_AND_MARKS = r"^(?P<letters> ?\p{L}+)(?P<marks>[!-/:-@\[-`{-~]*)$"
 _NEVER = 1 << 60
 
 
-class Recent:
-    """Values by key in two generations: the least recent go when both are full."""
-
-    def __init__(self, size: int = CACHED):
-        self.values: dict = {}
-        self._older: dict = {}
-        self._size = size
-
-    def missing(self, keys: Iterable) -> list:
-        """The distinct keys without a value; the values of the others are at hand until the next call."""
-        if len(self.values) > self._size:
-            self.values, self._older = {}, self.values
-        lacking = set(keys).difference(self.values)
-        if self._older:
-            again = lacking.intersection(self._older)
-            self.values.update((key, self._older[key]) for key in again)
-            lacking -= again
-        return list(lacking)
-
-
 class BytePairs:
     """Encodes byte strings by merge ranks, which are the token ids; decodes ids."""
 
@@ -276,7 +255,7 @@ class TextCoder:
 
     def __init__(self, pairs: BytePairs, pattern: str):
         self._pairs, self._matches = pairs, regex.compile(pattern).findall
-        self._known = Recent()
+        self._known = Recent(CACHED)
         found = [self._matches(sample) for sample in ("a\nb", "a\n\nb", "a b", "a, b")]
         self._regular = found == [["a", "\n", "b"], ["a", "\n", "\n", "b"], ["a", " b"], ["a", ",", " b"]]
         self._simple = self._regular and self._matches(" ab,;'") == [" ab", ",;'"]
@@ -289,7 +268,7 @@ class TextCoder:
         lined = pc.replace_substring(pc.replace_substring(spaced, "\n", f"{mark}\n{mark}"), mark * 2, mark)
         rows = np.arange(len(texts)) if not self._regular else np.flatnonzero(odd.to_numpy(zero_copy_only=False))
         if len(rows):
-            joined = [mark.join(self._matches(text)) for text in texts.take(pa.array(rows)).to_pylist()]
+            joined = [mark.join(self._matches(text)) for text in strings(texts.take(pa.array(rows)))]
             where = np.zeros(len(texts), bool)
             where[rows] = True
             lined = pc.replace_with_mask(lined, pa.array(where), pa.array(joined, lined.type))
@@ -312,8 +291,8 @@ class TextCoder:
         for side in range(2):
             coded = taken.field(side).dictionary_encode()
             pair[at, side] = coded.indices.to_numpy(zero_copy_only=False) + len(pieces)
-            pieces += coded.dictionary.to_pylist()
-        split = [self._matches(word) for word in words.take(pa.array(other)).to_pylist()]
+            pieces += strings(coded.dictionary)
+        split = [self._matches(word) for word in strings(words.take(pa.array(other)))]
         ids = self._lookup(pieces + [piece for part in split for piece in part])
         done, base = ids[: len(pieces)], len(pieces)
         for row, part in zip(other.tolist(), split, strict=True):
@@ -372,8 +351,11 @@ def decode(encoded: DataFrame, ranks: str) -> DataFrame:
     def run(batches):
         coder = byte_pairs(ranks)
         for batch in batches:
-            texts = [coder.decode(ids.values.to_pylist() if ids.is_valid else []) for ids in batch.column("ids")]
-            arrays = [batch.column("doc_id"), batch.column("ids"), pa.array(texts, pa.binary())]
+            lists = batch.column("ids")
+            ends = np.append(0, np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy()))
+            flat = lists.flatten().to_numpy().tolist()
+            texts = [coder.decode(flat[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+            arrays = [batch.column("doc_id"), lists, pa.array(texts, pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "ids", "decoded"])
 
     return map_batches(encoded.select("doc_id", "ids"), run, "doc_id long, ids array<int>, decoded binary")
