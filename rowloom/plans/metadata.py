@@ -74,7 +74,7 @@ def spec_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _ddl_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two CREATE TABLE statements for each part, with comments, quoted names, nested defaults and index clauses."""
+    """Two CREATE TABLE statements for each part, with comments, quoted names and texts, nested defaults and index clauses."""
     key, size = F.col("p_partkey").cast("string"), F.col("p_size")
     text = F.concat(
         F.lit("-- create table old (a int)\nCREATE TABLE item_"), key, F.lit("\n(\n code_"), key,
@@ -87,7 +87,10 @@ def _ddl_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(size % 2 == 0, "unique").otherwise(""),
         F.lit(",\n)\nDISTSTYLE KEY\nDISTKEY(code_"), key, F.lit(")\nSORTKEY(stocked);\n"),
         F.lit('create table if not exists "store"."kept in" ("part, no '), key, F.lit('" bigint, note varchar ('), size,
-        F.lit(') comment \'not null\', key idx (note), primary key ("part, no '), key, F.lit('"));'),
+        F.lit(") comment 'not null', deep int default "), F.repeat(F.lit("("), size + 1), F.lit("1, 2"),
+        F.repeat(F.lit(")"), size + 1), F.lit(" unique, owner char("), size,
+        F.lit(r") default E'it\'s, (' not null, code text default $in$ '), not null, ( $in$ comment 'a\\', raw boolean default $$)$$, "),
+        F.lit('key idx (note), primary key ("part, no '), key, F.lit('"));'),
     )
     parts = spread_table(spark, sf_dir, "part", "p_partkey", "p_size", "p_type")
     return parts.select(F.col("p_partkey").alias("ddl_id"), text.alias("ddl_text"))
@@ -158,6 +161,14 @@ _DDL_COLUMNS = """
            true, true, false, 'randomize' FROM part
     UNION ALL SELECT p_partkey, 2, 2, 'note', 'VARCHAR', p_size, p_size,
            false, false, false, 'randomize' FROM part
+    UNION ALL SELECT p_partkey, 2, 3, 'deep', 'INT', NULL, NULL,
+           false, false, true, 'randomize' FROM part
+    UNION ALL SELECT p_partkey, 2, 4, 'owner', 'CHAR', p_size, p_size,
+           true, false, false, 'randomize' FROM part
+    UNION ALL SELECT p_partkey, 2, 5, 'code', 'TEXT', NULL, NULL,
+           false, false, false, 'randomize' FROM part
+    UNION ALL SELECT p_partkey, 2, 6, 'raw', 'BOOLEAN', NULL, NULL,
+           false, false, false, 'randomize' FROM part
 """
 ORACLES = {
     "rule_dispatch_a": f"""

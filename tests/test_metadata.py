@@ -116,12 +116,36 @@ def test_quoted_names(spark):
 
 
 def test_an_unread_column_list_fails(spark):
-    deep = "(" * (ddl.DEPTH + 1) + "1" + ")" * (ddl.DEPTH + 1)
-    for text in ("create table t (a int", f"create table t (a int default {deep})"):
+    for text in ("create table t (a int", "create table t (a int default (1)", "create table t (a int, create table u (b int)"):
         with pytest.raises(Exception, match="column list without an end"):
             extract(spark, text).count()
 
 
+@pytest.mark.parametrize("depth", [1, 8, 9, 50, 400])
+def test_parentheses_nest_to_any_depth(spark, depth):
+    deep = "f(1, " * depth + "x" + ", y)" * depth
+    text = f"create table t (a int default {deep} not null, b varchar(7) check ({deep}), primary key (a, b(3))); {deep}"
+    rows = {r.name: r for r in extract(spark, f"{text} create table u (c numeric(9, 2))").collect()}
+    assert list(rows) == ["a", "b", "c"] and rows["c"].statement == 2 and rows["c"].length == 9
+    assert rows["a"].not_null and rows["a"].primary_key and rows["a"].length is None
+    assert rows["b"].length == 7 and rows["b"].primary_key and not rows["b"].unique
+
+
+def test_backslashes_and_dollar_quotes(spark):
+    text = r"""create table t (a int default 'it\'s, (' not null, b text default E'\\', c text default $q$ '), $$ ( $q$ unique,
+        d text default $$not null, ($$, e$1 int, f text default 'two''s, (')"""
+    rows = {r.name: r for r in extract(spark, text).collect()}
+    assert list(rows) == ["a", "b", "c", "d", "e$1", "f"]
+    assert [n for n, r in rows.items() if r.not_null] == ["a"] and [n for n, r in rows.items() if r.unique] == ["c"]
+    corpus = spark.createDataFrame([(1, r"create table t (a text default 'c:\', b text default e'\', (', c int)")], "ddl_id int, ddl_text string")
+    assert [r.name for r in ddl.extract_specs(corpus, backslash=False).collect()] == ["a", "b", "c"]
+
+
+def test_control_characters_play_no_part(spark):
+    marks = "\u0001\u0002\u0003\u0004\u0005"
+    assert found(spark, f"create table t (a{marks} int, b varchar(3{marks}))") == [(1, 1, "a", "INT"), (1, 2, "b", "VARCHAR")]
+
+
 def test_wide_table(spark):
     text = "create table w (" + ", ".join(f"c{n} varchar({n + 1})" for n in range(2000)) + ")"
     found = extract(spark, text)
