@@ -64,6 +64,14 @@ def tsv_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tsv_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole documents, line breaks and all, appended to text twice and read back."""
     documents, path = table(spark, sf_dir, "documents"), scratch_path(spark, "tsv-documents")
+    files.write_tsv(documents, path, escaped=True)
+    files.write_tsv(documents, path, escaped=True)
+    return files.read_tsv(spark, path, documents.schema, escaped=True)
+
+
+def tsv_quoted_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with line breaks left in quotes, for readers that know these."""
+    documents, path = table(spark, sf_dir, "documents"), scratch_path(spark, "tsv-quoted")
     files.write_tsv(documents, path, multi_line=True)
     files.write_tsv(documents, path, multi_line=True)
     return files.read_tsv(spark, path, documents.schema, multi_line=True)
@@ -100,6 +108,7 @@ QUERIES = {
     "partitioned_append": partitioned_append,
     "tsv_append": tsv_append,
     "tsv_documents": tsv_documents,
+    "tsv_quoted_documents": tsv_quoted_documents,
     "catalog_clone_load": catalog_clone_load,
     "preview": order_preview,
 }
@@ -120,6 +129,7 @@ ORACLES = {
     "partitioned_append": "SELECT * FROM orders UNION ALL SELECT * FROM orders",
     "tsv_append": "SELECT * FROM customer UNION ALL SELECT * FROM customer",
     "tsv_documents": "SELECT * FROM documents UNION ALL SELECT * FROM documents",
+    "tsv_quoted_documents": "SELECT * FROM documents UNION ALL SELECT * FROM documents",
     "catalog_clone_load": "SELECT * FROM customer UNION ALL SELECT * FROM customer",
     "preview": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 20",
 }

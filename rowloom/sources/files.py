@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StructField, StructType
 
 # The accepted write modes.
 WRITE_MODES = ("append", "overwrite")
@@ -69,20 +70,67 @@ def _tsv_options(multi_line: bool) -> dict[str, object]:
     return options
 
 
-def write_tsv(df: DataFrame, path: str, multi_line: bool = False) -> None:
+# What stands for a null field and for the characters that would end a field or a line.
+NULL_FIELD = "\\N"
+ESCAPES = {"\t": "\\t", "\n": "\\n", "\r": "\\r"}
+
+
+def _escaped(field: StructField) -> Column:
+    """A value as text without tabs and line breaks: a backslash and a letter stand for them."""
+    if isinstance(field.dataType, (ArrayType, MapType, StructType, BinaryType)):
+        raise ValueError(f"column {field.name!r} of type {field.dataType.simpleString()} has no text form")
+    text = F.replace(F.col(f"`{field.name}`").cast("string"), F.lit("\\"), F.lit("\\\\"))
+    for plain, code in ESCAPES.items():
+        text = F.replace(text, F.lit(plain), F.lit(code))
+    return F.coalesce(text, F.lit(NULL_FIELD))
+
+
+def _unescaped(text: Column) -> Column:
+    """The text that a field stands for; double backslashes part it first, so no code is read across them."""
+
+    def decode(part: Column) -> Column:
+        for plain, code in ESCAPES.items():
+            part = F.replace(part, F.lit(code), F.lit(plain))
+        return part
+
+    whole = F.array_join(F.transform(F.split(text, r"\\\\"), decode), "\\")
+    return F.when(text != NULL_FIELD, F.when(text.contains("\\"), whole).otherwise(text))
+
+
+def write_tsv(df: DataFrame, path: str, multi_line: bool = False, escaped: bool = False) -> None:
     """Append tab-separated text without a header.
 
-    ``multi_line`` writes texts so that ``read_tsv`` with it gives them back as they were:
-    with their outer white space, line breaks, quotes and backslashes, empty apart from null.
+    Two forms keep every text as it was, with its outer white space, line breaks, quotes and
+    backslashes, and empty apart from null; ``read_tsv`` needs the same choice. ``escaped``
+    writes tabs and line breaks as a backslash and a letter, so that a line is a row and many
+    tasks can read one file. ``multi_line`` leaves them in quotes, for readers that know these.
     """
-    df.write.mode("append").options(**_tsv_options(multi_line)).csv(path)
+    if not escaped:
+        df.write.mode("append").options(**_tsv_options(multi_line)).csv(path)
+        return
+    line = F.concat_ws("\t", *(_escaped(field) for field in df.schema.fields))
+    df.select(line.alias("value")).write.mode("append").option("lineSep", "\n").text(path)
 
 
-def read_tsv(spark: SparkSession, path: str, schema: StructType | str, multi_line: bool = False) -> DataFrame:
+def read_tsv(
+    spark: SparkSession, path: str, schema: StructType | str, multi_line: bool = False, escaped: bool = False
+) -> DataFrame:
     """Read tab-separated text without a header.
 
     With ``multi_line`` a quoted text may hold line breaks; a file is then read by one task.
+    With ``escaped`` files are split among tasks; a line with fewer fields than columns ends in
+    nulls, and a field that its column's type can't hold fails the job in ANSI mode.
     """
+    if escaped:
+        if isinstance(schema, str):
+            schema = StructType.fromDDL(schema)
+        lines = spark.read.option("lineSep", "\n").text(path).select(F.split("value", "\t").alias("fields"))
+        return lines.select(
+            *(
+                _unescaped(F.get("fields", F.lit(at))).cast(field.dataType).alias(field.name)
+                for at, field in enumerate(schema.fields)
+            )
+        )
     # A field without quotes is read as the null value, and what equals it is null: so no text may.
     options = _tsv_options(multi_line) | ({"emptyValue": "", "nullValue": "\0"} if multi_line else {})
     return spark.read.schema(schema).options(multiLine=multi_line, **options).csv(path)

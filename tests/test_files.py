@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
@@ -178,3 +179,47 @@ def test_tab_separated_texts_come_back_as_written(spark, tmp_path):
     files.write_tsv(df, str(tmp_path / "out"), multi_line=True)
     back = files.read_tsv(spark, str(tmp_path / "out"), df.schema, multi_line=True)
     assert dict(back.collect()) == dict(enumerate(texts))
+
+
+TEXTS = ["a\nb", " lead", "trail ", 'say "x"', "back\\slash", "\\n", "\\\\n", "\\\n", "\\", "\\N", "\\\\N", "tab\there", "", None, "cr\r\nlf", "\n", "\x85\u2028"]
+
+
+def test_escaped_text_comes_back_as_written(spark, tmp_path):
+    rows = [(n, t, None if n % 3 else n / 7, n % 2 == 0, datetime(2024, 1, 1, 1, 2, 3, n), t) for n, t in enumerate(TEXTS)]
+    df = spark.createDataFrame(rows, "n int, text string, `a.b` double, flag boolean, at timestamp, last string")
+    path = str(tmp_path / "out")
+    files.write_tsv(df, path, escaped=True)
+    files.write_tsv(df, path, escaped=True)
+    for schema in (df.schema, "n int, text string, `a.b` double, flag boolean, at timestamp, last string"):
+        back = files.read_tsv(spark, path, schema, escaped=True)
+        assert back.dtypes == df.dtypes
+        assert sorted(map(repr, back.collect())) == sorted(map(repr, [*df.collect(), *df.collect()]))
+    one = spark.createDataFrame([("",), (None,), ("\n",)], "text string")
+    files.write_tsv(one, str(tmp_path / "one"), escaped=True)
+    assert sorted(files.read_tsv(spark, str(tmp_path / "one"), "text string", escaped=True).collect(), key=repr) == sorted(one.collect(), key=repr)
+    files.write_tsv(one.limit(0), str(tmp_path / "none"), escaped=True)
+    assert files.read_tsv(spark, str(tmp_path / "none"), "text string", escaped=True).count() == 0
+
+
+def test_many_tasks_read_one_escaped_file(spark, tmp_path):
+    df = spark.range(5000).selectExpr("id", "concat('line', id, '\\n', repeat('x', 100), '\\nend') AS text").coalesce(1)
+    files.write_tsv(df, str(tmp_path / "out"), escaped=True)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        back = files.read_tsv(spark, str(tmp_path / "out"), df.schema, escaped=True)
+        assert len(list((tmp_path / "out").glob("part-*"))) == 1 and back.rdd.getNumPartitions() >= 8
+        assert sorted(back.collect()) == sorted(df.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_values_without_a_text_form_are_refused(spark, tmp_path):
+    for kind in ("array<int>", "binary", "struct<a: int>"):
+        with pytest.raises(ValueError, match="text form"):
+            files.write_tsv(spark.createDataFrame([], f"v {kind}"), str(tmp_path / "out"), escaped=True)
+
+
+def test_lines_that_are_short_end_in_nulls(spark, tmp_path):
+    (tmp_path / "t").write_text("1\ta\n2\n")
+    assert files.read_tsv(spark, str(tmp_path / "t"), "n int, text string", escaped=True).collect() == [(1, "a"), (2, None)]
