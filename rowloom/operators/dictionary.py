@@ -6,6 +6,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from rowloom.functions.draws import below, below_numbered, label_numbers
 from rowloom.functions.values import HASH_ID_LENGTH, constant_array
@@ -33,6 +34,21 @@ def words_of(texts: DataFrame, column: str, min_letters: int = 1) -> DataFrame:
     return words.where(F.length("word") >= min_letters).distinct()
 
 
+def _in_bucket() -> WindowSpec:
+    return Window.partitionBy("bucket").orderBy("digest")
+
+
+def _digests(words: DataFrame) -> DataFrame:
+    digests = words.select("word", F.sha2("word", 256).alias("digest"))
+    return digests.withColumn("bucket", F.substring("digest", 1, BUCKET_DIGITS))
+
+
+def _offsets(sizes: DataFrame) -> DataFrame:
+    """The number of words in the buckets before each one."""
+    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    return sizes.select("bucket", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
+
+
 def index_words(words: DataFrame) -> DataFrame:
     """Number the distinct words 0..n-1 in the order of their SHA-256, with their hash ids.
 
@@ -43,17 +59,9 @@ def index_words(words: DataFrame) -> DataFrame:
     a null check on the digest below the distinct, where it would hash every token and
     keep the two uses of the distinct from sharing one shuffle.
     """
-    digests = (
-        words.select("word").where("word IS NOT NULL").distinct()
-        .select("word", F.sha2("word", 256).alias("digest"))
-        .withColumn("bucket", F.substring("digest", 1, BUCKET_DIGITS))
-    )
-    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        digests.groupBy("bucket").agg(F.count("*").alias("size"))
-        .select("bucket", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
-    )
-    place = F.row_number().over(Window.partitionBy("bucket").orderBy("digest"))
+    digests = _digests(words.select("word").where("word IS NOT NULL").distinct())
+    offsets = _offsets(digests.groupBy("bucket").agg(F.count("*").alias("size")))
+    place = F.row_number().over(_in_bucket())
     return digests.join(F.broadcast(offsets), "bucket", "left").select(
         (F.col("offset") + place - 1).alias("idx"),
         "word",
@@ -61,6 +69,19 @@ def index_words(words: DataFrame) -> DataFrame:
     )
 
 
+_PLACED = "bucket string, place int, word string, digest string"
+_SIZES = "bucket string, size long, letters long"
+
+
+def _store(placed: DataFrame, path: str) -> None:
+    """Write words with their places, then the sizes of their buckets; a folder without sizes can't be opened."""
+    spark = placed.sparkSession
+    placed.select("bucket", F.col("place").cast("int").alias("place"), "word", "digest").write.parquet(f"{path}/words")
+    words = spark.read.schema(_PLACED).parquet(f"{path}/words")
+    sizes = words.groupBy("bucket").agg(F.count("*").alias("size"), F.sum(F.octet_length("word")).alias("letters"))
+    sizes.coalesce(1).write.parquet(f"{path}/buckets")
+
+
 class Pick(NamedTuple):
     """A random dictionary entry for each row: the draw it uses and the field it takes."""
 
@@ -95,6 +116,52 @@ class Dictionary(NamedTuple):
             raise ValueError("the dictionary has no words")
         return cls(entries, size, letters + size * (ROW_OVERHEAD_BYTES + HASH_ID_LENGTH))
 
+    def save(self, path: str) -> None:
+        """Write the dictionary to a new folder, to be opened by later jobs.
+
+        A word's stored place is the one in its bucket of the order, so it stays when words
+        come into other buckets; beside the words lies the size of each bucket.
+        """
+        placed = _digests(self.entries.select("word")).select(
+            "bucket", (F.row_number().over(_in_bucket()) - 1).alias("place"), "word", "digest"
+        )
+        _store(placed, path)
+
+    @classmethod
+    def open(cls, spark: SparkSession, path: str) -> Dictionary:
+        """A saved dictionary. Only its bucket sizes are read, at most 16 ** BUCKET_DIGITS rows."""
+        sizes = spark.read.schema(_SIZES).parquet(f"{path}/buckets")
+        size, letters = sizes.agg(
+            F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.sum("letters"), F.lit(0))
+        ).first()
+        if size == 0:
+            raise ValueError("the dictionary has no words")
+        words = spark.read.schema(_PLACED).parquet(f"{path}/words")
+        entries = words.join(F.broadcast(_offsets(sizes)), "bucket").select(
+            (F.col("offset") + F.col("place")).cast("long").alias("idx"),
+            "word",
+            F.right("digest", F.lit(HASH_ID_LENGTH)).alias("hash_id"),
+        )
+        return cls(entries, size, letters + size * (ROW_OVERHEAD_BYTES + HASH_ID_LENGTH))
+
+    @staticmethod
+    def extend(spark: SparkSession, path: str, words: DataFrame, into: str) -> Dictionary:
+        """Open what a saved dictionary and further words are together, saved to another folder.
+
+        Words that the dictionary holds change nothing. Only buckets that get new words are
+        numbered again. The new folder is complete before it is opened, and the old one stays.
+        """
+        held = spark.read.schema(_PLACED).parquet(f"{path}/words")
+        distinct = _digests(words.select("word").where("word IS NOT NULL").distinct())
+        fresh_path = scratch_path(spark, "dictionary-new")
+        distinct.join(held.select("bucket", "word"), ["bucket", "word"], "left_anti").write.parquet(fresh_path)
+        fresh = spark.read.parquet(fresh_path).select("bucket", "word", "digest")
+        touched = F.broadcast(fresh.select("bucket").distinct())  # at most 16 ** BUCKET_DIGITS rows
+        again = held.join(touched, "bucket", "left_semi").select("bucket", "word", "digest").unionByName(fresh)
+        numbered = again.select("bucket", (F.row_number().over(_in_bucket()) - 1).alias("place"), "word", "digest")
+        _store(held.join(touched, "bucket", "left_anti").unionByName(numbered), into)
+        return Dictionary.open(spark, into)
+
     def attach(
         self,
         rows: DataFrame,

@@ -12,7 +12,7 @@ from rowloom.functions import values
 from rowloom.functions.draws import with_draws
 from rowloom.functions.people import COMMON_PEOPLE
 from rowloom.operators.bind import bind_positional, named_schema, positional_schema
-from rowloom.operators.dictionary import Pick, index_words, read_words
+from rowloom.operators.dictionary import Dictionary, Pick, index_words, read_words, words_of
 from rowloom.operators.generate import generate
 from rowloom.operators.rules import PROFILE_A, PROFILE_B, Profile
 from rowloom.operators.spines import batch_spine, chunk_spine, group_size, key_spine
@@ -73,6 +73,26 @@ def dictionary_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index_words(read_words(spark, path))
 
 
+def _grown_dictionary(spark: SparkSession, sf_dir: str) -> Dictionary:
+    """The words of the English documents, saved, and opened with those of the others merged in."""
+    documents = spread_table(spark, sf_dir, "documents", "text", "lang")
+    first, second = scratch_path(spark, "dictionary-first"), scratch_path(spark, "dictionary-second")
+    english = F.coalesce(F.col("lang") == "en", F.lit(False))
+    Dictionary.build(words_of(documents.where(english), "text")).save(first)
+    return Dictionary.extend(spark, first, words_of(documents.where(~english), "text"), second)
+
+
+def dictionary_grown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _grown_dictionary(spark, sf_dir).entries
+
+
+def gen_word_grown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One word of the extended dictionary for each order."""
+    rows = with_draws(_order_spine(spark, sf_dir), seed=SEED)
+    found = _grown_dictionary(spark, sf_dir).attach(rows, [Pick("value", "value", 0, "word")])
+    return found.select("row_id", "value")
+
+
 def gen_profile_a(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = generate(
         _order_spine(spark, sf_dir), EVENT_SPECS, PROFILE_A, document_dictionary(spark, sf_dir), SEED, AS_OF
@@ -197,6 +217,8 @@ QUERIES = {
     "gen_sentence_shuffled": _pick_query("word", values.SENTENCE_WORDS, broadcast_bytes=0),
     "hash_id_documents": hash_id_documents,
     "dictionary_scan": dictionary_scan,
+    "dictionary_grown": dictionary_grown,
+    "gen_word_grown": gen_word_grown,
     "gen_chunks": gen_chunks,
     "gen_batch": gen_batch,
     "gen_profile_a": gen_profile_a,
@@ -292,6 +314,10 @@ def _plain_sql(columns: dict[str, str], carry: str, rows: str) -> str:
     return f"SELECT row_id, {carry}, {listed} FROM ({rows})"
 
 
+_DICTIONARY = f"""
+    SELECT idx - 1 AS idx, words[idx] AS word, hash_ids[idx] AS hash_id
+    FROM (SELECT unnest(range(1, n + 1)) AS idx, words, hash_ids FROM ({duck.WORDS}))
+"""
 ORACLES = {
     "gen_int": _value_sql(f"CAST(1 + {duck.below(100, 'value')} AS INTEGER)"),
     "gen_int_wide": _value_sql(f"100 + {duck.below(901, 'value')}"),
@@ -309,10 +335,9 @@ ORACLES = {
     "gen_word_shuffled": _pick_sql(duck.entry("value")),
     "gen_sentence_shuffled": _pick_sql(duck.sentence("value")),
     "hash_id_documents": "SELECT doc_id, right(sha256(text), 14) AS hash_id FROM documents",
-    "dictionary_scan": f"""
-        SELECT idx - 1 AS idx, words[idx] AS word, hash_ids[idx] AS hash_id
-        FROM (SELECT unnest(range(1, n + 1)) AS idx, words, hash_ids FROM ({duck.WORDS}))
-    """,
+    "dictionary_scan": _DICTIONARY,
+    "dictionary_grown": _DICTIONARY,
+    "gen_word_grown": _pick_sql(duck.entry("value")),
     "gen_chunks": _plain_sql(_PROFILE_A, "chunk", _CHUNK_ROWS),
     "gen_batch": _plain_sql(_PROFILE_B, "batch", _BATCH_ROWS),
     "gen_profile_a": _table_sql(_POSITIONAL_A, _ORDERS),

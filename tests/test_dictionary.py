@@ -83,3 +83,47 @@ def test_null_and_repeated_keys_on_both_paths(spark, dictionary, columns):
 def test_null_words_have_no_number(spark):
     words = spark.createDataFrame([("a",), (None,), ("b",)], "word string")
     assert sorted(row.idx for row in index_words(words).collect()) == [0, 1]
+
+
+def _words(spark, *words):
+    return spark.createDataFrame([(w,) for w in words], "word string")
+
+
+def test_a_saved_dictionary_is_opened_and_extended(spark, tmp_path):
+    first = [f"w{n}" for n in range(3000)]
+    more = [*first[:50], *(f"new{n}" for n in range(700)), None, "new1"]
+    built = Dictionary.build(_words(spark, *first))
+    built.save(f"{tmp_path}/one")
+    opened = Dictionary.open(spark, f"{tmp_path}/one")
+    assert (opened.size, opened.in_memory_bytes) == (built.size, built.in_memory_bytes)
+    assert sorted(opened.entries.collect()) == sorted(built.entries.collect())
+    grown = Dictionary.extend(spark, f"{tmp_path}/one", _words(spark, *more), f"{tmp_path}/two")
+    whole = Dictionary.build(_words(spark, *first, *more))
+    assert (grown.size, grown.in_memory_bytes) == (whole.size, whole.in_memory_bytes) == (3700, whole.in_memory_bytes)
+    assert sorted(grown.entries.collect()) == sorted(whole.entries.collect())
+    rows = with_draws(spark.range(500).withColumnRenamed("id", "row_id"))
+    want = sorted(whole.attach(rows, PICKS).collect())
+    assert sorted(grown.attach(rows, PICKS).collect()) == sorted(grown.attach(rows, PICKS, broadcast_bytes=0).collect()) == want
+    # The first dictionary stays, and words that are there already change nothing.
+    assert sorted(Dictionary.open(spark, f"{tmp_path}/one").entries.collect()) == sorted(built.entries.collect())
+    same = Dictionary.extend(spark, f"{tmp_path}/two", _words(spark, "w1", None), f"{tmp_path}/three")
+    assert sorted(same.entries.collect()) == sorted(whole.entries.collect())
+
+
+def test_opening_scans_no_words(spark, tmp_path):
+    Dictionary.build(_words(spark, *(f"w{n}" for n in range(100)))).save(f"{tmp_path}/d")
+    for part in (tmp_path / "d" / "words").glob("*"):
+        part.unlink()
+    for part in (tmp_path / "d" / "words").glob(".*"):
+        part.unlink()
+    assert Dictionary.open(spark, f"{tmp_path}/d").size == 100
+
+
+def test_few_new_words_leave_other_buckets_alone(spark, tmp_path):
+    Dictionary.build(_words(spark, *(f"w{n}" for n in range(2000)))).save(f"{tmp_path}/one")
+    Dictionary.extend(spark, f"{tmp_path}/one", _words(spark, "added"), f"{tmp_path}/two")
+    stored = [{r.word: (r.bucket, r.place) for r in spark.read.parquet(f"{tmp_path}/{n}/words").collect()} for n in ("one", "two")]
+    bucket = stored[1]["added"][0]
+    assert all(stored[1][w] == at for w, at in stored[0].items() if at[0] != bucket)
+    with pytest.raises(Exception):
+        Dictionary.extend(spark, f"{tmp_path}/one", _words(spark, "again"), f"{tmp_path}/two")
