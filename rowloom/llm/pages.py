@@ -31,6 +31,8 @@ from pyspark.sql import functions as F
 from rowloom.llm.common import staged
 
 DEPTH = 8
+# Up to so many blocks that pages lose, their numbers are sent to every task; beyond, all pages are shuffled.
+GONE_BLOCKS = 500_000
 # From how many distinct pages of a host, and from which share of them, a block of an article is boilerplate.
 BLOCK_PAGES = 10
 BLOCK_SHARE = 0.01
@@ -55,7 +57,7 @@ NAMES = (
     "socialicons sociallinks socialmedia socialbuttons related relatedarticles relatedcontent relatedlinks relatedposts "
     "relatedstories recommended recommendations trending sidebar sidebarleft sidebarright leftsidebar rightsidebar "
     "primarysidebar secondarysidebar sidebarwidget widgetarea comments comment commentlist commentform commentsarea "
-    "commentssection commentsection respond replies disqus disqusthread breadcrumb breadcrumbs menu mainmenu mobilemenu "
+    "commentssection commentsection usercomments postcomments readercomments articlecomments respond replies disqus disqusthread breadcrumb breadcrumbs menu mainmenu mobilemenu "
     "topmenu sidemenu dropdownmenu nav navbar navmenu navlinks topnav mainnav sitenav sidenav primarynav navigation "
     "mainnavigation sitenavigation postnavigation navigations footer sitefooter pagefooter mainfooter footernav "
     "footerlinks masthead siteheader topbar toolbar pagination pager search searchbar searchbox searchform skip skiplink "
@@ -141,7 +143,7 @@ def blocks(html: str | None) -> list[tuple[int, str]]:
     at, end = 0, len(html)
 
     def close() -> None:
-        text = " ".join(unescape("".join(held)).split())
+        text = " ".join("".join(held).split())
         if text:
             out.append((part, text))
         held.clear()
@@ -152,7 +154,7 @@ def blocks(html: str | None) -> list[tuple[int, str]]:
         tag = token["tag"]
         if tag is None:
             if token[0][0] != "<" or token[0] == "<":
-                held.append(token[0])
+                held.append(unescape(token[0]))
             continue
         tag = tag.lower()
         if tag == "br":
@@ -420,15 +422,15 @@ def main_texts(pages: DataFrame) -> DataFrame:
         .groupBy("row")
         .agg(F.collect_set("at").alias("gone"))  # at most one entry per block of the page
     )
+    gone = staged(gone, "page-gone")
+    # Pages stay where they are while the numbers of lost blocks are few.
+    lost = gone.agg(F.coalesce(F.sum(F.size("gone")), F.lit(0))).first()[0]
+    known = F.broadcast(gone) if lost <= GONE_BLOCKS else gone
+    whole = parsed.where("NOT (size(main) = 0 AND size(loose) > 0)").select("row", "page_id", "url", "main")
     kept = F.filter("main", lambda _, i: ~F.array_contains("gone", i))
-    marked = (
-        parsed.where("NOT (size(main) = 0 AND size(loose) > 0)")
-        .select("row", "page_id", "url", "main")
-        .join(gone, "row", "left")
-        .select(
-            "page_id",
-            "url",
-            F.array_join(F.when(F.col("gone").isNull(), F.col("main")).otherwise(kept), "\n").alias("text"),
-        )
+    marked = whole.join(known, "row", "left").select(
+        "page_id",
+        "url",
+        F.array_join(F.when(F.col("gone").isNull(), F.col("main")).otherwise(kept), "\n").alias("text"),
     )
     return marked.unionByName(judged).withColumn("n_chars", F.length("text").cast("long"))

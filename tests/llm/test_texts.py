@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pytest
 
 from rowloom.llm import quality, toxicity
 from rowloom.llm.components import components
@@ -78,6 +79,11 @@ def test_blocks_of_a_page():
     assert blocks(None) == [] and blocks("") == []
 
 
+def test_references_are_decoded_within_a_text_and_comments_go():
+    html = "<article><p>AT&<b>amp;</b> AT&amp;T &#65;</p><section class='user-comments'>r</section><div class='post-comments'>s</div></article>"
+    assert [text for zone, text in blocks(html) if zone == 0] == ["AT&amp; AT&T A"]
+
+
 def test_names_of_wrappers_and_parts_of_names_hide_no_text():
     def main(html):
         return [text for zone, text in blocks(html) if zone == 0]
@@ -112,7 +118,9 @@ def test_repeated_runs_go_where_no_article_is_marked(spark):
     assert unique_runs(["a b", "c"], [0], 2) == "c"
 
 
-def test_blocks_of_articles_that_many_pages_share_go(spark):
+@pytest.mark.parametrize("few", [500_000, 0])
+def test_blocks_of_articles_that_many_pages_share_go(spark, monkeypatch, few):
+    monkeypatch.setattr("rowloom.llm.pages.GONE_BLOCKS", few)
     notice = "All rights are with the makers of these pages, ask first"
     quoted = "to be or not to be that is the question"
     rows = []
