@@ -9,6 +9,7 @@ ids by word number.
 from __future__ import annotations
 
 import os
+import re
 from array import array
 from functools import lru_cache
 
@@ -20,11 +21,13 @@ from rowloom.llm.batches import Recent, strings
 
 # Stems and other words of one generation per Python worker: beyond, a new one starts and takes over
 # from the one before what is met again, so that memory stays bounded.
-CACHED_WORDS = 200_000
+CACHED_WORDS = 300_000
 # Characters split at a time, to bound the memory of one step. Longer single texts form a step.
-STEP_CHARS = 2_000_000
+STEP_CHARS = 4_000_000
 # A run of letters that needs no normalizing, and marks that never join one in the tokenizer's pattern.
 _STEM_AND_MARKS = r"^(?P<stem>[A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{24F}]+)(?P<marks>[.,!?;:]*)$"
+# Fixed value: the tokenizer's pattern for text in lower-case ASCII.
+_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t\n\x0b\x0c\ra-z0-9]+").findall
 
 
 def _byte_letters() -> dict[int, str]:
@@ -45,6 +48,7 @@ class WordTokenizer:
         self._model = self._tokenizer.model
         self._letters = _byte_letters()
         self._known = Recent(CACHED_WORDS)
+        self._parts: dict[str, bytes] = {}
 
     def _merge(self, stem: str) -> bytes:
         """Ids of a lower-case run of Latin letters, which needs no normalizing and no splitting."""
@@ -68,7 +72,7 @@ class WordTokenizer:
         self._known.values.update((stem, self._merge(stem)) for stem in fresh)
         pieces = list(map(self._known.values.__getitem__, low))
         fresh = self._known.missing(rest)
-        self._known.values.update(zip(fresh, self._plain(fresh), strict=True))
+        self._known.values.update(zip(fresh, self._learn(fresh), strict=True))
         pieces += map(self._known.values.__getitem__, rest)
         pieces.append(b"")
         pair = np.full((len(words), 2), len(pieces) - 1)
@@ -77,6 +81,19 @@ class WordTokenizer:
         pair[other, 0] = np.arange(len(rest) - len(other), len(rest)) + len(low)
         return pieces, pair
 
+    def _learn(self, words: list[str]) -> list[bytes]:
+        """Ids of words of other kinds: ASCII ones are cut by the tokenizer's pattern, and their parts looked up."""
+        cut = [_PARTS(word.lower()) if word.isascii() and "<|" not in word else None for word in words]
+        whole = [word for word, parts in zip(words, cut, strict=True) if parts is None]
+        if len(self._parts) > CACHED_WORDS // 4:
+            self._parts = {}
+        fresh = list({part for parts in cut if parts for part in parts}.difference(self._parts))
+        self._parts.update((part, self._merge(part)) for part in fresh if part.isalpha())
+        others = [part for part in fresh if not part.isalpha()]
+        self._parts.update(zip(others, self._plain(others), strict=True))
+        known, rest = self._parts.__getitem__, iter(self._plain(whole))
+        return [next(rest) if parts is None else b"".join(map(known, parts)) for parts in cut]
+
     def _plain(self, words: list[str]) -> list[bytes]:
         encoded = self._tokenizer.encode_batch_fast(words, add_special_tokens=False)
         return [array("I", one.ids).tobytes() for one in encoded]
@@ -104,14 +121,24 @@ class WordTokenizer:
             index = np.insert(index, counts[1:], len(pair))
             pair = np.append(pair, [[len(pieces) - 1, len(pieces) - 2]], axis=0)
             counts = counts + np.arange(len(counts))
-        table = np.frombuffer(b"".join(pieces), dtype="<u4")
-        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
-        starts = np.cumsum(lengths) - lengths
-        used = pair[index].ravel()
-        take = lengths[used]
-        before = np.append(0, np.cumsum(take))
-        ids = table[np.repeat(starts[used] - before[:-1], take) + np.arange(before[-1])]
-        return ids, before[2 * counts]
+        # Ids of distinct words in a row, then those of all words.
+        table, ends = _gathered(np.frombuffer(b"".join(pieces), dtype="<u4"), _spans(pieces), pair.ravel())
+        ends = ends[::2]
+        ids, before = _gathered(table, ends, index)
+        return ids, before[counts]
+
+
+def _spans(pieces: list[bytes]) -> np.ndarray:
+    """Where 32-bit numbers of each piece begin and end."""
+    return np.append(0, np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4))
+
+
+def _gathered(table: np.ndarray, ends: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches of a table that an index names, in a row, and where each begins and ends."""
+    starts = ends[:-1][index]
+    take = ends[1:][index] - starts
+    before = np.append(0, np.cumsum(take))
+    return table[np.repeat(starts - before[:-1], take) + np.arange(before[-1])], before
 
 
 @lru_cache(maxsize=2)
