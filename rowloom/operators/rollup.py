@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,3 +57,53 @@ def top_paths(files: DataFrame, count: int = 20) -> DataFrame:
     sort and limit become one top-k per task and a merge.
     """
     return largest_first(sum_by_path(distinct_sizes(files))).limit(count)
+
+
+class RollupState:
+    """Distinct (size, path) pairs in a folder, to which the files of new revisions are added.
+
+    Each batch of revisions adds the pairs that no other batch holds, and the sums of their
+    sizes per path. A batch is written whole or not at all, and one that is added again
+    replaces itself, so a job that was lost is simply run again. Batches are added one after
+    another; adding costs one join of the new pairs with the stored ones, not a scan of old
+    revisions, and totals need the sums alone.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    @classmethod
+    def create(cls, spark: SparkSession, path: str, files: DataFrame) -> RollupState:
+        """A new folder for files with the types of ``files``, none of whose rows are read."""
+        state = cls(spark, path)
+        none = files.select("size", "path").limit(0)
+        state._write(none, sum_by_path(none), 0)
+        return state
+
+    def _write(self, pairs: DataFrame, sums: DataFrame, batch: int) -> None:
+        pairs.write.mode("overwrite").parquet(f"{self.path}/pairs/batch={batch}")
+        sums.write.mode("overwrite").parquet(f"{self.path}/sums/batch={batch}")
+
+    def add(self, files: DataFrame, batch: int) -> None:
+        """Add the files of a batch of revisions, numbered from 1."""
+        if batch < 1:
+            raise ValueError("batches are numbered from 1")
+        known = self.pairs().where(F.col("batch") != batch).alias("known")
+        new = distinct_sizes(files).alias("new")
+        same = [F.col(f"new.{c}").eqNullSafe(F.col(f"known.{c}")) for c in ("size", "path")]
+        new.join(known, same, "left_anti").write.mode("overwrite").parquet(f"{self.path}/pairs/batch={batch}")
+        added = self.spark.read.parquet(f"{self.path}/pairs/batch={batch}")
+        sum_by_path(added).write.mode("overwrite").parquet(f"{self.path}/sums/batch={batch}")
+
+    def pairs(self) -> DataFrame:
+        """size, path and the batch that brought them; each pair once."""
+        return self.spark.read.parquet(f"{self.path}/pairs")
+
+    def totals(self) -> DataFrame:
+        """Total of distinct sizes per path over all batches."""
+        sums = self.spark.read.parquet(f"{self.path}/sums")
+        return sums.groupBy("path").agg(F.sum("total").alias("total"))
+
+    def top_paths(self, count: int = 20) -> DataFrame:
+        """The paths with the largest sums of distinct sizes over all batches."""
+        return largest_first(self.totals()).limit(count)

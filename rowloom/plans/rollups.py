@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rowloom.operators import rollup
 from rowloom.plans.inputs import spread_table, table
+from rowloom.storage import scratch_path
 
 
 def _files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,6 +49,26 @@ def rollup_top20(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.top_paths(_files(spark, sf_dir))
 
 
+def _grown(spark: SparkSession, sf_dir: str) -> rollup.RollupState:
+    """The files of three batches of revisions, added one after another, the second once more."""
+    items = table(spark, sf_dir, "lineitem")
+    files = items.select(
+        F.col("l_quantity").cast("long").alias("size"), F.col("l_partkey").alias("path"), (F.col("l_orderkey") % 3).alias("turn")
+    )
+    state = rollup.RollupState.create(spark, scratch_path(spark, "rollup"), files)
+    for batch in (1, 2, 3, 2):
+        state.add(files.where(F.col("turn") == batch - 1), batch)
+    return state
+
+
+def grown_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _grown(spark, sf_dir).totals()
+
+
+def grown_top20(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _grown(spark, sf_dir).top_paths()
+
+
 QUERIES = {
     "flatten_listing": flatten_listing,
     "distinct_pairs": distinct_pairs,
@@ -55,6 +76,8 @@ QUERIES = {
     "totals_largest_first": totals_largest_first,
     "listing_top20": listing_top20,
     "rollup_top20": rollup_top20,
+    "grown_totals": grown_totals,
+    "grown_top20": grown_top20,
 }
 
 _LISTING = """
@@ -81,4 +104,6 @@ ORACLES = {
         FROM lineitem GROUP BY l_partkey ORDER BY total DESC, path DESC LIMIT 20
     """,
     "rollup_top20": f"{_TOTALS} ORDER BY total DESC, path DESC LIMIT 20",
+    "grown_totals": _TOTALS,
+    "grown_top20": f"{_TOTALS} ORDER BY total DESC, path DESC LIMIT 20",
 }

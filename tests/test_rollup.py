@@ -61,3 +61,24 @@ def test_plan_is_a_top_k_without_full_sort(spark):
     assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan
     # The distinct spreads a hot path over its sizes; the sum is partial before its shuffle.
     assert "hashpartitioning(size" in plan and "partial_sum" in plan
+
+
+def test_batches_add_up_to_one_run(spark, tmp_path):
+    draw = random.Random(4)
+    rows = [(draw.choice(["1", "20", "300", "-", None, ""]), draw.choice(["a", "b", "c d", None])) for _ in range(400)]
+    parts = [rows[:150], rows[100:300], [], rows[300:], [("7", "late")]]
+    state = rollup.RollupState.create(spark, str(tmp_path / "state"), listing(spark, rows))
+    assert state.top_paths().collect() == []
+    for batch, part in enumerate(parts, start=1):
+        state.add(listing(spark, part), batch)
+        state.add(listing(spark, part), batch)  # a batch that is added again replaces itself
+    whole = listing(spark, [row for part in parts for row in part])
+    assert state.pairs().count() == rollup.distinct_sizes(whole).count()
+    again = rollup.RollupState(spark, str(tmp_path / "state"))
+    assert again.top_paths(3).collect() == rollup.top_paths(whole, 3).collect()
+    assert sorted(again.totals().collect(), key=repr) == sorted(rollup.sum_by_path(rollup.distinct_sizes(whole)).collect(), key=repr)
+    # One of an earlier batch, added again, keeps what the others hold.
+    state.add(listing(spark, parts[0]), 1)
+    assert again.top_paths(9).collect() == rollup.top_paths(whole, 9).collect()
+    with pytest.raises(ValueError):
+        state.add(whole, 0)
