@@ -29,7 +29,7 @@ def constant(*parts: object) -> int:
     return int(hashlib.sha256(text.encode("utf-8")).hexdigest()[:8], 16)
 
 
-def _mix(word: str) -> str:
+def mixed(word: str) -> str:
     """Scramble a 32-bit word held in a bigint: two xor-shift-multiply rounds and a final xor-shift.
 
     The expression is text, which Spark parses at once; built from Column objects, a draw
@@ -47,10 +47,10 @@ def with_draws(rows: DataFrame, key: str = "row_id", seed: int = 0) -> DataFrame
     whatever the number of draws that read it.
     """
     halves = (f"`{key}` & {MASK}L AS __low", f"shiftright(`{key}`, 32) & {MASK}L AS __high")
-    mixed = [f"{_mix(f'(__low ^ {constant(seed, part)}L)')} AS __mixed_{part}" for part in "ab"]
-    state = [f"{_mix(f'(__mixed_{part} ^ __high)')} AS __draw_{part}" for part in "ab"]
+    states = [f"{mixed(f'(__low ^ {constant(seed, part)}L)')} AS __mixed_{part}" for part in "ab"]
+    state = [f"{mixed(f'(__mixed_{part} ^ __high)')} AS __draw_{part}" for part in "ab"]
     return (
-        rows.selectExpr("*", *halves).selectExpr("*", *mixed).selectExpr("*", *state)
+        rows.selectExpr("*", *halves).selectExpr("*", *states).selectExpr("*", *state)
         .drop("__low", "__high", "__mixed_a", "__mixed_b")
     )
 
@@ -61,7 +61,7 @@ def below_numbered(size: int, first: str, second: str) -> Column:
         raise ValueError(f"a draw has between 1 and {WIDE_RANGE} values, not {size}")
 
     def draw(number: str) -> str:
-        return f"(({_mix(f'(__draw_a ^ {number})')} + __draw_b) & {MASK}L)"
+        return f"(({mixed(f'(__draw_a ^ {number})')} + __draw_b) & {MASK}L)"
 
     value = draw(first)
     if size > NARROW_RANGE:

@@ -49,21 +49,30 @@ def fair_bool(label: str) -> Column:
     return below(2, label) == 0
 
 
-def recent_date(label: str, as_of: datetime, years: int = 10) -> Column:
-    """A date of the last ``years`` years, both ends included."""
+def date_span(as_of: datetime, years: int = 10) -> tuple[date, int]:
+    """The first of the dates of the last ``years`` years, and their number."""
     last = utc(as_of)
     first = years_before(last, years)
-    days = (last.date() - first.date()).days
-    return F.date_add(F.lit(first.date()), below(days + 1, label).cast("int"))
+    return first.date(), (last.date() - first.date()).days + 1
 
 
-def recent_datetime(label: str, as_of: datetime, years: int = 10) -> Column:
-    """A timestamp of the last ``years`` years, in whole seconds, both ends included."""
+def second_span(as_of: datetime, years: int = 10) -> tuple[int, int]:
+    """The first second of the last ``years`` years, counted from 1970, and their number."""
     last = utc(as_of)
     first = years_before(last, years)
-    seconds = int((last - first).total_seconds())
-    start = int((first - EPOCH).total_seconds())
-    return F.timestamp_seconds(below(seconds + 1, label) + F.lit(start).cast("long"))
+    return int((first - EPOCH).total_seconds()), int((last - first).total_seconds()) + 1
+
+
+def recent_date(label: str, as_of: datetime, years: int = 10) -> Column:
+    """A date of the last ``years`` years, both ends included."""
+    first, days = date_span(as_of, years)
+    return F.date_add(F.lit(first), below(days, label).cast("int"))
+
+
+def recent_datetime(label: str, as_of: datetime, years: int = 10) -> Column:
+    """A timestamp of the last ``years`` years, in whole seconds, both ends included."""
+    start, seconds = second_span(as_of, years)
+    return F.timestamp_seconds(below(seconds, label) + F.lit(start).cast("long"))
 
 
 def midnight_since(label: str, as_of: datetime, start_year: int = 2013) -> Column:

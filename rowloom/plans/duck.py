@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from rowloom.functions.draws import MASK, MULTIPLIER, NARROW_RANGE, constant
+from rowloom.functions.keys import ROUNDS, round_key
 
 
 def _mix(word: str) -> str:
@@ -33,6 +34,33 @@ def below(size: int, label: str, index: object = 0) -> str:
     return f"({(_wide if size > NARROW_RANGE else _draw)(label, index)} % {size})"
 
 
+def with_keys(rows: str, key: str, domains: dict[str, int], seed: int) -> str:
+    """A query that adds a permuted key, named by its label, for each number of bits."""
+    names = [(f"{label}_high", f"{label}_low", bits - bits // 2, bits // 2) for label, bits in domains.items()]
+    halves = ", ".join(f"{key} >> {low} AS {a}, {key} & {(1 << low) - 1} AS {b}" for a, b, _, low in names)
+    query = f"SELECT *, {halves} FROM ({rows})"
+    for turn in range(ROUNDS):
+        changed = []
+        for label, (high_name, low_name, high, low) in zip(domains, names):
+            own, other, bits = (low_name, high_name, low) if turn % 2 else (high_name, low_name, high)
+            word = _mix(f"xor({other}, {round_key(label, seed, turn)})")
+            changed.append(f"xor({own}, ({word}) & {(1 << bits) - 1}) AS {own}")
+        query = f"SELECT * REPLACE ({', '.join(changed)}) FROM ({query})"
+    joined = ", ".join(f"({a} << {low}) | {b} AS {label}" for label, (a, b, _, low) in zip(domains, names))
+    return f"SELECT *, {joined} FROM ({query})"
+
+
+def key_text(label: str, length: int) -> str:
+    return f"lower(to_base({label}, 32, {length}))"
+
+
+def weighted(label: str, choices: dict[str, int], cutoffs: list[int], others: list[int]) -> str:
+    """One of the texts of a map, by the places, cutoffs and other places of an alias table."""
+    place, side = below(len(choices), label, "place"), below(sum(choices.values()), label, "side")
+    listed = ", ".join(f"'{text}'" for text in choices)
+    return f"[{listed}][CASE WHEN {side} < {cutoffs}[{place} + 1] THEN {place} ELSE {others}[{place} + 1] END + 1]"
+
+
 # The words of the documents by position, with their number: a one-row table.
 WORDS = """
     SELECT list(word ORDER BY digest) AS words, list(right(digest, 14) ORDER BY digest) AS hash_ids,
