@@ -62,6 +62,52 @@ def write_parquet(
     rows.write.mode(mode).partitionBy(partition_by).parquet(path)
 
 
+def replace_partitions(df: DataFrame, path: str, partition_by: str) -> None:
+    """Write a folder per value of a column in place of those of the same values; other folders stay.
+
+    ``df`` must not read what it replaces: a retried task would meet the new files.
+    """
+    rows = df.hint("rebalance", partition_by)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path)
+
+
+def split_lines(
+    lines: DataFrame, schema: StructType | str, sep: str = ",", column: str = "value"
+) -> tuple[DataFrame, DataFrame]:
+    """Separated lines as rows of a schema, and the lines that are none as ``line`` and ``reason``.
+
+    A reason names the columns whose type can't hold their field, or says that the fields
+    are not as many as the columns. Lines of spaces only, and null lines, are in neither
+    result; any other line is in just one. Every field of a line decides, whichever columns
+    are read afterwards, which a pruned CSV scan doesn't promise. No field holds a line break.
+    """
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    names = [field.name for field in schema.fields]
+    options = {"sep": sep, "columnNameOfCorruptRecord": "__unreadable"}
+
+    def parsed(types: list[str]) -> Column:
+        listed = ", ".join(f"__{n} {data_type}" for n, data_type in enumerate(types))
+        return F.from_csv("__line", f"{listed}, __unreadable string", options)
+
+    kept = lines.select(F.col(f"`{column}`").alias("__line")).where(F.trim("__line") != "")
+    # A filter can't move below a generator, so each line is parsed once.
+    read = kept.select("__line", F.inline(F.array(parsed([field.dataType.simpleString() for field in schema.fields]))))
+    good = read.where(F.col("__unreadable").isNull())
+    bad = read.where(F.col("__unreadable").isNotNull()).withColumn("texts", parsed(["string"] * len(names)))
+    unheld = [
+        F.when(F.col(f"__{n}").isNull() & F.col(f"texts.__{n}").isNotNull(), F.lit(name)) for n, name in enumerate(names)
+    ]
+    reason = (
+        F.when(F.col("texts.__unreadable").isNotNull(), F.lit(f"not {len(names)} fields"))
+        .otherwise(F.concat(F.lit("not of its type: "), F.concat_ws(", ", *unheld)))
+    )
+    return (
+        good.select(*[F.col(f"__{n}").alias(name) for n, name in enumerate(names)]),
+        bad.select(F.col("__line").alias("line"), reason.alias("reason")),
+    )
+
+
 def _tsv_options(multi_line: bool) -> dict[str, object]:
     options: dict[str, object] = {"sep": "\t"}
     if multi_line:

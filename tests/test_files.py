@@ -223,3 +223,45 @@ def test_values_without_a_text_form_are_refused(spark, tmp_path):
 def test_lines_that_are_short_end_in_nulls(spark, tmp_path):
     (tmp_path / "t").write_text("1\ta\n2\n")
     assert files.read_tsv(spark, str(tmp_path / "t"), "n int, text string", escaped=True).collect() == [(1, "a"), (2, None)]
+
+
+LINES = [
+    ("1|a|2020-01-01", None), ("x|b|2020-01-01", "not of its type: n"), ("1|b", "not 3 fields"),
+    ("1|b|2020-01-01|zz", "not 3 fields"), ("", ""), ("   ", ""), (None, ""), ("||", None),
+    ('2|"q|uo"|2020-13-01', "not of its type: value"), ('3|"q|uo"|2020-12-01', None), ("y||z", "not of its type: n, value"),
+    ('3|"open|2020-01-01', "not 3 fields"), ("9999999999|a|2020-01-01", "not of its type: n"),
+]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_lines_are_rows_or_rejected_with_a_reason(spark, ansi):
+    lines = spark.createDataFrame([(line, 1) for line, _ in LINES], "value string, extra int")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        good, bad = files.split_lines(lines, "n int, line string, value date", "|")
+        assert [tuple(row) for row in bad.collect()] == [(line, reason) for line, reason in LINES if reason]
+        assert [(row.n, row.line, str(row.value)) for row in good.collect()] == [
+            (1, "a", "2020-01-01"), (None, None, "None"), (3, "q|uo", "2020-12-01"),
+        ]
+        # Counts, and reads of one column, see the same lines.
+        assert (good.count(), bad.count(), good.select("line").count()) == (3, 7, 3)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def test_no_lines_give_no_rows(spark):
+    good, bad = files.split_lines(spark.createDataFrame([], "text string"), "a int", column="text")
+    assert (good.columns, bad.columns, good.count(), bad.count()) == (["a"], ["line", "reason"], 0, 0)
+
+
+def test_lines_are_parsed_once(spark):
+    good, _ = files.split_lines(spark.createDataFrame([("1,2",)], "value string"), "a int, b int")
+    assert plan_of(good).count("from_csv") == 1
+
+
+def test_replaced_partitions_leave_others(spark, tmp_path):
+    path = str(tmp_path / "kept")
+    rows = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "part string, n int")
+    files.write_parquet(rows, path, partition_by="part")
+    files.replace_partitions(spark.createDataFrame([("a", 9), ("c", 4)], "part string, n int"), path, "part")
+    assert sorted((row.part, row.n) for row in spark.read.parquet(path).collect()) == [("a", 9), ("b", 3), ("c", 4)]
