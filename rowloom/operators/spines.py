@@ -71,13 +71,14 @@ def key_spine(df: DataFrame, key: str, records_per_group: int, group: str = "chu
     return df.select(*_numbered(F.col(key).cast("long"), records_per_group, group))
 
 
-def slice_table_spine(slices: DataFrame, slice_num: str, rows_per_slice: int) -> DataFrame:
-    """``rows_per_slice`` rows for each slice number of a table."""
+def slice_table_spine(slices: DataFrame, slice_num: str, rows_per_slice: int, first: int = 0) -> DataFrame:
+    """``rows_per_slice`` rows for each slice number of a table, the ids counted from slice ``first``."""
     bounds = slices.select(
         F.col(slice_num).cast("long").alias("slice_num"),
         F.lit(0).cast("long").alias("start"),
         F.lit(rows_per_slice - 1).cast("long").alias("end"),
     )
     rows = expand_ranges(bounds, "start", "end", "record_num").select("slice_num", "record_num")
-    row_id = F.col("slice_num") * F.lit(rows_per_slice).cast("long") + F.col("record_num")
+    since_first = F.col("slice_num") - F.lit(first).cast("long")
+    row_id = since_first * F.lit(rows_per_slice).cast("long") + F.col("record_num")
     return rows.select(row_id.alias("row_id"), "slice_num", "record_num")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,9 +12,11 @@ from rowloom import jobs
 from rowloom.functions import values
 from rowloom.functions.draws import with_draws
 from rowloom.functions.people import COMMON_PEOPLE
+from rowloom.operators.audit import audit
 from rowloom.operators.bind import bind_positional, named_schema, positional_schema
 from rowloom.operators.dictionary import Dictionary, Pick, index_words, read_words, words_of
 from rowloom.operators.generate import generate
+from rowloom.operators.named import alias_table
 from rowloom.operators.rules import PROFILE_A, PROFILE_B, Profile
 from rowloom.operators.spines import batch_spine, chunk_spine, group_size, key_spine
 from rowloom.plans import duck
@@ -30,6 +33,19 @@ PLAIN_NAMES = ("property_name", "sob", "is_logged_in", "page_views", "utc_date")
 PLAIN_SPECS = tuple(spec for spec in EVENT_SPECS if spec.name in PLAIN_NAMES)
 TIMED_SPECS = (*EVENT_SPECS, ColumnSpec("updated_at", "DATETIME"))
 
+# A table with short texts, unique columns, a key of two columns, and generators of its own.
+COUNTRIES = {"de": 17, "en": 120, "es": 42, "fr": 33, "zh": 88}
+KEYED_SPECS = (
+    ColumnSpec("account", "CHARACTER VARYING", 10, 10, not_null=True, unique=True),
+    ColumnSpec("ticket", "BIGINT", unique=True),
+    ColumnSpec("sob", "CHARACTER VARYING", 9, 9, not_null=True, primary_key=True),
+    ColumnSpec("family", "CHARACTER VARYING", 5, 5, not_null=True, primary_key=True),
+    ColumnSpec("note", "CHARACTER VARYING", 12, 12),
+    ColumnSpec("country", "CHARACTER VARYING", 2, 2, generator=f"weighted {json.dumps(COUNTRIES)}"),
+    ColumnSpec("age", "BIGINT", generator="between [18, 99]"),
+    ColumnSpec("origin", "TEXT", generator='fixed "synthetic"'),
+)
+
 
 def _order_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return key_spine(spread_table(spark, sf_dir, "orders", "o_orderkey"), "o_orderkey", CHUNK_RECORDS)
@@ -119,6 +135,28 @@ def _plain_rows(spine: DataFrame, profile: Profile, carry: str) -> DataFrame:
     return generate(spine, PLAIN_SPECS, profile, None, SEED, AS_OF, carry=["row_id", carry])
 
 
+def gen_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each order that keeps the lengths and keys of its specs, with named generators."""
+    return generate(
+        _order_spine(spark, sf_dir), KEYED_SPECS, PROFILE_B, document_dictionary(spark, sf_dir), SEED, AS_OF,
+        keep_specs=True,
+    )
+
+
+def keyed_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit of such rows, written and read back."""
+    path = scratch_path(spark, "keyed")
+    write_parquet(gen_keyed(spark, sf_dir), path)
+    return audit(read_parquet(spark, path), KEYED_SPECS)
+
+
+def gen_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each country is drawn for the events."""
+    specs = [spec for spec in KEYED_SPECS if spec.name == "country"]
+    rows = generate(_event_spine(spark, sf_dir), specs, PROFILE_A, None, SEED, AS_OF)
+    return rows.groupBy("country").agg(F.count("*").alias("rows"))
+
+
 def _share(spark: SparkSession, sf_dir: str, name: str, groups: int) -> int:
     """A table's number of rows over a number of groups, rounded up."""
     return -(-table(spark, sf_dir, name).count() // groups)
@@ -190,6 +228,19 @@ def batch_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_parquet(spark, path, named_schema(TIMED_SPECS, PROFILE_B))
 
 
+def slice_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A slice job whose folder lacks a slice, holds half of another and a third twice, resumed."""
+    whole, path = scratch_path(spark, "slice-whole"), scratch_path(spark, "slice-resume")
+    words, size = document_dictionary(spark, sf_dir), _share(spark, sf_dir, "orders", SLICES)
+    jobs.write_slices(spark, EVENT_SPECS, whole, 1, SLICES, words, size, seed=SEED, as_of=AS_OF)
+    rows = read_parquet(spark, whole, named_schema(EVENT_SPECS, PROFILE_A).add("slice", "string"))
+    half = (F.col("slice") == "slice-012") & (F.col("sob").cast("long") >= size // 2)
+    write_parquet(rows.where((F.col("slice") != "slice-005") & ~half), path, partition_by="slice")
+    write_parquet(rows.where(F.col("slice") == "slice-009"), path, partition_by="slice")
+    jobs.resume_slices(spark, EVENT_SPECS, path, 1, SLICES, words, size, seed=SEED, as_of=AS_OF)
+    return read_parquet(spark, path, rows.schema)
+
+
 def slice_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The slice job with every word looked up by the shuffled join, for as many rows as there are orders, rounded up."""
     path, rows = scratch_path(spark, "slice-job"), _share(spark, sf_dir, "orders", SLICES)
@@ -221,6 +272,9 @@ QUERIES = {
     "gen_word_grown": gen_word_grown,
     "gen_chunks": gen_chunks,
     "gen_batch": gen_batch,
+    "gen_keyed": gen_keyed,
+    "keyed_audit": keyed_audit,
+    "gen_weighted": gen_weighted,
     "gen_profile_a": gen_profile_a,
     "gen_profile_b": gen_profile_b,
     "gen_profile_b_shuffled": gen_profile_b_shuffled,
@@ -229,6 +283,7 @@ QUERIES = {
     "chunk_job": chunk_job,
     "batch_job": batch_job,
     "slice_job": slice_job,
+    "slice_resume": slice_resume,
 }
 
 _ORDERS = duck.with_draws(
@@ -314,6 +369,33 @@ def _plain_sql(columns: dict[str, str], carry: str, rows: str) -> str:
     return f"SELECT row_id, {carry}, {listed} FROM ({rows})"
 
 
+_KEYED_ROWS = duck.with_keys(_ORDERS, "row_id", {"account": 50, "ticket": 60, "sob": 45}, SEED)
+_KEYED = _table_sql(
+    {
+        "account": duck.key_text("account", 10),
+        "ticket": "100 + ticket",
+        "sob": duck.key_text("sob", 9),
+        "family": f"left({_person_sql('family')}, 5)",
+        "note": f"left({duck.sentence('note')}, 12)",
+        "country": duck.weighted("country", COUNTRIES, *alias_table(list(COUNTRIES.values()))),
+        "age": f"18 + {duck.below(82, 'age')}",
+        "origin": "'synthetic'",
+    },
+    _KEYED_ROWS,
+)
+
+
+def _audit_sql(pos: int, spec: ColumnSpec, key: str | None) -> str:
+    nulls = f"count(*) - count({spec.name})" if spec.not_null else "0 * count(*)"
+    longer = f"count(*) FILTER (length({spec.name}) > {spec.length})" if spec.length else "0"
+    repeats = f"count(*) - count(DISTINCT {key})" if key else "0"
+    return (
+        f"SELECT {pos} AS pos, '{spec.name}' AS name, {nulls} AS null_count, {longer} AS overlength_count, "
+        f"{repeats} AS duplicate_count FROM keyed"
+    )
+
+
+_KEYS = {"account": "account", "ticket": "ticket", "sob": "(sob, family)", "family": "(sob, family)"}
 _DICTIONARY = f"""
     SELECT idx - 1 AS idx, words[idx] AS word, hash_ids[idx] AS hash_id
     FROM (SELECT unnest(range(1, n + 1)) AS idx, words, hash_ids FROM ({duck.WORDS}))
@@ -340,12 +422,21 @@ ORACLES = {
     "gen_word_grown": _pick_sql(duck.entry("value")),
     "gen_chunks": _plain_sql(_PROFILE_A, "chunk", _CHUNK_ROWS),
     "gen_batch": _plain_sql(_PROFILE_B, "batch", _BATCH_ROWS),
+    "gen_keyed": _KEYED,
+    "keyed_audit": f"WITH keyed AS ({_KEYED}) " + " UNION ALL ".join(
+        _audit_sql(pos, spec, _KEYS.get(spec.name)) for pos, spec in enumerate(KEYED_SPECS, start=1)
+    ),
+    "gen_weighted": f"""
+        SELECT {duck.weighted("country", COUNTRIES, *alias_table(list(COUNTRIES.values())))} AS country,
+               count(*) AS rows FROM ({_EVENTS}) GROUP BY 1
+    """,
     "gen_profile_a": _table_sql(_POSITIONAL_A, _ORDERS),
     "gen_profile_b": _table_sql(_TIMED_B, _EVENTS),
     "gen_profile_b_shuffled": _table_sql(_TIMED_B, _EVENTS),
     "chunk_job": _table_sql(_POSITIONAL_A, _CHUNK_ROWS),
     "batch_job": _table_sql(_TIMED_B, _JOB_BATCH_ROWS),
     "slice_job": _table_sql(_PROFILE_A, _JOB_SLICE_ROWS, "printf('slice-%03d', slice_num) AS slice, "),
+    "slice_resume": _table_sql(_PROFILE_A, _JOB_SLICE_ROWS, "printf('slice-%03d', slice_num) AS slice, "),
     "chunked_write_summary": f"""
         SELECT chunk, count(*) AS records, CAST(sum(page_views) AS BIGINT) AS page_views,
                count(*) FILTER (is_logged_in) AS logged_in, min(utc_date) AS first_date,

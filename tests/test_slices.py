@@ -7,8 +7,11 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from rowloom import jobs
 from rowloom.operators.ranges import expand_ranges
+from rowloom.sources.files import write_parquet
 from rowloom.sources.slices import parse_slices, read_slices, slice_label, slice_name
+from rowloom.sources.specs import ColumnSpec
 
 
 def test_read_and_label(spark, tmp_path):
@@ -61,3 +64,45 @@ def test_copies_of_a_slice_run_on_many_tasks(spark):
     per_task = expand_ranges(df, partitions=8).groupBy(F.spark_partition_id().alias("task")).count().collect()
     assert sum(row["count"] for row in per_task) == 8000
     assert len(per_task) == 8 and max(row["count"] for row in per_task) < 3000
+
+
+SPECS = [ColumnSpec("sob", "TEXT"), ColumnSpec("page_views", "BIGINT"), ColumnSpec("core_action", "TEXT")]
+
+
+def _fresh_and_resumed(spark, tmp_path, dictionary, keep, first=3, last=7, rows=50, again=None):
+    """A whole folder, and one that held what ``keep`` kept of it (``again`` twice) before it was resumed."""
+    whole, path = str(tmp_path / "whole"), str(tmp_path / "part")
+    jobs.write_slices(spark, SPECS, whole, first, last, dictionary, rows, seed=4)
+    fresh = spark.read.parquet(whole)
+    if keep is not None:
+        write_parquet(fresh.where(keep), path, partition_by="slice")
+    if again is not None:
+        write_parquet(fresh.where(again), path, partition_by="slice")
+    jobs.resume_slices(spark, SPECS, path, first, last, dictionary, rows, seed=4)
+    return fresh, path
+
+
+@pytest.mark.parametrize(
+    "keep, again",
+    [
+        (None, None),
+        ("false", None),
+        ("true", None),
+        ("slice <> 'slice-004' and (slice <> 'slice-006' or sob < '3')", "slice = 'slice-007'"),
+    ],
+)
+def test_resumed_slices_equal_a_fresh_run(spark, tmp_path, dictionary, keep, again):
+    fresh, path = _fresh_and_resumed(spark, tmp_path, dictionary, keep, again=again)
+    assert sorted(fresh.collect()) == sorted(spark.read.parquet(path).select(fresh.columns).collect())
+    assert jobs.unfinished_slices(spark, path, 3, 7, 50).count() == 0
+
+
+def test_only_unfinished_slices_are_written(spark, tmp_path, dictionary):
+    _, path = _fresh_and_resumed(spark, tmp_path, dictionary, "slice <> 'slice-004'")
+    files = {file: file.stat().st_mtime_ns for file in (tmp_path / "part").rglob("*.parquet")}
+    jobs.resume_slices(spark, SPECS, path, 3, 8, dictionary, 50, seed=4)
+    after = {file: file.stat().st_mtime_ns for file in (tmp_path / "part").rglob("*.parquet")}
+    assert files.items() <= after.items()
+    assert {file.parent.name for file in set(after) - set(files)} == {"slice=slice-008"}
+    found = [row.slice_num for row in jobs.unfinished_slices(spark, path, 2, 8, 51).collect()]
+    assert sorted(found) == [2, 3, 4, 5, 6, 7, 8]
