@@ -24,6 +24,9 @@ from rowloom.llm.common import staged
 LISTS = 2
 BLOCK_ROWS = 2048
 QUERY_ROWS = 256
+# Groups that blocks are dealt to, at least, and the blocks of a group where there are more.
+GROUPS = 64
+GROUP_BLOCKS = 32
 # Salts over which copies of one vector are counted before they meet.
 SALTS = 32
 
@@ -92,9 +95,13 @@ def _matrix(ids: bytes, m: bytes) -> tuple[np.ndarray, np.ndarray]:
     return names, np.frombuffer(m, np.int64).reshape(len(names), -1)
 
 
-def _block_pairs(queries: DataFrame, blocks: DataFrame) -> DataFrame:
+def _groups(blocks: DataFrame) -> int:
+    """How many groups staged blocks are dealt to, so that none grows with the table."""
+    return max(GROUPS, -(-blocks.count() // GROUP_BLOCKS))
+
+
+def _block_pairs(queries: DataFrame, blocks: DataFrame, groups: int) -> DataFrame:
     """Every query block beside every block of vectors of the same width and list."""
-    groups = 64
     dealt = blocks.withColumn("group", F.pmod(F.xxhash64("block"), F.lit(groups)).cast("int"))
     asked = queries.select(
         *(F.col(c).alias(f"q_{c}" if c in ("ids", "m", "block") else c) for c in queries.columns),
@@ -159,15 +166,20 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, lists: int = LIST
 
     Both tables have vec_id and v (array of long), as ``integer_vectors`` makes them. Returns
     query_id, rank (from 1), vec_id, score; ties go to the smaller vec_id; with fewer vectors
-    than k all are returned. Vectors of another width than the query's take no part. Repeated
-    ids are rows of their own; an empty table gives no rows.
+    than k all are returned. Vectors of another width than the query's take no part. An empty
+    table gives no rows. Repeated ids are rows of their own: each different vector of a query's
+    id asks by itself, and every row but one with its id and vector, its own, may be found.
+    Equal query rows ask once.
     """
     keep = k + 1  # the query's own may be among the best
     reps = staged(distinct_vectors(vectors, keep), "topk-vectors")
-    asked = queries.dropDuplicates(["vec_id"]).select(F.col("vec_id").alias("query"), "v")
+    # A number per query, since ids may repeat; staged, so that it stays what it is.
+    numbered = queries.select(F.col("vec_id").alias("query_id"), "v").distinct()
+    asked = staged(numbered.withColumn("query", F.monotonically_increasing_id()), "topk-numbered")
     blocks = _blocks(reps, "cand", BLOCK_ROWS, lists, "topk-blocks")
     query_blocks = _blocks(asked, "query", QUERY_ROWS, lists, "topk-queries")
-    pairs = _block_pairs(query_blocks, blocks)
+    groups = _groups(blocks)
+    pairs = _block_pairs(query_blocks, blocks, groups)
 
     # Phase 1: the best local scores of every list, and the least score, by which lists shift.
     local = staged(
@@ -211,7 +223,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, lists: int = LIST
         )
     )
     told = staged(query_blocks.join(holds, ["block", "list"]), "topk-asked")
-    entries = _block_pairs(told, blocks).mapInArrow(_entries, "query long, list int, cand long, score long")
+    entries = _block_pairs(told, blocks, groups).mapInArrow(_entries, "query long, list int, cand long, score long")
     seen = staged(
         entries.groupBy("query", "cand").agg(F.sum("score").alias("bound"), F.count("*").alias("lists")), "topk-seen"
     )
@@ -224,16 +236,20 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, lists: int = LIST
     # Phase 3: exact totals of the candidates left.
     scored = (
         left.join(reps, "cand")
-        .join(asked.select("query", F.col("v").alias("qv")), "query")
-        .select("query", "ids", total.alias("score"))
+        .join(asked.select("query", "query_id", F.col("v").alias("qv")), "query")
+        .select("query", "query_id", "ids", total.alias("score"), (F.col("v") == F.col("qv")).alias("same"))
     )
     # Distinct vectors first: at most k + 1 of them, with at most k + 1 ids each.
     by_score = Window.partitionBy("query").orderBy(F.desc("score"), F.col("ids")[0])
     few = scored.withColumn("n", F.row_number().over(by_score)).where(F.col("n") <= keep)
-    rows = few.select("query", "score", F.explode("ids").alias("vec_id")).where("vec_id <> query")
+    own = F.when(F.col("same"), F.array_position("ids", F.col("query_id")) - 1).otherwise(-1)
+    rows = (
+        few.select("query", "query_id", "score", own.alias("own"), F.posexplode("ids").alias("at", "vec_id"))
+        .where(F.col("at") != F.col("own"))
+    )
     order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     ranked = rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select(F.col("query").alias("query_id"), "rank", "vec_id", "score")
+    return ranked.select("query_id", "rank", "vec_id", "score")
 
 
 def _query_places(query_blocks: DataFrame) -> DataFrame:
