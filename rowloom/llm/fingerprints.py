@@ -9,6 +9,9 @@ corrected for bins that agree by chance.
 
 from __future__ import annotations
 
+import struct
+
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,41 +20,58 @@ from rowloom.llm.common import shuffle_partitions
 BINS = 128
 BITS = 4
 WORDS = 5
+# A hash's upper bits are its bin, the rest its value there.
+BIN_SHIFT = 64 - (BINS.bit_length() - 1)
 # Probes written out per bin before the search over all bins takes over.
 PROBES = 12
 
 
-def shingles(text: Column, words: int = WORDS) -> Column:
-    """Runs of ``words`` words as structs; a shorter text is one run, an empty one has none."""
-    parts = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    n = F.size(parts)
-    columns = [
-        F.slice(parts, F.lit(1 + j), F.greatest(n - words + 1, F.lit(0))).alias(f"w{j}") for j in range(words)
-    ]
-    runs = F.arrays_zip(*columns)
-    padded = F.struct(*(F.get(parts, F.lit(j)).alias(f"w{j}") for j in range(words)))
-    return F.when(n >= words, runs).when(n > 0, F.array(padded)).otherwise(F.slice(runs, 1, 0))
+def words_of(text: Column) -> Column:
+    """The words of a text, parted by ASCII white space; an empty text gives one empty word."""
+    return F.split(F.btrim(text, F.lit(" \t\n\x0b\x0c\r")), r"[\x20\x09-\x0D]+")
+
+
+def run_hashes(words: Column, length: int = WORDS) -> Column:
+    """A hash of each run of ``length`` words; a shorter text is one run, an empty one has none.
+
+    ``words`` must be a column of the table, not an expression: every run looks words up in it.
+    """
+    starts = F.sequence(F.lit(0), F.greatest(F.size(words) - length, F.lit(0)))
+    hashes = F.transform(starts, lambda i: F.xxhash64(*(F.get(words, i + j) for j in range(length))))
+    return F.when(F.get(words, F.lit(0)) != "", hashes).otherwise(F.array().cast("array<long>"))
 
 
-def _probe(bins: Column, i: Column, attempt: Column | int) -> Column:
-    """The bin that an empty bin looks at: a start and an odd step drawn per bin meet every bin."""
-    start = F.pmod(F.xxhash64(i, F.lit(1)), F.lit(BINS))
-    step = F.pmod(F.xxhash64(i, F.lit(2)), F.lit(BINS // 2)) * 2 + 1
-    return F.get(bins, F.pmod(start + step * attempt, F.lit(BINS)).cast("int"))
+def _hash(*numbers: int) -> int:
+    """The signed value of ``xxhash64`` of integers."""
+    seed = 42
+    for number in numbers:
+        seed = xxhash.xxh64_intdigest(struct.pack("<i", number), seed)
+    return seed - (1 << 64) if seed >> 63 else seed
+
+
+def _probes(attempts: int) -> list[list[int]]:
+    """The bins that each bin looks at when empty: a start and an odd step drawn per bin meet every bin."""
+    draws = [(_hash(i, 1) % BINS, _hash(i, 2) % (BINS // 2) * 2 + 1) for i in range(BINS)]
+    return [[(start + step * k) % BINS for k in range(attempts)] for start, step in draws]
 
 
 def densified(bins: Column) -> Column:
-    """Fill nulls of an array of BINS values; an array of nulls stays one."""
-    every = F.sequence(F.lit(0), F.lit(BINS - 1))
+    """Fill nulls of an array of BINS values; an array of nulls stays one.
+
+    ``bins`` must be a column of the table, not an expression: every probe looks a bin up in it.
+    """
+    # Literal arrays, one lookup for each probe; the probes beyond the first few are hardly ever made.
+    near = F.expr(f"array({', '.join(str(p) for of_bin in _probes(PROBES) for p in of_bin)})")
+    every = F.expr(f"array({', '.join(f'array({str(of_bin)[1:-1]})' for of_bin in _probes(BINS))})")
     filled = F.transform(
         bins,
         lambda value, i: F.coalesce(
             value,
-            *(_probe(bins, i, k) for k in range(PROBES)),
-            F.get(F.filter(F.transform(every, lambda k: _probe(bins, i, k)), lambda x: x.isNotNull()), F.lit(0)),
+            *(F.get(bins, F.get(near, i * PROBES + k)) for k in range(PROBES)),
+            F.get(F.filter(F.transform(F.get(every, i), lambda p: F.get(bins, p)), lambda x: x.isNotNull()), F.lit(0)),
         ),
     )
-    return F.when(F.array_contains(F.transform(bins, lambda x: x.isNull()), True), filled).otherwise(bins)
+    return F.when(F.exists(bins, lambda x: x.isNull()), filled).otherwise(bins)
 
 
 def packed(bins: Column) -> Column:
@@ -74,23 +94,37 @@ def likeness(one: Column, two: Column) -> Column:
     )
 
 
-def bin_minima(texts: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """One row per key with the array of bin minima (null where a bin is empty) of a text column.
+def bin_minima(ordered: Column) -> Column:
+    """The least hash of each bin, null where a bin is empty, from hashes that ``in_bins`` put in order."""
+    low = F.lit((1 << BIN_SHIFT) - 1)
+    heads = F.filter(
+        ordered,
+        lambda h, i: (i == 0) | (F.shiftrightunsigned(h, BIN_SHIFT) != F.shiftrightunsigned(F.get(ordered, i - 1), BIN_SHIFT)),
+    )
+    least = F.transform(heads, lambda h: F.when(h.bitwiseAND(low) != low, h))
+    # Signed order puts the upper half of the bins first.
+    return F.concat(F.slice(least, BINS // 2 + 1, BINS // 2), F.slice(least, 1, BINS // 2))
+
+
+def in_bins(hashes: Column) -> Column:
+    """Hashes in order, with the greatest value of each bin as its end, so that every bin has a first value."""
+    ends = [((b << BIN_SHIFT) | ((1 << BIN_SHIFT) - 1)) for b in range(BINS)]
+    signed = F.array(*(F.lit(e - (1 << 64) if e >> 63 else e).cast("long") for e in ends))
+    return F.sort_array(F.concat(hashes, signed))
+
+
+def with_fingerprints(texts: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Replace each text column by the fingerprint column that ``columns`` names for it.
 
-    Shingles are exploded and reduced to bins at once, partition by partition where the
-    keys are already together; each key's bins number BINS at most.
+    All steps are array functions within a row, one projection after another: no run of words
+    becomes a row, and nothing is shuffled.
     """
-    rows = texts.select(*keys, F.explode_outer(shingles(F.col(text))).alias("__s"))
-    hashed = rows.select(*keys, F.when(F.col("__s.w0").isNotNull(), F.xxhash64("__s")).alias("__h"))
-    bin_of = F.shiftrightunsigned("__h", 64 - (BINS.bit_length() - 1)).cast("int")
-    least = hashed.groupBy(*keys, bin_of.alias("__bin")).agg(F.min("__h").alias("__h"))
-    found = least.groupBy(*keys).agg(
-        F.map_from_entries(
-            F.collect_list(F.when(F.col("__bin").isNotNull(), F.struct("__bin", "__h")))
-        ).alias("__map")
-    )
-    every = F.sequence(F.lit(0), F.lit(BINS - 1))
-    return found.select(*keys, F.transform(every, lambda i: F.get(F.map_values("__map"), F.array_position(F.map_keys("__map"), i).cast("int") - 1)).alias("bins"))
+    rest = [c for c in texts.columns if c not in columns]
+    steps = [words_of, run_hashes, in_bins, bin_minima, densified, packed]
+    names = list(columns)
+    for step in steps:
+        texts = texts.select(*rest, *(step(F.col(name)).alias(name) for name in names))
+    return texts.select(*rest, *(F.col(name).alias(columns[name]) for name in names))
 
 
 def with_next(docs: DataFrame) -> DataFrame:
@@ -155,35 +189,16 @@ def edited_pairs(docs: DataFrame) -> DataFrame:
     edited = F.concat(
         F.substring("text", F.lit(1), n - half), F.substring(F.coalesce("next_text", F.lit("")), F.lit(1), half)
     )
+    edited = F.when(F.col("ghost") == 0, edited).otherwise(F.lit(""))
     texts = chained.select("part", "ghost", "line", "doc_id", n.cast("long").alias("n_chars"), "text", edited.alias("edited"))
-    kinds = texts.select(
-        "part",
-        "ghost",
-        "line",
-        "doc_id",
-        "n_chars",
-        F.when(F.col("ghost") == 0, F.unhex(F.sha2("edited", 256))).alias("sha"),
-        F.explode(
-            F.when(F.col("ghost") == 1, F.array(F.struct(F.lit(0).alias("kind"), F.col("text").alias("body")))).otherwise(
-                F.array(
-                    F.struct(F.lit(0).alias("kind"), F.col("text").alias("body")),
-                    F.struct(F.lit(1).alias("kind"), F.col("edited").alias("body")),
-                )
-            )
-        ).alias("version"),
-    ).select("part", "ghost", "line", "doc_id", "n_chars", "sha", "version.kind", "version.body")
-    keys = ["part", "ghost", "line", "doc_id", "n_chars", "sha", "kind"]
-    prints = bin_minima(kinds, keys, "body").withColumn("print", packed(densified(F.col("bins"))))
-    rows = prints.groupBy("part", "ghost", "line", "doc_id", "n_chars", "sha").agg(
-        F.max(F.when(F.col("kind") == 0, F.col("print"))).alias("fingerprint"),
-        F.max(F.when(F.col("kind") == 1, F.col("print"))).alias("edited_fingerprint"),
-    )
+    kinds = texts.withColumn("sha", F.sha2(F.col("edited").cast("binary"), 256))
+    rows = with_fingerprints(kinds, {"text": "fingerprint", "edited": "edited_fingerprint"})
     line = Window.partitionBy("part").orderBy("line")
     following = rows.withColumn("next_print", F.lead("fingerprint").over(line)).where("ghost = 0")
     return following.select(
         "doc_id",
         "n_chars",
-        F.lower(F.hex("sha")).alias("edited_sha256"),
+        F.col("sha").alias("edited_sha256"),
         "fingerprint",
         "edited_fingerprint",
         likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
