@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowloom.functions.values import constant_array
-from rowloom.operators.audit import audit
+from rowloom.operators.audit import audit, audit_by_hash
 from rowloom.operators.rules import PROFILE_A, PROFILE_B, Profile, generator_column, type_column
 from rowloom.plans.inputs import spread_table, table
 from rowloom.sources import ddl, specs
@@ -110,6 +110,11 @@ def constraint_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(table(spark, sf_dir, "documents"), DOCUMENT_SPECS)
 
 
+def constraint_audit_hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same audit, with repeats looked for among hashes first."""
+    return audit_by_hash(table(spark, sf_dir, "documents"), DOCUMENT_SPECS)
+
+
 QUERIES = {
     "rule_dispatch_a": rule_dispatch_a,
     "rule_dispatch_b": rule_dispatch_b,
@@ -119,6 +124,7 @@ QUERIES = {
     "ddl_extract": ddl_extract,
     "ddl_documents": ddl_documents,
     "constraint_audit": constraint_audit,
+    "constraint_audit_hashed": constraint_audit_hashed,
 }
 
 
@@ -170,6 +176,17 @@ _DDL_COLUMNS = """
     UNION ALL SELECT p_partkey, 2, 6, 'raw', 'BOOLEAN', NULL, NULL,
            false, false, false, 'randomize' FROM part
 """
+_AUDIT = """
+    SELECT 1 AS pos, 'doc_id' AS name, count(*) - count(doc_id) AS null_count,
+           CAST(0 AS BIGINT) AS overlength_count,
+           count(doc_id) - count(DISTINCT doc_id) AS duplicate_count FROM documents
+    UNION ALL SELECT 2, 'text', count(*) - count(text), count(*) FILTER (length(text) > 2000),
+           count(text) - count(DISTINCT text) FROM documents
+    UNION ALL SELECT 3, 'lang', count(*) - count(lang), count(*) FILTER (length(lang) > 2), 0 FROM documents
+    UNION ALL SELECT 4, 'source', 0, count(*) FILTER (length(source) > 3), 0 FROM documents
+    UNION ALL SELECT 5, 'n_chars', 0, 0, count(n_chars) - count(DISTINCT n_chars) FROM documents
+"""
+
 ORACLES = {
     "rule_dispatch_a": f"""
         SELECT pos, name, data_type,
@@ -195,14 +212,6 @@ ORACLES = {
     "spec_roundtrip": f"SELECT pos, {_SPEC_FIELDS} FROM ({_PART_SPECS})",
     "ddl_extract": _DDL_COLUMNS,
     "ddl_documents": _DDL_COLUMNS,
-    "constraint_audit": """
-        SELECT 1 AS pos, 'doc_id' AS name, count(*) - count(doc_id) AS null_count,
-               CAST(0 AS BIGINT) AS overlength_count,
-               count(doc_id) - count(DISTINCT doc_id) AS duplicate_count FROM documents
-        UNION ALL SELECT 2, 'text', count(*) - count(text), count(*) FILTER (length(text) > 2000),
-               count(text) - count(DISTINCT text) FROM documents
-        UNION ALL SELECT 3, 'lang', count(*) - count(lang), count(*) FILTER (length(lang) > 2), 0 FROM documents
-        UNION ALL SELECT 4, 'source', 0, count(*) FILTER (length(source) > 3), 0 FROM documents
-        UNION ALL SELECT 5, 'n_chars', 0, 0, count(n_chars) - count(DISTINCT n_chars) FROM documents
-    """,
+    "constraint_audit": _AUDIT,
+    "constraint_audit_hashed": _AUDIT,
 }

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
-from rowloom.operators.audit import audit
+from rowloom.operators import audit as audits
+from rowloom.operators.audit import audit, audit_by_hash
 from rowloom.sources import ddl, specs
 from rowloom.sources.specs import EVENT_SPECS, ColumnSpec
 
@@ -221,3 +223,40 @@ def test_audit_of_an_empty_table(spark):
     df = spark.createDataFrame([], "k int")
     found = audit(df, [ColumnSpec("k", "BIGINT", not_null=True, primary_key=True, unique=True)]).collect()
     assert [tuple(row) for row in found] == [(1, "k", 0, 0, 0)]
+
+
+WIDE = [
+    ColumnSpec("a", "BIGINT", primary_key=True),
+    ColumnSpec("b", "CHARACTER VARYING", 200, 200, not_null=True, primary_key=True),
+    ColumnSpec("__hash", "CHARACTER VARYING", 5, 5, unique=True),
+    ColumnSpec("key", "DOUBLE PRECISION", unique=True),
+    ColumnSpec("count", "BIGINT", unique=True),
+]
+
+
+def _wide_rows():
+    """Nulls, signed zeros, a key on a third of all rows, and one column without a repeat."""
+    rows = [(k % 50, f"t{k % 7}" if k % 11 else None, f"u{k % 290}", (-0.0, 0.0, None)[k % 3], k) for k in range(300)]
+    return rows + [(None, None, None, None, None)] * 2 + [(1, "hot", "hot", 1.5, None)] * 150
+
+
+@pytest.mark.parametrize("broadcast_rows", [1_000_000, 0])
+@pytest.mark.parametrize("meeting", [False, True])
+def test_audits_by_hash_count_as_others(spark, monkeypatch, broadcast_rows, meeting):
+    if meeting:  # hashes that meet by the dozen
+        hashed = audits._hash
+        monkeypatch.setattr(audits, "_hash", lambda df, covered: F.pmod(hashed(df, covered), F.lit(9)))
+    df = spark.createDataFrame(_wide_rows(), "a long, b string, `__hash` string, key double, count long")
+    want = {tuple(row) for row in audit(df, WIDE).collect()}
+    assert {tuple(row) for row in audit_by_hash(df, WIDE, broadcast_rows).collect()} == want
+    keys = [(r[0], r[1]) for r in _wide_rows() if None not in r[:2]]
+    counts = {row[1]: row[4] for row in want}
+    assert counts["a"] == counts["b"] == len(keys) - len(set(keys)) and counts["count"] == 0
+
+
+def test_audits_by_hash_of_few_rows_and_no_keys(spark):
+    df = spark.createDataFrame([], "a long, b string, `__hash` string, key double, count long")
+    assert {tuple(row)[2:] for row in audit_by_hash(df, WIDE).collect()} == {(0, 0, 0)}
+    one = spark.createDataFrame([("abc",)], "t string")
+    found = audit_by_hash(one, [ColumnSpec("t", "CHARACTER VARYING", 2, 2)]).collect()
+    assert [tuple(row) for row in found] == [(1, "t", 0, 1, 0)]
