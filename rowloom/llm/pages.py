@@ -11,9 +11,12 @@ Each task sorts the suffixes of its own pages, host by host, and passes on one r
 distinct prefix; equal prefixes of other tasks meet in one aggregation, so a host that fills
 the table needs no task of its own.
 
+A depth of eight words finds all that longer substrings would cover: every word of a repeated
+substring of eight words or more lies in a repeated one of exactly eight.
+
 Inside articles whole blocks are the units: a block of eight words or more that recurs on ten
-distinct pages of its host, and on a hundredth of them, is boilerplate too. Runs of words are
-not cut there, since pages quote each other.
+distinct pages of its host is boilerplate too. Runs of words are not cut there, since pages
+quote each other.
 """
 
 from __future__ import annotations
@@ -33,12 +36,11 @@ from rowloom.llm.common import staged
 DEPTH = 8
 # Up to so many blocks that pages lose, their numbers are sent to every task; beyond, all pages are shuffled.
 GONE_BLOCKS = 500_000
-# From how many distinct pages of a host, and from which share of them, a block of an article is boilerplate.
+# From how many distinct pages of a host on a block of an article is boilerplate, whatever the host's size.
 BLOCK_PAGES = 10
-BLOCK_SHARE = 0.01
 
 # Elements of HTML by their part in a page.
-RAW = "script style noscript template iframe object svg math canvas select textarea button audio video datalist"
+RAW = "script style noscript template iframe object canvas annotation annotation-xml desc metadata select textarea button audio video datalist"
 MARKED = "head title nav footer aside form menu dialog"
 BLOCKS = (
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure "
@@ -330,12 +332,11 @@ def _units(batches: Iterator[pa.RecordBatch]):
         )
 
 
-def repeated_units(parsed: DataFrame, least: int = BLOCK_PAGES, share: float = BLOCK_SHARE) -> DataFrame:
+def repeated_units(parsed: DataFrame, least: int = BLOCK_PAGES) -> DataFrame:
     """host and unit of the blocks of articles on many distinct pages of their host."""
     units = parsed.select("host", "page", "units").mapInArrow(_units, "host long, unit long, page long")
-    many = units.distinct().groupBy("host", "unit").agg(F.count("*").alias("n")).where(F.col("n") >= least)
-    sizes = parsed.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("total"))
-    return many.join(sizes, "host").where(F.col("n") >= F.col("total") * share).select("host", "unit")
+    many = units.distinct().groupBy("host", "unit").agg(F.count("*").alias("n"))
+    return many.where(F.col("n") >= least).select("host", "unit")
 
 
 def _places(batches: Iterator[pa.RecordBatch]):

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from rowloom.llm import fingerprints, jaccard, quality, toxicity
+from rowloom.llm import fingerprints, jaccard, pages, quality, toxicity
 from rowloom.llm.fingerprints import BINS, BITS, edited_pairs
 from rowloom.llm.topk import integer_vectors, top_k
 
@@ -225,3 +225,65 @@ def test_links_are_those_of_all_pairs(spark, monkeypatch, bucket):
     # No link is made up, and of those there are, hardly any may be lost to chance.
     assert all(found[k] <= links[k] for k in range(len(texts)))
     assert sum(found.values()) >= 0.995 * sum(links)
+
+
+def longest_repeats(one: list[str], other: list[str]) -> set[int]:
+    """Places of ``one`` that a longest substring common with ``other``, of eight words at least, covers."""
+    out: set[int] = set()
+    for i in range(len(one)):
+        for j in range(len(other)):
+            if i and j and one[i - 1] == other[j - 1]:
+                continue
+            n = 0
+            while i + n < len(one) and j + n < len(other) and one[i + n] == other[j + n]:
+                n += 1
+            if n >= 8:
+                out.update(range(i, i + n))
+    return out
+
+
+def test_pages_lose_what_longest_repeated_substrings_cover(spark):
+    draw = np.random.default_rng(12)
+    shared = [[f"s{k}w{w}" for w in range(size)] for k, size in enumerate((7, 8, 9, 23, 60))]
+    rows, words = [], []
+    for k in range(24):
+        blocks = []
+        for _ in range(int(draw.integers(1, 7))):
+            if draw.random() < 0.5:
+                run = shared[int(draw.integers(len(shared)))]
+                low = int(draw.integers(0, 3))
+                blocks.append(run[low : len(run) - int(draw.integers(0, 3))])
+            else:
+                blocks.append([f"p{int(draw.integers(4))}" for _ in range(int(draw.integers(1, 30)))])
+        words.append(blocks)
+        rows.append((k, f"http://h{k % 2}.org/{k}", "".join(f"<p>{' '.join(b)}</p>" for b in blocks)))
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(7)
+    found = {r.page_id: r.text for r in pages.main_texts(frame).collect()}
+    streams = [[w for b in blocks for w in b] for blocks in words]
+    changed = 0
+    for k, blocks in enumerate(words):
+        others = [streams[j] for j in range(len(rows)) if j % 2 == k % 2 and words[j] != blocks]
+        gone = set().union(*(longest_repeats(streams[k], other) for other in others))
+        at, want = 0, []
+        for block in blocks:
+            left = [w for i, w in enumerate(block, at) if i not in gone]
+            at += len(block)
+            want += [" ".join(left)] * bool(left)
+        changed += bool(gone)
+        assert found[k] == "\n".join(want)
+    assert changed > 12
+
+
+def test_blocks_of_articles_go_alike_on_hosts_of_every_size(spark):
+    notice = "all rights are with the makers of these pages"
+    texts = {}
+    for size in (10, 1200):
+        rows = [(k, "http://a.org/", f"<article><p>story {k}</p>{f'<p>{notice}</p>' * (k < 10)}</article>") for k in range(size)]
+        found = pages.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+        texts[size] = {r.page_id: r.text for r in found}
+    assert all(texts[size][k] == f"story {k}" for size in texts for k in range(size))
+
+
+def test_formulas_and_drawn_words_of_articles_stay():
+    html = "<article><p>where <math><mi>x</mi><annotation>\\x</annotation></math> is <svg><text>five</text><desc>d</desc></svg></p></article>"
+    assert pages.blocks(html) == [(pages.MAIN, "where x is five")]
