@@ -21,6 +21,8 @@ from rowloom.storage import scratch_path
 LEVELS = 16
 # Ids in a shard before it is closed; a shard is closed after a whole document.
 SHARD_IDS = 1 << 19
+# So many first characters of texts part the rows of one id into ranges.
+TIE_CHARS = 64
 # Bits between two stored ranks.
 RANK_BITS = 512
 
@@ -144,7 +146,8 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, le
     """Tokenize documents in ascending doc_id order (null ids last) and write their shards.
 
     One file per range of ids, one row per shard. A null text counts as empty. Rows of
-    one doc_id are ordered by text. Other columns are ignored.
+    one doc_id, or of none, are ordered by text; where they are many, their ranges part by the
+    texts' first characters. Other columns are ignored.
     """
 
     def encode(batches):
@@ -205,7 +208,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, le
     )
     ordered = (
         docs.select(F.col("doc_id").cast("long"), "text")
-        .repartitionByRange(F.asc_nulls_last("doc_id"))
+        .repartitionByRange(F.asc_nulls_last("doc_id"), F.substring("text", 1, TIE_CHARS))
         .sortWithinPartitions(F.asc_nulls_last("doc_id"), "text")
     )
     ordered.mapInArrow(encode, SHARDS).write.option("compression", "zstd").parquet(path)
