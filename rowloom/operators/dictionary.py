@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
-from rowloom.functions.draws import below, below_numbered, label_numbers
+from rowloom.functions.draws import MASK, below, below_numbered, label_numbers
 from rowloom.functions.values import HASH_ID_LENGTH, constant_array
 from rowloom.storage import scratch_path
 
@@ -57,12 +57,14 @@ def index_words(words: DataFrame) -> DataFrame:
     bucket sizes are at most 16 ** BUCKET_DIGITS rows, so broadcasting them is bounded.
     The join is a left join although every bucket has an offset: an inner join would push
     a null check on the digest below the distinct, where it would hash every token and
-    keep the two uses of the distinct from sharing one shuffle.
+    keep the two uses of the distinct from sharing one shuffle. Words are dealt to their
+    buckets alone and hashed again there: a digest is several times as wide as a word.
     """
     digests = _digests(words.select("word").where("word IS NOT NULL").distinct())
     offsets = _offsets(digests.groupBy("bucket").agg(F.count("*").alias("size")))
     place = F.row_number().over(_in_bucket())
-    return digests.join(F.broadcast(offsets), "bucket", "left").select(
+    dealt = digests.select("bucket", "word").repartition("bucket").withColumn("digest", F.sha2("word", 256))
+    return dealt.join(F.broadcast(offsets), "bucket", "left").select(
         (F.col("offset") + place - 1).alias("idx"),
         "word",
         F.right("digest", F.lit(HASH_ID_LENGTH)).alias("hash_id"),
@@ -82,6 +84,11 @@ def _store(placed: DataFrame, path: str) -> None:
     sizes.coalesce(1).write.parquet(f"{path}/buckets")
 
 
+def _state() -> Column:
+    """The two 32-bit words of a row's draw state as one number."""
+    return F.shiftleft("__draw_a", 32).bitwiseOR(F.col("__draw_b"))
+
+
 class Pick(NamedTuple):
     """A random dictionary entry for each row: the draw it uses and the field it takes."""
 
@@ -203,30 +210,56 @@ class Dictionary(NamedTuple):
     def _attach_shuffled(self, rows: DataFrame, picks: list[Pick]) -> DataFrame:
         """One shuffled join for all picks, for a dictionary of any size.
 
-        Each row is unfolded to one row per pick and folded back by all its columns, so a
-        group is the picks of one row or of equal rows, which come back as often as they
-        went in. A null key finds nulls, as in the array. Positions are uniform, so no join key is hot, and
-        each task hashes its share of the dictionary instead of sorting the picks. The
-        slot number is unfolded rather than the positions: a position is then computed in
-        a projection, once, where the code generator shares its common parts.
+        Picks depend on a row's draw state alone, so only states travel: each distinct one, as
+        one number, is unfolded to one row per pick, and back come its words. The rows with their
+        columns are shuffled once, to meet the words of their state; a null key meets none.
+        What is shuffled per pick is two numbers on the way out, and a number and a word behind
+        its slot on the way back, however wide the rows are. Words are dealt by state before they
+        are folded: a partial fold before that shuffle would find next to nothing to join.
+        Positions are uniform and states distinct, so no join key is hot, and each task hashes
+        its share of the dictionary instead of sorting the picks. The slot number is unfolded
+        rather than the positions: a position is then computed in a projection, once, where the
+        code generator shares its common parts. ``rows`` are read twice, so their keys must not
+        change between two reads; a state that lacks words fails the job.
         """
         numbers = [label_numbers(pick.label, pick.index) for pick in picks]
+        slot_bits = len(picks).bit_length()
+        if self.size << slot_bits >= 1 << 63:
+            raise ValueError(f"{len(picks)} picks of {self.size} words do not fit a number of 64 bits")
         first, second = (
             F.get(constant_array([pair[n] for pair in numbers], "bigint"), F.col("slot")) for n in (0, 1)
         )
+        states = rows.select(_state().alias("__state")).distinct()
         slots = F.explode(F.sequence(F.lit(0), F.lit(len(picks) - 1))).alias("slot")
         unfolded = (
-            rows.select("*", slots).select("*", first.alias("first_number"), second.alias("second_number"))
+            states.selectExpr("__state", "shiftrightunsigned(__state, 32) AS __draw_a", f"__state & {MASK}L AS __draw_b")
+            .select("*", slots)
+            .select("*", first.alias("first_number"), second.alias("second_number"))
             .withColumn("idx", below_numbered(self.size, "first_number", "second_number"))
+            .selectExpr("__state", f"shiftleft(idx, {slot_bits}) | slot AS ticket")
         )
+        position = F.shiftright("ticket", slot_bits)
+        found = unfolded.join(self.entries.hint("shuffle_hash"), position == F.col("idx"), "left")
+        slot = F.col("ticket").bitwiseAND(F.lit((1 << slot_bits) - 1).cast("long")).cast("int")
         hash_slots = [number for number, pick in enumerate(picks) if pick.field == "hash_id"]
-        value = F.when(F.col("slot").isin(hash_slots), F.col("hash_id")).otherwise(F.col("word"))
-        found = unfolded.join(self.entries.hint("shuffle_hash"), "idx", "left")
-        # Picks depend on the row's draw state alone, so equal rows find equal values.
-        folded = found.groupBy(*rows.columns).agg(
-            F.count("*").alias("__found"),
-            F.sort_array(F.collect_set(F.struct("slot", value.alias("value"))))["value"].alias("values"),
+        value = F.when(slot.isin(hash_slots), F.col("hash_id")).otherwise(F.col("word"))
+        # Slots of one width in front of the words: their order as texts is that of the slots.
+        width = len(str(len(picks)))
+        labels = constant_array([str(number).zfill(width) for number in range(len(picks))])
+        folded = (
+            found.select("__state", F.concat(F.get(labels, slot), value).alias("value"))
+            .repartition("__state")
+            .groupBy("__state")
+            .agg(F.sort_array(F.collect_list("value")).alias("__values"))
+        )
+        met = rows.withColumn("__own", _state()).join(
+            folded.hint("merge"), F.col("__own") == F.col("__state"), "left"
         )
-        copies = F.explode(F.array_repeat(F.lit(True), F.expr(f"int(__found div {len(picks)})"))).alias("__copy")
-        outputs = [F.get(F.col("values"), number).alias(pick.output) for number, pick in enumerate(picks)]
-        return folded.select("*", copies).select(*rows.columns, *outputs)
+        unmet = F.col("__own").isNotNull() & (F.coalesce(F.size("__values"), F.lit(0)) != len(picks))
+        message = F.lit("rows changed while their words were looked up, or the dictionary lacks words")
+        checked = F.when(unmet, F.raise_error(message).cast("array<string>")).otherwise(F.col("__values"))
+        outputs = [
+            F.substr(F.get(F.col("__values"), number), F.lit(width + 1)).alias(pick.output)
+            for number, pick in enumerate(picks)
+        ]
+        return met.withColumn("__values", checked).select(*(f"`{name}`" for name in rows.columns), *outputs)

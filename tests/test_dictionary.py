@@ -127,3 +127,56 @@ def test_few_new_words_leave_other_buckets_alone(spark, tmp_path):
     assert all(stored[1][w] == at for w, at in stored[0].items() if at[0] != bucket)
     with pytest.raises(Exception):
         Dictionary.extend(spark, f"{tmp_path}/one", _words(spark, "again"), f"{tmp_path}/two")
+
+
+def _shuffled_bytes_a_pick(spark, dictionary, rows, picks) -> float:
+    """Bytes that the shuffled path hands on in its shuffles, per pick, by the sizes that its plan measured."""
+    found = dictionary.attach(rows, picks, broadcast_bytes=0)
+    found.collect()
+    total = 0
+
+    def walk(node):
+        nonlocal total
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if name == "ResultQueryStageExec":
+            return walk(node.plan())
+        if name == "ShuffleQueryStageExec":
+            total += node.shuffle().metrics().apply("dataSize").value()
+            return walk(node.shuffle().child())
+        for n in range(node.children().size()):
+            walk(node.children().apply(n))
+
+    walk(found._jdf.queryExecution().executedPlan())
+    return total / (rows.count() * len(picks))
+
+
+def test_shuffled_picks_carry_no_columns_of_their_rows(spark):
+    dictionary = Dictionary.build(spark.range(2000).selectExpr("concat('word', id) AS word"))
+    picks = [Pick(f"p{n}", "value", n, "word") for n in range(20)]
+    rows = with_draws(spark.range(4000).selectExpr("id AS row_id", "repeat(cast(id AS string), 30) AS wide"))
+    # Two numbers out, a number and a word back; the rows themselves, once for all their picks.
+    assert 0 < _shuffled_bytes_a_pick(spark, dictionary, rows, picks) < 110
+
+
+def test_index_shuffles_no_digests(spark):
+    words = spark.range(3000).selectExpr("concat('w', id) AS word")
+    indexed = index_words(words)
+    plan = plan_of(indexed).split("== Initial Plan ==")[-1]
+    below = plan.split("Window")[-1].split("Exchange hashpartitioning(bucket")[1]
+    assert "sha2(cast(word" in plan.split("Exchange hashpartitioning(bucket")[0] and "digest" not in below.split("\n")[1]
+    assert indexed.count() == 3000
+
+
+def test_more_than_ten_and_a_hundred_picks_keep_their_order(spark, dictionary):
+    picks = [Pick(f"p{n}", "label", n, "hash_id" if n % 3 else "word") for n in range(120)]
+    rows = with_draws(spark.range(40).withColumnRenamed("id", "row_id"))
+    assert sorted(dictionary.attach(rows, picks).collect()) == sorted(dictionary.attach(rows, picks, 0).collect())
+
+
+def test_rows_that_lack_their_words_fail(spark, dictionary):
+    short = dictionary._replace(entries=dictionary.entries.where("idx < 400"))
+    rows = with_draws(spark.range(200).withColumnRenamed("id", "row_id"))
+    with pytest.raises(Exception, match="lacks words"):
+        short.attach(rows, PICKS, broadcast_bytes=0).collect()
