@@ -57,8 +57,8 @@ class WaveletMatrix:
             full = each[: n // RANK_BITS * step].reshape(-1, step).sum(axis=1, dtype=np.uint32)
             ranks[k, 1:] = np.cumsum(full)
             zeros.append(n - int(np.count_nonzero(ones)))
-            np.compress(ones, now, out=other[zeros[-1] :])
-            np.compress(~ones, now, out=other[: zeros[-1]])
+            np.take(now, np.flatnonzero(ones), out=other[zeros[-1] :], mode="clip")  # "raise" would copy the output
+            np.take(now, np.flatnonzero(~ones), out=other[: zeros[-1]], mode="clip")
             now, other = other, now
         return cls(n, levels, zeros, planes, ranks)
 
@@ -136,8 +136,8 @@ class WaveletMatrix:
         for k in range(self.levels - 1, -1, -1):
             ones = np.unpackbits(self.planes[k], count=self.n).view(bool)
             back = np.empty_like(now)
-            back[~ones] = now[: self.zeros[k]]
-            back[ones] = now[self.zeros[k] :] | now.dtype.type(1 << (self.levels - 1 - k))
+            back[np.flatnonzero(~ones)] = now[: self.zeros[k]]
+            back[np.flatnonzero(ones)] = now[self.zeros[k] :] | now.dtype.type(1 << (self.levels - 1 - k))
             now = back
         return now
 

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from tokenizers import Tokenizer
 
 from rowloom.llm.packing import pack
 from rowloom.llm.queries import tokenizer_path
-from rowloom.llm.tokens import WordTokenizer
+from rowloom.llm.tokens import _STEM_AND_MARKS, WordTokenizer
 from rowloom.llm.wavelet import WaveletMatrix, token_store
 
 ROWS = [
@@ -79,3 +80,23 @@ def test_store_round_trip(spark, plain):
     assert [r.doc_id for r in rows] == [k for k, _ in order]
     assert [np.frombuffer(r.ids, "<u4").tolist() for r in rows] == [plain(t) + [2] for _, t in order]
     assert rows[0].start == 0 and rows[-1].start == sum(len(plain(t)) + 1 for _, t in order[:-1])
+
+
+def test_all_letters_of_stems_in_both_cases():
+    """Stems are lower-cased by Arrow; the tokenizer, and Python, must agree for every letter they may hold."""
+    path = tokenizer_path()
+    every = pa.array([chr(c) for c in range(0x41, 0x250)])
+    letters = every.filter(pc.match_substring_regex(every, _STEM_AND_MARKS)).to_pylist()
+    assert len(letters) > 400
+    assert pc.utf8_lower(pa.array(letters)).to_pylist() == [letter.lower() for letter in letters]
+    words = [*letters, *(a + b for a, b in zip(letters, reversed(letters))), *("Ab" + letter + "er," for letter in letters)]
+    plain = Tokenizer.from_file(path)
+    ids, offsets = next((ids, offsets) for _, ids, offsets in WordTokenizer(path).encode(pa.array(words)))
+    found = [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:])]
+    assert found == [plain.encode(word, add_special_tokens=False).ids for word in words]
+
+
+def test_words_that_differ_in_case_are_looked_up_once():
+    pieces, pair = WordTokenizer(tokenizer_path())._word_ids(pa.array(["Word", "word", "WORD", "Éa", "éa"]))
+    assert len(pieces) == 4  # two stems, no marks, and the empty piece
+    assert pair[:, 0].tolist() == [0, 0, 0, 1, 1]
