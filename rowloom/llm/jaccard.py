@@ -12,7 +12,8 @@ a pair at the threshold is missed with less than the target probability.
 What meets in buckets is grouped by estimated similarity, well below the threshold, and each
 group is then compared exactly, block by block on whole sets, so that every link between
 different texts of a group counts once, in how many buckets its ends may have met. Copies of
-one text stand together as one representative throughout.
+one text stand together as one representative throughout. Tokens and texts are shuffled only
+for rows that a bitmap of the wanted hashes lets pass.
 """
 
 from __future__ import annotations
@@ -25,10 +26,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowloom.llm.common import order_key, quoted, staged
+from rowloom.llm.batches import map_batches
+from rowloom.llm.common import order_key, possible, quoted, staged
 from rowloom.llm.components import components
 
 WORDS = 5
@@ -37,8 +39,16 @@ TOKENS = 64
 # Texts that one brute-force comparison takes from a bucket side.
 BUCKET = 128
 DEPTH = 12
-# Texts that one exact comparison takes from each side.
-EXACT_BLOCK = 256
+# Tokens that a split of each depth may pick, none of which a root or another depth uses.
+FRESH = 5
+# Texts and bytes of sets that one exact comparison takes from each side.
+EXACT_BLOCK = 4096
+EXACT_BYTES = 8 << 20
+# Texts of a side that are compared at a time.
+EXACT_ROWS = 256
+# Elements that more than this share of a side's texts hold are multiplied, rarer ones paired.
+COMMON = 16
+PAIRS = 1 << 21
 RECALL = 0.99999
 # Estimated similarity from which texts of a bucket are compared exactly; the estimate's
 # deviation at the threshold is 0.05, so a link falls below with a chance of about 2e-4.
@@ -114,7 +124,7 @@ def signed(docs: DataFrame) -> DataFrame:
                 names=["key", "k1", "k2", "n", "tokens"],
             )
 
-    return keyed(docs).mapInArrow(run, "key long, k1 long, k2 long, n int, tokens array<int>")
+    return map_batches(keyed(docs), run, "key long, k1 long, k2 long, n int, tokens array<int>")
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -127,12 +137,8 @@ def keyed(docs: DataFrame) -> DataFrame:
     )
 
 
-def _blocks(rows: DataFrame, block: int) -> DataFrame:
-    """Deal the members of a group into blocks and every block to each pair it is in.
-
-    ``rows`` has the group's size; groups up to ``block`` are one pair of one block.
-    """
-    many = F.ceil(F.col("size") / block).cast("int")
+def _blocks(rows: DataFrame, many: Column) -> DataFrame:
+    """Deal the members of a group into ``many`` blocks and every block to each pair it is in."""
     dealt = rows.withColumn("own", F.pmod(F.xxhash64(F.lit(7), "rid"), many).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), many - 1)))
     return dealt.withColumns({"one": F.least("own", "other"), "two": F.greatest("own", "other")})
@@ -143,11 +149,12 @@ def bucket_links(reps: DataFrame, recall: float = RECALL) -> DataFrame:
     runs = runs_for(recall, THRESHOLD[0] / THRESHOLD[1])
     if runs > TOKENS:
         raise ValueError("more runs than sampled tokens")
-    roots = np.random.default_rng(13).permutation(TOKENS)[:runs]
+    order = [int(c) for c in np.random.default_rng(13).permutation(TOKENS)]
+    roots, fresh = order[:runs], order[runs:] + order
     tokens = reps.where("n > 0").select("rid", "tokens")
-    paths = F.array(*(F.xxhash64(F.lit(int(c)), F.get("tokens", F.lit(int(c)))) for c in roots))
+    paths = F.array(*(F.xxhash64(F.lit(c), F.get("tokens", F.lit(c))) for c in roots))
     nodes = staged(tokens.select("rid", F.explode(paths).alias("path"), F.lit(None).cast("long").alias("above")), "paths")
-    leaves, stars = [], []
+    leaves, stars, splitting = [], [], None
     for depth in range(1, DEPTH + 1):
         sizes = staged(
             nodes.groupBy("path")
@@ -155,21 +162,32 @@ def bucket_links(reps: DataFrame, recall: float = RECALL) -> DataFrame:
             .where("size > 1"),
             "sizes",
         )
-        members = nodes.select("rid", "path").join(sizes, "path")
+        # The sizes are read anew, so that the join can split the rows of a path that many share.
+        members = staged(nodes.select("rid", "path").join(sizes, "path"), "buckets")
         # A bucket that its last split left whole holds texts alike: one group for the exact stage.
         whole = (F.col("size") > BUCKET) & F.coalesce(F.col("size") * 2 > F.col("above"), F.lit(False))
         stars.append(members.where(whole).select(F.col("rid").alias("a"), F.col("head").alias("b")))
         small = F.lit(True) if depth == DEPTH else F.col("size") <= BUCKET
         leaves.append(members.where(small & ~whole).select("rid", "path", "size"))
-        large = sizes.where((F.col("size") > BUCKET) & ~whole)
+        large = members.where((F.col("size") > BUCKET) & ~whole).select("rid", "path", "size")
         if depth == DEPTH or not large.limit(1).count():
             break
-        picks = [F.pmod(F.xxhash64("path", F.lit(j)), F.lit(TOKENS)).cast("int") for j in range(2)]
-        children = F.array_distinct(F.array(*(F.xxhash64("path", p, F.get("tokens", p)) for p in picks)))
-        split = nodes.select("rid", "path").join(large, "path").select("rid", "path", "size").join(tokens, "rid")
+        if splitting is None:  # texts of large buckets are among those of the large buckets before
+            wanted = possible(large.select(F.xxhash64("rid")).distinct())
+            splitting = staged(tokens.where(wanted(F.xxhash64("rid"))), "splitting")
+        # Two tokens that no split on the way has used, so that only texts alike stay together.
+        given = F.array(*map(F.lit, fresh[(depth - 1) * FRESH : depth * FRESH]))
+        first = F.pmod(F.xxhash64("path", F.lit(0)), F.lit(FRESH)).cast("int")
+        second = F.pmod(first + 1 + F.pmod(F.xxhash64("path", F.lit(1)), F.lit(FRESH - 1)).cast("int"), F.lit(FRESH))
+        picks = [F.get(given, place) for place in (first, second)]
+        children = F.array(*(F.xxhash64("path", p, F.get("tokens", p)) for p in picks))
+        split = large.join(splitting, "rid")
         nodes = staged(split.select("rid", F.explode(children).alias("path"), F.col("size").alias("above")), "paths")
     leaves = reduce(DataFrame.unionByName, leaves)
-    met = _blocks(leaves.join(tokens, "rid"), BUCKET)
+    wanted = possible(leaves.select(F.xxhash64("rid")).distinct())
+    met = _blocks(
+        leaves.join(tokens.where(wanted(F.xxhash64("rid"))), "rid"), F.ceil(F.col("size") / BUCKET).cast("int")
+    )
     buckets = met.groupBy("path", "one", "two").agg(
         F.collect_list(F.struct("rid", "tokens")).alias("members")  # two blocks at most
     )
@@ -188,7 +206,7 @@ def bucket_links(reps: DataFrame, recall: float = RECALL) -> DataFrame:
             edges = np.concatenate(ends) if ends else np.zeros((0, 2), np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(edges[:, 0]), pa.array(edges[:, 1])], names=["a", "b"])
 
-    compared = buckets.select("members").mapInArrow(compare, "a long, b long")
+    compared = map_batches(buckets.select("members"), compare, "a long, b long")
     return reduce(DataFrame.unionByName, stars, compared).where("a <> b").distinct()
 
 
@@ -214,26 +232,104 @@ def _forest(rids: np.ndarray, linked: np.ndarray) -> np.ndarray:
     return np.stack([rids[at], rids[label[at]]], axis=1).reshape(-1, 2)
 
 
-def overlaps(sets: list[np.ndarray]) -> np.ndarray:
-    """Common elements of each pair of sorted sets, without a step per pair."""
-    n = len(sets)
-    member = np.repeat(np.arange(n), [len(s) for s in sets])
-    value, number, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    shared = np.cumsum(count > 1) - 1
-    kept = count[number] > 1
-    column, row = shared[number[kept]], member[kept]
-    order = np.argsort(column, kind="stable")
-    column, row = column[order], row[order]
-    total = np.diag(np.array([len(s) for s in sets], np.float64))
-    out = np.zeros((n, n))
-    width = max(64, (1 << 22) // max(n, 1))
-    for low in range(0, int(column[-1]) + 1 if len(column) else 0, width):
-        a, b = np.searchsorted(column, [low, low + width])
-        part = np.zeros((n, width), np.float32)
-        part[row[a:b], column[a:b] - low] = 1
-        out += part @ part.T
-    np.fill_diagonal(out, 0)
-    return out + total
+def _merged(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Give what pairs of rows connect the least of their labels; a label is a row that has itself as label."""
+    while (label[a] != label[b]).any():
+        np.minimum.at(label, np.maximum(label[a], label[b]), np.minimum(label[a], label[b]))
+        while (label[label] != label).any():
+            label[:] = label[label]
+
+
+def _paired(out: np.ndarray, row: np.ndarray, column: np.ndarray, starts: np.ndarray, others: np.ndarray) -> None:
+    """Add one to each pair of a row and the rows of the other side that share its element."""
+    many = np.diff(starts)[column]
+    ends = np.cumsum(many)
+    low = 0
+    while low < len(row):
+        done = ends[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(ends, done + PAIRS, side="right")))
+        n = many[low:high]
+        shift = starts[column[low:high]] - (ends[low:high] - n - done)
+        np.add.at(out, (np.repeat(row[low:high], n), others[np.arange(n.sum()) + np.repeat(shift, n)]), 1)
+        low = high
+
+
+def set_links(
+    values: np.ndarray, n: np.ndarray, copies: np.ndarray, other: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """For each of some sets the copies of sets at the threshold, and the first set that links lead to.
+
+    ``values`` has the elements of all sets, ``n`` says how many each has. Sets that are not ``other``
+    are compared with those that are, or without ``other`` all with each other. Only sets of sizes that allow the threshold
+    meet. Elements that many sets share are multiplied in bits of a matrix, the rest is counted
+    from pairs of sets that share one.
+    """
+    size = len(n)
+    links, label = np.zeros(size, np.int64), np.arange(size)
+    code, count = np.unique(values, return_inverse=True, return_counts=True)[1:]
+    shared = count > 1
+    row, column = np.repeat(np.arange(size), n)[shared[code]], (np.cumsum(shared) - 1)[code[shared[code]]]
+    by_size = np.argsort(n, kind="stable")
+    sides = [by_size, by_size] if other is None else [by_size[~other[by_size]], by_size[other[by_size]]]
+    width = int(shared.sum())
+    kind = np.float64 if n.max(initial=0) >= 1 << 24 else np.float32
+    out = np.zeros((len(sides[0]), len(sides[1])), kind)
+    at, held = [], []  # of each side: elements and places of their sets, in order of elements
+    for side in sides:
+        place = np.full(size, -1)
+        place[side] = np.arange(len(side))
+        own = place[row] >= 0
+        order = np.argsort(column[own], kind="stable")
+        at.append(column[own][order])
+        held.append(place[row[own]][order])
+    many = [np.bincount(a, minlength=width) for a in at]
+    both = (many[0] > 0) & (many[1] > 0)
+    common = both & (many[0] * many[1] * COMMON**2 > out.size)
+    few = both & ~common
+    first, second = n[sides[0]], n[sides[1]]
+    # Rows of the first side at a time, with the rows of the second whose sizes allow a link.
+    spans = []
+    for low in range(0, len(first), EXACT_ROWS):
+        part = first[low : low + EXACT_ROWS]
+        span = np.searchsorted(second * THRESHOLD[1], part[0] * THRESHOLD[0], side="left")
+        stop = np.searchsorted(second * THRESHOLD[0], part[-1] * THRESHOLD[1], side="right")
+        spans.append((slice(low, low + len(part)), slice(int(span), int(stop))))
+    number = np.cumsum(common) - 1
+    most = int(common.sum())
+    step = max(64, min(most, (1 << 22) // max(1, *out.shape)))
+    chosen = [common[a] for a in at]
+    for low in range(0, most, step):
+        bits = []
+        for a, h, c in zip(at, held, chosen, strict=True):
+            i, j = h[c], number[a[c]]
+            i, j = (x[slice(*np.searchsorted(j, [low, low + step]))] for x in (i, j))
+            bits.append(np.zeros((out.shape[len(bits)], step), np.float32))
+            bits[-1][i, j - low] = 1
+        for one, two in spans:
+            out[one, two] += bits[0][one] @ bits[1][two].T
+    chosen = few[at[0]]
+    _paired(out, held[0][chosen], at[0][chosen], np.append(0, np.cumsum(many[1])), held[1])
+    for one, two in spans:
+        a, b = sides[0][one], sides[1][two]
+        linked = (THRESHOLD[0] + THRESHOLD[1]) * out[one, two].astype(np.float64) >= THRESHOLD[0] * (
+            n[a][:, None] + n[b][None, :]
+        )
+        linked &= a[:, None] != b[None, :]
+        some = np.flatnonzero(linked.any(axis=1))
+        if not len(some):
+            continue
+        a, linked = a[some], linked[some]
+        links[a] += (linked.astype(np.float64) @ copies[b]).astype(np.int64)
+        if other is not None:
+            links[b] += (copies[a] @ linked.astype(np.float64)).astype(np.int64)
+        while True:
+            apart = linked & (label[a][:, None] != label[b][None, :])
+            best = apart.argmax(axis=1)
+            found = np.flatnonzero(apart[np.arange(len(a)), best])
+            if not len(found):
+                break
+            _merged(label, a[found], b[best[found]])
+    return links, label
 
 
 def exact_links(docs: DataFrame, reps: DataFrame, groups: DataFrame) -> DataFrame:
@@ -241,8 +337,14 @@ def exact_links(docs: DataFrame, reps: DataFrame, groups: DataFrame) -> DataFram
 
     A row for each pair of blocks that a member is in; the links of all add up.
     """
-    active = groups.withColumnRenamed("node", "rid").join(reps.select("rid", "key", "k1", "k2", "copies"), "rid")
-    texts = keyed(docs).join(active, ["key", "k1", "k2"]).select("rid", "component", "copies", "text")
+    active = staged(
+        groups.withColumnRenamed("node", "rid").join(reps.select("rid", "key", "k1", "k2", "copies"), "rid"), "active"
+    )
+    row = ["key", "k1", "k2"]
+    wanted = possible(active.select(F.xxhash64(*row)))
+    # A row that is repeated in the table brings its text as often: once is enough.
+    once = keyed(docs).where(wanted(F.xxhash64(*row))).groupBy(*row).agg(F.any_value("text").alias("text"))
+    texts = once.join(active, row).select("rid", "component", "copies", "text")
 
     def sets(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
@@ -252,40 +354,39 @@ def exact_links(docs: DataFrame, reps: DataFrame, groups: DataFrame) -> DataFram
                 names=["rid", "component", "copies", "items"],
             )
 
-    known = staged(texts.mapInArrow(sets, "rid long, component long, copies long, items binary"), "sets")
-    sizes = staged(known.groupBy("component").agg(F.count_distinct("rid").alias("size")), "sizes")
-    pairs = _blocks(known.join(sizes, "component"), EXACT_BLOCK)
+    known = staged(map_batches(texts, sets, "rid long, component long, copies long, items binary"), "sets")
+    sizes = known.groupBy("component").agg(F.count("*").alias("size"), F.sum(F.octet_length("items")).alias("bytes"))
+    many = F.greatest(F.ceil(F.col("size") / EXACT_BLOCK), F.ceil(F.col("bytes") / EXACT_BYTES)).cast("int")
+    pairs = _blocks(known.join(staged(sizes, "sizes"), "component"), many)
+    other = (F.col("own") != F.col("one")).alias("other")
     members = pairs.groupBy("component", "one", "two").agg(
-        F.collect_list(F.struct("rid", "copies", "items", "own")).alias("members")  # two blocks at most
+        F.collect_list(F.struct("rid", "copies", "items", other)).alias("members")  # two blocks at most
     )
 
     def compare(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            for row in range(batch.num_rows):
-                # A row that is repeated in the table brings its text as often: once is enough.
-                unique = {m["rid"]: m for m in batch.column("members")[row].as_py()}
-                members = list(unique.values())
-                rids = np.array([m["rid"] for m in members], np.int64)
-                own = np.array([m["own"] for m in members])
-                copies = np.array([m["copies"] for m in members], np.int64)
-                items = [np.frombuffer(m["items"], np.uint64) for m in members]
-                n = np.array([len(s) for s in items])
-                linked = (THRESHOLD[0] + THRESHOLD[1]) * overlaps(items) >= THRESHOLD[0] * (n[:, None] + n[None, :])
-                np.fill_diagonal(linked, False)
-                if batch.column("one")[row].as_py() != batch.column("two")[row].as_py():
-                    linked &= own[:, None] != own[None, :]
-                links = linked @ copies
-                roots = dict(_forest(rids, linked.copy()).tolist())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(rids),
-                        pa.array(links),
-                        pa.array([roots.get(r) for r in rids.tolist()], pa.int64()),
-                    ],
-                    names=["rid", "links", "root"],
-                )
-
-    return members.mapInArrow(compare, "rid long, links long, root long")
+            lists = batch.column("members")
+            flat, ends = lists.flatten(), lists.offsets.to_numpy()
+            ends = ends - ends[0]
+            rids, copies, other = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("rid", "copies", "other"))
+            items = flat.field("items").cast(pa.binary())
+            between = pc.not_equal(batch.column("one"), batch.column("two")).to_pylist()
+            places = np.frombuffer(items.buffers()[1], np.int32)[items.offset : items.offset + len(items) + 1] // 8
+            values = np.frombuffer(items.buffers()[2], np.uint64) if len(items) else np.zeros(0, np.uint64)
+            n = np.diff(places).astype(np.int64)
+            links, roots = np.zeros(len(rids), np.int64), np.arange(len(rids))
+            for a, b, cross in zip(ends[:-1], ends[1:], between, strict=True):
+                if b - a > 1:
+                    part = values[places[a] : places[b]]
+                    links[a:b], label = set_links(part, n[a:b], copies[a:b], other[a:b] if cross else None)
+                    roots[a:b] = a + label
+            alone = roots == np.arange(len(rids))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rids), pa.array(links), pa.array(rids[roots], pa.int64(), mask=alone)],
+                names=["rid", "links", "root"],
+            )
+
+    return map_batches(members.select("one", "two", "members"), compare, "rid long, links long, root long")
 
 
 def similar_texts(docs: DataFrame, recall: float = RECALL) -> DataFrame:
