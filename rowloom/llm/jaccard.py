@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowloom.llm.batches import map_batches
-from rowloom.llm.common import order_key, possible, quoted, staged
+from rowloom.llm.common import SPACES, order_key, possible, quoted, staged
 from rowloom.llm.components import components
 
 WORDS = 5
@@ -42,13 +42,13 @@ DEPTH = 12
 # Tokens that a split of each depth may pick, none of which a root or another depth uses.
 FRESH = 5
 # Texts and bytes of sets that one exact comparison takes from each side.
-EXACT_BLOCK = 4096
-EXACT_BYTES = 8 << 20
+EXACT_BLOCK = 2048
+EXACT_BYTES = 4 << 20
 # Texts of a side that are compared at a time.
-EXACT_ROWS = 256
+EXACT_ROWS = 128
 # Elements that more than this share of a side's texts hold are multiplied, rarer ones paired.
 COMMON = 16
-PAIRS = 1 << 21
+PAIRS = 1 << 18
 RECALL = 0.99999
 # Estimated similarity from which texts of a bucket are compared exactly; the estimate's
 # deviation at the threshold is 0.05, so a link falls below with a chance of about 2e-4.
@@ -296,7 +296,7 @@ def set_links(
         spans.append((slice(low, low + len(part)), slice(int(span), int(stop))))
     number = np.cumsum(common) - 1
     most = int(common.sum())
-    step = max(64, min(most, (1 << 22) // max(1, *out.shape)))
+    step = max(64, min(most, (1 << 20) // max(1, *out.shape)))
     chosen = [common[a] for a in at]
     for low in range(0, most, step):
         bits = []
@@ -460,19 +460,21 @@ def one_of_each(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     Columns are unchanged. Texts without words are no duplicates of each other and stay;
     of rows repeated with id and text, one stays.
     """
-    similar = similar_texts(docs, recall).select(
-        F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), F.col("class_id").alias("__class")
-    )
+    similar = similar_texts(docs, recall)
+    # Rows of a text that has no others and is in no other's class stay where they are.
+    contested = similar.where("copies > 1 OR key <> class_id")
+    wanted = possible(contested.select(F.xxhash64("k1", "k2")))
+    stays = similar.where("key = class_id").where(wanted(F.xxhash64("k1", "k2")))
+    stays = stays.select(F.col("key").alias("__key"), F.col("k1").alias("__h1"), F.col("k2").alias("__h2"))
     text = F.coalesce("text", F.lit(""))
+    row = ["__key", "__h1", "__h2"]
     rows = docs.withColumns(
         {
             "__key": order_key(F.col("doc_id"), F.col("text")),
             "__h1": F.xxhash64(text),
             "__h2": F.xxhash64(F.lit(1), text),
         }
-    )
-    joined = rows.join(similar, (F.col("__h1") == F.col("__k1")) & (F.col("__h2") == F.col("__k2")), "left")
-    wordless = joined.where("__k1 IS NULL")
-    kept = joined.where("__k1 IS NOT NULL AND __key = __class").dropDuplicates(["__key", "__h1", "__h2"])
+    ).withColumn("__met", (F.btrim(text, F.lit(SPACES)) != "") & wanted(F.xxhash64("__h1", "__h2")))
+    kept = rows.where("__met").dropDuplicates(row).join(stays, row, "left_semi")
     names = [quoted(c) for c in docs.columns]
-    return wordless.select(*names).unionByName(kept.select(*names))
+    return rows.where("NOT __met").select(*names).unionByName(kept.select(*names))

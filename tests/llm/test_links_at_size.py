@@ -26,7 +26,7 @@ def no_broadcasts(spark):
     spark.conf.set(name, before)
 
 
-@pytest.mark.parametrize("query", [jaccard.link_classes])
+@pytest.mark.parametrize("query", [jaccard.one_of_each, jaccard.link_classes])
 def test_texts_without_copies_are_not_shuffled(spark, no_broadcasts, tmp_path, monkeypatch, query):
     draw = np.random.default_rng(2)
     texts = [" ".join(f"{w:x}" for w in draw.integers(1 << 60, size=2500)) for _ in range(150)]
