@@ -358,6 +358,8 @@ def exact_links(docs: DataFrame, reps: DataFrame, groups: DataFrame) -> DataFram
     sizes = known.groupBy("component").agg(F.count("*").alias("size"), F.sum(F.octet_length("items")).alias("bytes"))
     many = F.greatest(F.ceil(F.col("size") / EXACT_BLOCK), F.ceil(F.col("bytes") / EXACT_BYTES)).cast("int")
     pairs = _blocks(known.join(staged(sizes, "sizes"), "component"), many)
+    # Dealt anew: a join that is no broadcast leaves all blocks of a group in one task.
+    pairs = pairs.repartition("component", "one", "two")
     other = (F.col("own") != F.col("one")).alias("other")
     members = pairs.groupBy("component", "one", "two").agg(
         F.collect_list(F.struct("rid", "copies", "items", other)).alias("members")  # two blocks at most

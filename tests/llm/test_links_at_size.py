@@ -78,6 +78,23 @@ def test_a_large_group_is_not_copied_for_every_few_of_its_texts(spark):
         assert r.links == sum(5 * len(own & s) >= 4 * len(own | s) for s in sets) - 1
 
 
+def test_blocks_of_a_large_group_are_dealt_to_many_tasks(spark, no_broadcasts, monkeypatch):
+    monkeypatch.setattr(jaccard, "EXACT_BLOCK", 10)
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        docs = spark.range(120).selectExpr("id AS doc_id", "concat('a b c d e f g h i j k l m n o ', id) AS text")
+        rows = jaccard.signed(docs).select("k1", "k2", "key", F.lit(1).cast("long").alias("copies"))
+        reps = rows.withColumn("rid", F.col("key"))
+        groups = reps.select(F.col("rid").alias("node"), F.lit(0).cast("long").alias("component"))
+        found = jaccard.exact_links(docs, reps, groups).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set(name, before)
+    assert len(found) == 120 * 12 and len({r.task for r in found}) > 3
+    assert sum(r.links for r in found) == 120 * 119
+
+
 def test_texts_that_share_a_passage_are_no_group(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "BUCKET", 16)
     draw = np.random.default_rng(4)
